@@ -281,3 +281,277 @@ def sales_fit_line(spark, sf):
     return out.select("i", r6("slope").alias("slope"), r6("intercept").alias("intercept"), r6("r").alias("r"),
                       r6("x").alias("x"),
                       F.round(r6("slope") * r6("x") + r6("intercept"), 4).alias("y"))
+
+
+# ---------------------------------------------------------------- features
+
+from shelfcast.functions import calendar as CAL  # noqa: E402
+from shelfcast.plans import features as FE  # noqa: E402
+
+DATE_FEATURES_SQL = """
+cast(year(date) as int) as year, cast(month(date) as int) as month, cast(day(date) as int) as day,
+cast(isodow(date) - 1 as int) as day_of_week, cast(weekofyear(date) as int) as week_of_year,
+cast(quarter(date) as int) as quarter, cast(isodow(date) - 1 >= 5 as int) as is_weekend,
+cast(day(date) <= 5 as int) as is_month_start, cast(day(date) > 5 and day(date) <= 20 as int) as is_month_mid,
+cast(day(date) > 20 as int) as is_month_end, cast(weekofyear(date) = 1 as int) as is_year_start,
+cast(weekofyear(date) >= 52 as int) as is_year_end"""
+
+
+def easter_sql(d: str) -> str:
+    return (f"case year({d}) when 2013 then date '2013-03-31' when 2014 then date '2014-04-20' "
+            f"when 2015 then date '2015-04-05' when 2016 then date '2016-03-27' "
+            f"else make_date(year({d}), 4, 1) end")
+
+
+def xmas_sql(d: str) -> str:
+    return (f"cast((case when {d} > make_date(year({d}), 12, 25) then make_date(year({d}) + 1, 12, 25) "
+            f"else make_date(year({d}), 12, 25) end) - {d} as int)")
+
+
+PROMO2_SQL = """case when promo2 = 0 or promo_interval = '' then 0
+  else cast(list_contains(list_transform(string_split(promo_interval, ','), lambda t: trim(t)),
+       (['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'])[month(date)]) as int) end"""
+COMP_SQL = """case when (year(date) - competition_open_since_year) * 12 + (month(date) - competition_open_since_month) is null
+  then null else cast(greatest((year(date) - competition_open_since_year) * 12
+  + (month(date) - competition_open_since_month), 0) as int) end"""
+
+
+@register("date_features", q(f"select store, date, {DATE_FEATURES_SQL} from open_panel"))
+def date_features(spark, sf):
+    op = panels(spark, sf)[2]
+    feats = CAL.date_feature_columns("date")
+    keep = ["year", "month", "day", "day_of_week", "week_of_year", "quarter", "is_weekend", "is_month_start",
+            "is_month_mid", "is_month_end", "is_year_start", "is_year_end"]
+    return op.select("store", "date", *[feats[k].alias(k) for k in keep])
+
+
+@register("holiday_distances", q(f"""
+with s as (select store, date, cast(date + interval 216 month as date) as shifted from open_panel)
+select store, date, {xmas_sql('date')} as days_to_christmas,
+  cast(dayofyear(date) - 1 as int) as days_after_new_year,
+  cast(abs({easter_sql('date')} - date) as int) as days_to_easter,
+  shifted, {xmas_sql('shifted')} as shifted_days_to_christmas,
+  cast(abs({easter_sql('shifted')} - shifted) as int) as shifted_days_to_easter
+from s"""))
+def holiday_distances(spark, sf):
+    op = panels(spark, sf)[2].withColumn("shifted", F.add_months("date", 216))
+    return op.select("store", "date", CAL.days_to_christmas("date").alias("days_to_christmas"),
+                     CAL.days_after_new_year("date").alias("days_after_new_year"),
+                     CAL.days_to_easter("date").alias("days_to_easter"), "shifted",
+                     CAL.days_to_christmas("shifted").alias("shifted_days_to_christmas"),
+                     CAL.days_to_easter("shifted").alias("shifted_days_to_easter"))
+
+
+@register("promo2_active", q(f"""
+select store, date, promo2, promo_interval, {PROMO2_SQL} as promo2_active from open_panel"""))
+def promo2_active(spark, sf):
+    op = panels(spark, sf)[2]
+    return op.select("store", "date", "promo2", "promo_interval",
+                     CAL.promo2_active("promo2", "promo_interval", F.month("date")).alias("promo2_active"))
+
+
+@register("competition_months", q(f"""
+select store, date, {COMP_SQL} as competition_open_months from open_panel"""))
+def competition_months(spark, sf):
+    op = panels(spark, sf)[2]
+    return op.select("store", "date", CAL.competition_open_months(
+        F.year("date"), F.month("date"), "competition_open_since_year",
+        "competition_open_since_month").alias("competition_open_months"))
+
+
+@register("engineered_features", q(f"""
+select store, open, promo, school_holiday, competition_distance, promo2,
+  cast(dense_rank() over (order by state_holiday) - 1 as int) as state_holiday,
+  cast(dense_rank() over (order by store_type) - 1 as int) as store_type,
+  cast(dense_rank() over (order by assortment) - 1 as int) as assortment,
+  {DATE_FEATURES_SQL},
+  {xmas_sql('date')} as days_to_christmas, cast(dayofyear(date) - 1 as int) as days_after_new_year,
+  cast(abs({easter_sql('date')} - date) as int) as days_to_easter,
+  {PROMO2_SQL} as promo2_active, {COMP_SQL} as competition_open_months
+from open_panel"""))
+def engineered_features(spark, sf):
+    op = panels(spark, sf)[2].drop("sales", "customers")
+    model = FE.FeatureEngineer().fit(op)
+    return model.transform(op)
+
+
+@register("label_encode", q("""
+with v as (select list_sort(list_distinct(list(store_type))) as vt, list_sort(list_distinct(list(assortment))) as va,
+    list_sort(list_distinct(list(state_holiday))) as vh from open_panel)
+select store, date, cast(list_position(vt, store_type) - 1 as int) as store_type_code,
+  cast(list_position(va, assortment) - 1 as int) as assortment_code,
+  cast(list_position(vh, state_holiday) - 1 as int) as state_holiday_code
+from test_panel, v"""))
+def label_encode(spark, sf):
+    return FE.label_encode(panels(spark, sf)[2], test_panel(spark, sf))
+
+
+IMPUTED = ["competition_distance", "competition_open_since_month", "competition_open_since_year",
+           "promo2_since_week"]
+
+
+@register("impute_median", q("select store, date, " + ", ".join(
+    f"coalesce(cast({c} as double), (select median({c}) from joined)) as {c}" for c in IMPUTED) + " from joined"))
+def impute_median(spark, sf):
+    from shelfcast.operators.joins import with_store
+    p = load_panel(spark, sf)
+    joined = with_store(p.fact, p.store)
+    return FE.impute_median(joined, IMPUTED).select("store", "date", *IMPUTED)
+
+
+SCALED = ["sales", "customers", "competition_distance", "promo"]
+
+
+@register("standard_scale", q("select store, date, " + ", ".join(
+    f"round(coalesce((cast({c} as double) - (select avg(cast({c} as double)) from open_panel)) / "
+    f"nullif((select stddev_pop(cast({c} as double)) from open_panel), 0), 0), 6) as {c}" for c in SCALED)
+    + " from open_panel"))
+def standard_scale(spark, sf):
+    out = FE.standard_scale(panels(spark, sf)[2], SCALED)
+    return out.select("store", "date", *[r6(c).alias(c) for c in SCALED])
+
+
+# ---------------------------------------------------------------- sampling and splitting (K1-K3)
+
+from shelfcast.operators import evaluation as EV  # noqa: E402
+from shelfcast.operators import sampling as SP  # noqa: E402
+
+SAMPLE_KEY = "md5(concat_ws('/', store, date, '42'))"
+
+
+@register("sample_fraction", q(f"""
+select store, date, sales from open_panel
+qualify row_number() over (order by {SAMPLE_KEY}) <= (select floor(count(*) * 0.2) from open_panel)"""))
+def sample_fraction(spark, sf):
+    return SP.sample_fraction(panels(spark, sf)[2], 0.2).select("store", "date", "sales")
+
+
+@register("sample_fixed", q(f"""
+select store, date, sales from open_panel order by {SAMPLE_KEY} limit 8000"""))
+def sample_fixed(spark, sf):
+    return SP.sample_fixed(panels(spark, sf)[2], 8000).select("store", "date", "sales")
+
+
+@register("time_split_counts", q("""
+with c as (select max(date) - 42 as cutoff from open_panel)
+select (select cutoff from c) as cutoff,
+  cast(count_if(date < (select cutoff from c)) as bigint) as train_rows,
+  cast(count_if(date >= (select cutoff from c)) as bigint) as validation_rows,
+  cast(count(distinct case when date >= (select cutoff from c) then date end) as bigint) as validation_dates
+from open_panel"""))
+def time_split_counts(spark, sf):
+    op = panels(spark, sf)[2]
+    flagged = SP.with_split_flag(op, 6)
+    cutoff = op.agg(F.date_sub(F.max("date"), 42)).scalar()
+    v = F.col("is_validation") == 1
+    return flagged.agg(F.count_if(~v).alias("train_rows"), F.count_if(v).alias("validation_rows"),
+                       F.count_distinct(F.when(v, F.col("date"))).alias("validation_dates")) \
+        .select(cutoff.alias("cutoff"), "*")
+
+
+# ---------------------------------------------------------------- evaluation (M3-M12) with a fixed predictor
+
+BASELINE_SQL = f"""
+c as (select max(date) - 42 as cutoff from open_panel),
+tr as (select * from open_panel where date < (select cutoff from c)),
+va as (select * from open_panel where date >= (select cutoff from c)),
+sm as (select store, {MEAN.format(c='sales')} as p from tr group by store),
+pred as (select va.store, va.date, va.promo, va.sales as y, coalesce(sm.p, 0.0) as p
+         from va left join sm on va.store = sm.store)"""
+METRICS_SQL = """round(sqrt(avg((y - p) * (y - p))), 6) as rmse, round(avg(abs(y - p)), 6) as mae,
+  round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) * 100, 6) as mape,
+  round(sqrt(avg(case when y <> 0 then pow((y - p) / y, 2) end)) * 100, 6) as rmspe,
+  round(case when var_pop(y) * count(y) <> 0 then 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y))
+       when sum((y - p) * (y - p)) = 0 then 1.0 else 0.0 end, 6) as r2,
+  cast(count(*) as bigint) as rows"""
+
+
+def baseline_predictions(spark, sf, keys=("store",)):
+    op = panels(spark, sf)[2]
+    train, val = SP.time_split(op, 6)
+    pred = EV.store_mean_predictions(train, val, keys=list(keys))
+    return pred.select("store", "date", "promo", F.col("sales").alias("y"), "p")
+
+
+def _rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+@register("regression_metrics", q(f"with {BASELINE_SQL} select {METRICS_SQL} from pred"))
+def regression_metrics(spark, sf):
+    m = EV.regression_metrics(baseline_predictions(spark, sf))
+    return _rounded(m, ["rmse", "mae", "mape", "rmspe", "r2"])
+
+
+@register("regression_metrics_by_promo", q(f"with {BASELINE_SQL} select promo, {METRICS_SQL} from pred group by promo"))
+def regression_metrics_by_promo(spark, sf):
+    m = EV.regression_metrics(baseline_predictions(spark, sf), by=["promo"])
+    return _rounded(m, ["rmse", "mae", "mape", "rmspe", "r2"])
+
+
+@register("pick_winner", q(f"""
+with {BASELINE_SQL},
+sp as (select store, promo, {MEAN.format(c='sales')} as p2 from tr group by store, promo),
+pred2 as (select va.sales as y, coalesce(sp.p2, 0.0) as p from va left join sp on va.store = sp.store and va.promo = sp.promo),
+m as (select 'store_mean' as model, sqrt(avg(case when y <> 0 then pow((y - p) / y, 2) end)) * 100 as rmspe from pred
+      union all
+      select 'store_promo_mean' as model, sqrt(avg(case when y <> 0 then pow((y - p) / y, 2) end)) * 100 as rmspe from pred2)
+select arg_min(model, (rmspe, case when model = 'store_promo_mean' then 0 else 1 end)) as best_model,
+  round(min(rmspe), 6) as best_rmspe from m"""))
+def pick_winner(spark, sf):
+    a = EV.regression_metrics(baseline_predictions(spark, sf)).select(F.lit("store_mean").alias("model"), "rmspe")
+    b = EV.regression_metrics(baseline_predictions(spark, sf, keys=("store", "promo"))) \
+        .select(F.lit("store_promo_mean").alias("model"), "rmspe")
+    return _rounded(EV.pick_winner(a.unionByName(b), preferred_on_tie="store_promo_mean"), ["best_rmspe"])
+
+
+@register("residuals", q(f"with {BASELINE_SQL} select store, date, y, p, y - p as residual from pred"))
+def residuals(spark, sf):
+    return EV.residuals(baseline_predictions(spark, sf)).select("store", "date", "y", "p", "residual")
+
+
+@register("confidence_band", q(f"""
+with {BASELINE_SQL}, s as (select stddev_pop(y - p) as sd from pred)
+select store, date, round(p - 1.96 * sd, 6) as ci_lo, round(p + 1.96 * sd, 6) as ci_hi,
+  cast(y >= p - 1.96 * sd and y <= p + 1.96 * sd as int) as inside from pred, s"""))
+def confidence_band(spark, sf):
+    b = EV.confidence_band(baseline_predictions(spark, sf))
+    return _rounded(b.select("store", "date", "ci_lo", "ci_hi", "inside"), ["ci_lo", "ci_hi"])
+
+
+@register("coverage", q(f"""
+with {BASELINE_SQL}, s as (select stddev_pop(y - p) as sd from pred),
+b as (select store, date, cast(y >= p - 1.96 * sd and y <= p + 1.96 * sd as int) as inside from pred, s),
+f as (select * from b order by store, date limit 150)
+select round((select avg(inside) from f) * 100, 6) as coverage_first_n, 150 as n,
+  round((select avg(inside) from b) * 100, 6) as coverage_all"""))
+def coverage(spark, sf):
+    c = EV.coverage(baseline_predictions(spark, sf), order=["store", "date"], n=150)
+    return _rounded(c, ["coverage_first_n", "coverage_all"])
+
+
+@register("residual_hist", q(f"""
+with {BASELINE_SQL}, v as (select y - p as x from pred),
+m as (select min(x) as mn, max(x) as mx, count(x) as n from v),
+b as (select least(cast(floor((x - mn) * 70 / (mx - mn)) as int), 69) as bin from v, m)
+select bin, round(mn + bin * ((mx - mn) / 70), 6) as lo, round(mn + (bin + 1) * ((mx - mn) / 70), 6) as hi,
+  cast(count(*) as bigint) as count, round(count(*) / (n * ((mx - mn) / 70)), 12) as density
+from b, m group by bin, mn, mx, n"""))
+def residual_hist(spark, sf):
+    h = EV.residual_hist(baseline_predictions(spark, sf), bins=70)
+    return h.withColumns({"lo": r6("lo"), "hi": r6("hi"), "density": F.round("density", 12)})
+
+
+@register("normal_curve", q(f"""
+with {BASELINE_SQL}, st as (select avg(y - p) as mu, stddev_pop(y - p) as sigma, min(y - p) as lo, max(y - p) as hi from pred),
+g as (select cast(i as int) as i, lo + i * (hi - lo) / 199 as x, mu, sigma from st, range(0, 200) t(i))
+select i, round(x, 6) as x, round(exp(-0.5 * ((x - mu) / sigma) * ((x - mu) / sigma)) / (sigma * sqrt(2 * pi())), 12) as pdf
+from g"""))
+def normal_curve(spark, sf):
+    c = EV.normal_curve(baseline_predictions(spark, sf), points=200)
+    return c.withColumns({"x": r6("x"), "pdf": F.round("pdf", 12)})
+
+
+@register("qq_points")
+def qq_points(spark, sf):
+    return EV.qq_points(baseline_predictions(spark, sf))
