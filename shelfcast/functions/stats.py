@@ -54,3 +54,24 @@ def inv_norm_cdf(p: Column) -> Column:
 def norm_pdf(x: Column, mu: Column, sigma: Column) -> Column:
     z = (x - mu) / sigma
     return F.exp(-0.5 * z * z) / (sigma * math.sqrt(2 * math.pi))
+
+
+def with_inv_norm_cdf(df, p: str, out: str):
+    """``inv_norm_cdf`` in staged projections, so a complex ``p`` is computed once
+    per row instead of being copied into every polynomial term."""
+    q = F.col("_q")
+    staged = df.withColumn("_p", F.col(p)).withColumn("_q", F.col("_p") - 0.5)
+    staged = staged.withColumns({
+        "_rc": F.lit(0.180625) - q * q,
+        "_rt": F.sqrt(-F.log(F.when(q <= 0, F.col("_p")).otherwise(F.lit(1.0) - F.col("_p")))),
+    })
+    rt = F.col("_rt")
+    staged = staged.withColumns({
+        "_central": q * _poly(AS241_A, F.col("_rc")) / _poly(AS241_B, F.col("_rc")),
+        "_outer": F.when(rt <= 5.0, _poly(AS241_C, rt - 1.6) / _poly(AS241_D, rt - 1.6))
+                   .otherwise(_poly(AS241_E, rt - 5.0) / _poly(AS241_F, rt - 5.0)),
+    })
+    res = (F.when((F.col("_p") <= 0) | (F.col("_p") >= 1) | F.col("_p").isNull(), F.lit(None).cast("double"))
+           .when(F.abs(q) <= 0.425, F.col("_central"))
+           .when(q < 0, -F.col("_outer")).otherwise(F.col("_outer")))
+    return staged.withColumn(out, res).drop("_p", "_q", "_rc", "_rt", "_central", "_outer")

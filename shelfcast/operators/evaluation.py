@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.stats import inv_norm_cdf, norm_pdf
+from shelfcast.functions.stats import norm_pdf, with_inv_norm_cdf
 from shelfcast.operators.eda import histogram
 from shelfcast.operators.joins import bounded_broadcast
 from shelfcast.operators.ordering import global_row_number
@@ -109,7 +109,8 @@ def qq_points(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 256) ->
     last = F.pow(F.lit(0.5), 1.0 / n)
     m = (F.when(F.col("i") == n, last).when(F.col("i") == 1, 1 - last)
          .otherwise((F.col("i") - 0.3175) / (n + 0.365)))
-    pts = ranked.select(F.col("i"), inv_norm_cdf(m).alias("theoretical"), F.col("residual").alias("ordered"))
+    pts = with_inv_norm_cdf(ranked.withColumn("_m", m), "_m", "theoretical") \
+        .select("i", "theoretical", F.col("residual").alias("ordered"))
     fit = pts.agg(F.regr_slope("ordered", "theoretical").alias("slope"),
                   F.regr_intercept("ordered", "theoretical").alias("intercept"),
                   F.corr("ordered", "theoretical").alias("r"))
