@@ -46,6 +46,18 @@ def lift_pct(treated: Column, control: Column) -> Column:
     return F.try_divide(treated - control, control) * 100
 
 
+def rnd(c, digits: int = 6) -> Column:
+    """Round half away from zero as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
+
+    Written out so that the same IEEE operations happen in every engine
+    (Spark's ``round`` rounds the exact binary value, other engines round
+    ``x * 10^d``; the two disagree on values that print as exact ties).
+    """
+    x = _col(c)
+    m = float(10 ** digits)
+    return F.signum(x) * F.floor(F.abs(x) * m + 0.5) / m
+
+
 def r6(c) -> Column:
     """Round a floating statistic to 6 decimals (engines differ in the last bits)."""
-    return F.round(_col(c), 6)
+    return rnd(c, 6)

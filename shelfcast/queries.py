@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.aggregates import r6
+from shelfcast.functions.aggregates import r6, rnd
 from shelfcast.operators import clean as C
 from shelfcast.operators import eda as E
 from shelfcast.oracle import q
@@ -280,7 +280,7 @@ def sales_fit_line(spark, sf):
     out = E.sales_fit_line(panels(spark, sf)[2])
     return out.select("i", r6("slope").alias("slope"), r6("intercept").alias("intercept"), r6("r").alias("r"),
                       r6("x").alias("x"),
-                      F.round(r6("slope") * r6("x") + r6("intercept"), 4).alias("y"))
+                      rnd(r6("slope") * r6("x") + r6("intercept"), 4).alias("y"))
 
 
 # ---------------------------------------------------------------- features
@@ -474,7 +474,7 @@ def baseline_predictions(spark, sf, keys=("store",)):
 
 
 def _rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in cols})
+    return df.withColumns({c: rnd(c, digits) for c in cols})
 
 
 @register("regression_metrics", q(f"with {BASELINE_SQL} select {METRICS_SQL} from pred"))
@@ -539,7 +539,7 @@ select bin, round(mn + bin * ((mx - mn) / 70), 6) as lo, round(mn + (bin + 1) *
 from b, m group by bin, mn, mx, n"""))
 def residual_hist(spark, sf):
     h = EV.residual_hist(baseline_predictions(spark, sf), bins=70)
-    return h.withColumns({"lo": r6("lo"), "hi": r6("hi"), "density": F.round("density", 12)})
+    return h.withColumns({"lo": r6("lo"), "hi": r6("hi"), "density": rnd("density", 12)})
 
 
 @register("normal_curve", q(f"""
@@ -549,9 +549,141 @@ select i, round(x, 6) as x, round(exp(-0.5 * ((x - mu) / sigma) * ((x - mu) / si
 from g"""))
 def normal_curve(spark, sf):
     c = EV.normal_curve(baseline_predictions(spark, sf), points=200)
-    return c.withColumns({"x": r6("x"), "pdf": F.round("pdf", 12)})
+    return c.withColumns({"x": r6("x"), "pdf": rnd("pdf", 12)})
 
 
 @register("qq_points")
 def qq_points(spark, sf):
     return EV.qq_points(baseline_predictions(spark, sf))
+
+
+# ---------------------------------------------------------------- time series (TS1-TS10, K4)
+
+from shelfcast.operators import timeseries as TS  # noqa: E402
+
+SERIES_SQL = f"""
+open_rows as (select * from panel where open = 1),
+daily as (select store, date, {MEAN.format(c='sales')} as y from open_rows group by store, date),
+bounds as (select store, min(date) as d0, max(date) as d1 from daily group by store),
+spine as (select store, cast(unnest(generate_series(d0, d1, interval 1 day)) as date) as date from bounds),
+resampled as (select spine.store, spine.date, daily.y from spine left join daily
+              on spine.store = daily.store and spine.date = daily.date),
+nb as (select *,
+  last_value(y ignore nulls) over (partition by store order by date rows between unbounded preceding and current row) as pv,
+  last_value(case when y is not null then date end ignore nulls) over (partition by store order by date rows between unbounded preceding and current row) as pdt,
+  first_value(y ignore nulls) over (partition by store order by date rows between current row and unbounded following) as nv,
+  first_value(case when y is not null then date end ignore nulls) over (partition by store order by date rows between current row and unbounded following) as ndt
+  from resampled),
+ser as (select store, date, round(case when y is not null then y when pv is null then nv when nv is null then pv
+  else pv + (nv - pv) * (cast(date - pdt as double) / cast(ndt - pdt as double)) end, 6) as y from nb),
+sert as (select *, cast(row_number() over (partition by store order by date) as int) as t from ser)"""
+
+
+def rounded_series(spark, sf) -> DataFrame:
+    s = TS.interpolate(TS.daily_series(panels(spark, sf)[1]))
+    return s.withColumn("y", r6("y")).withColumn("t", F.row_number().over(TS.by_date()))
+
+
+@register("daily_resample", q(f"with {SERIES_SQL} select store, date, y from resampled"))
+def daily_resample(spark, sf):
+    return TS.daily_series(panels(spark, sf)[1])
+
+
+@register("interpolate", q(f"with {SERIES_SQL} select store, date, y from ser"))
+def interpolate(spark, sf):
+    return rounded_series(spark, sf).select("store", "date", "y")
+
+
+@register("first_difference", q(f"""with {SERIES_SQL}
+select store, date, diff from (select store, date, round(y - lag(y) over (partition by store order by date), 6) as diff
+  from ser) d where diff is not null"""))
+def first_difference(spark, sf):
+    return TS.first_difference(rounded_series(spark, sf)).select("store", "date", r6("diff").alias("diff"))
+
+
+@register("dickey_fuller_lag0", q(f"""with {SERIES_SQL},
+l as (select store, y - lag(y) over (partition by store order by date) as dy,
+      lag(y) over (partition by store order by date) as yl from ser),
+a as (select store, regr_slope(dy, yl) as b, regr_sxx(dy, yl) as sxx, regr_syy(dy, yl) as syy,
+      regr_count(dy, yl) as n from l where dy is not null group by store)
+select store, cast(n as bigint) as n, round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 4) as df_stat from a"""))
+def dickey_fuller_lag0(spark, sf):
+    return TS.dickey_fuller_lag0(rounded_series(spark, sf)).withColumn("df_stat", rnd("df_stat", 4))
+
+
+@register("acf", q(f"""with {SERIES_SQL},
+s2 as (select store, t, y - avg(y) over (partition by store) as d from sert where y is not null),
+c0 as (select store, count(*) as n, sum(d * d) as c0 from s2 group by store),
+lags as (select cast(range as int) as lag from range(1, 41)),
+ck as (select a.store, k.lag, sum(a.d * b.d) as ck from s2 a join lags k on true
+       join s2 b on a.store = b.store and b.t = a.t - k.lag group by a.store, k.lag),
+grid as (select c0.store, c0.n, c0.c0, lags.lag from c0, lags),
+r as (select store, n, 0 as lag, 1.0 as acf from c0
+      union all
+      select g.store, g.n, g.lag, coalesce(ck.ck, 0.0) / g.c0 as acf from grid g
+      left join ck on g.store = ck.store and g.lag = ck.lag),
+b as (select *, coalesce(sum(case when lag >= 1 then acf * acf end) over (partition by store order by lag
+      rows between unbounded preceding and 1 preceding), 0.0) as cum from r)
+select store, cast(n as bigint) as n, cast(lag as int) as lag, round(acf, 6) as acf,
+  round(1.96 * sqrt(case when lag = 0 then 0.0 when lag = 1 then 1.0 / n else (1 + 2 * cum) / n end), 6) as band
+from b"""))
+def acf(spark, sf):
+    a = TS.acf(rounded_series(spark, sf), nlags=40)
+    return a.select("store", "n", "lag", r6("acf").alias("acf"), r6("band").alias("band"))
+
+
+@register("pacf")
+def pacf(spark, sf):
+    return TS.pacf(TS.acf(rounded_series(spark, sf), nlags=40))
+
+
+@register("adf")
+def adf(spark, sf):
+    return TS.adf(rounded_series(spark, sf))
+
+
+@register("make_stationary")
+def make_stationary(spark, sf):
+    s = rounded_series(spark, sf)
+    return TS.make_stationary(s, TS.adf(s))
+
+
+@register("minmax_scale", q(f"""with {SERIES_SQL}
+select store, date, min(y) over (partition by store) as v_min, max(y) over (partition by store) as v_max,
+  round(-1.0 + 2.0 * ((y - min(y) over (partition by store)) / nullif(max(y) over (partition by store)
+  - min(y) over (partition by store), 0)), 6) as scaled from ser"""))
+def minmax_scale(spark, sf):
+    s = TS.minmax_scale(rounded_series(spark, sf))
+    return s.select("store", "date", "v_min", "v_max", r6("scaled").alias("scaled"))
+
+
+@register("unscale_roundtrip", q(f"""with {SERIES_SQL},
+m as (select store, date, y, min(y) over (partition by store) as v_min, max(y) over (partition by store) as v_max from ser),
+s as (select *, -1.0 + 2.0 * ((y - v_min) / nullif(v_max - v_min, 0)) as scaled from m)
+select store, date, round(v_min + (scaled - (-1.0)) / 2.0 * (v_max - v_min), 4) as y_back from s"""))
+def unscale_roundtrip(spark, sf):
+    s = TS.minmax_scale(rounded_series(spark, sf))
+    return s.select("store", "date", rnd(TS.unscale(F.col("scaled"), F.col("v_min"), F.col("v_max")), 4)
+                    .alias("y_back"))
+
+
+@register("sliding_windows", q(f"""with {SERIES_SQL},
+w as (select store, t, y, list(y) over (partition by store order by t rows between 14 preceding and 1 preceding) as x
+      from sert)
+select store, t, x, y as target from w where t > 14"""))
+def sliding_windows(spark, sf):
+    return TS.sliding_windows(rounded_series(spark, sf), "y", 14)
+
+
+@register("ordered_cut", q(f"""with {SERIES_SQL},
+w as (select store, t from sert where t > 14),
+c as (select store, t, row_number() over (partition by store order by t) as rn, count(*) over (partition by store) as n from w)
+select store, t, cast(rn <= floor(n * 0.85) as int) as is_train from c"""))
+def ordered_cut(spark, sf):
+    w = TS.sliding_windows(rounded_series(spark, sf), "y", 14)
+    return TS.ordered_cut(w, 0.85).select("store", "t", "is_train")
+
+
+@register("lag_forecast")
+def lag_forecast(spark, sf):
+    return TS.lag_forecast(panels(spark, sf)[1])[1]
