@@ -114,7 +114,7 @@ def histogram(df: DataFrame, col: str, bins: int, density: bool = False) -> Data
     width = (mx - mn) / bins
     raw = F.floor(F.try_divide((x - mn) * bins, mx - mn))
     idx = F.least(F.coalesce(raw, F.lit(0)).cast("int"), F.lit(bins - 1))
-    counted = vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counted = vals.withColumn("bin", idx).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     out = counted.select("bin",
                          (mn + F.col("bin") * width).alias("lo"),
                          (mn + (F.col("bin") + 1) * width).alias("hi"),

@@ -51,8 +51,12 @@ def label_code(c: str, labels: list[str]) -> Column:
         F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c).cast("string"))).cast("int"))
 
 
-def engineer(df: DataFrame, vocab: dict[str, list[str]], distance_fill: float | Column) -> DataFrame:
-    """fill -> date features -> encode -> promo2 flag -> competition months -> drop."""
+def engineer(df: DataFrame, vocab: dict[str, list[str]], distance_fill: float | Column,
+             keep: tuple[str, ...] = ()) -> DataFrame:
+    """fill -> date features -> encode -> promo2 flag -> competition months -> drop.
+
+    ``keep`` names source columns to carry through (e.g. ``date`` as a row key).
+    """
     fill = distance_fill if isinstance(distance_fill, Column) else F.lit(float(distance_fill))
     out = fill_defaults(df, fill)
     out = out.withColumns(cal.date_feature_columns("date"))
@@ -61,7 +65,7 @@ def engineer(df: DataFrame, vocab: dict[str, list[str]], distance_fill: float |
     out = out.withColumn("competition_open_months",
                          cal.competition_open_months("year", "month", "competition_open_since_year",
                                                      "competition_open_since_month"))
-    return out.drop(*[c for c in DROPPED if c in out.columns])
+    return out.drop(*[c for c in DROPPED if c in out.columns and c not in keep])
 
 
 class _FEParams(Params):
@@ -69,19 +73,24 @@ class _FEParams(Params):
                        typeConverter=TypeConverters.toString)
     distanceFill = Param(Params._dummy(), "distanceFill", "fill value for competition_distance",
                          typeConverter=TypeConverters.toFloat)
+    keepColumns = Param(Params._dummy(), "keepColumns", "source columns carried through unchanged",
+                        typeConverter=TypeConverters.toListString)
 
 
 class FeatureEngineerModel(Model, _FEParams, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
-    def __init__(self, vocabulary: str = "{}", distanceFill: float = 0.0):
+    def __init__(self, vocabulary: str = "{}", distanceFill: float = 0.0, keepColumns: list | None = None):
         super().__init__()
-        self._set(**self._input_kwargs)
+        self._setDefault(keepColumns=[])
+        kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
+        self._set(**kwargs)
 
     def vocab(self) -> dict[str, list[str]]:
         return json.loads(self.getOrDefault(self.vocabulary))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return engineer(df, self.vocab(), self.getOrDefault(self.distanceFill))
+        return engineer(df, self.vocab(), self.getOrDefault(self.distanceFill),
+                        tuple(self.getOrDefault(self.keepColumns)))
 
 
 class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -91,6 +100,16 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     once, so a row's score does not depend on the batch it arrives in.
     """
 
+    keepColumns = Param(Params._dummy(), "keepColumns", "source columns carried through unchanged",
+                        typeConverter=TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, keepColumns: list | None = None):
+        super().__init__()
+        self._setDefault(keepColumns=[])
+        kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
+        self._set(**kwargs)
+
     def _fit(self, df: DataFrame) -> FeatureEngineerModel:
         filled = fill_defaults(df, F.lit(None).cast("double"))
         vocab = {}
@@ -100,7 +119,8 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             vocab[c] = sorted(r[0] for r in filled.select(c).distinct().collect())
         med = exact_median(df, "competition_distance").collect()[0][0]
         return FeatureEngineerModel(vocabulary=json.dumps(vocab),
-                                    distanceFill=float(med) if med is not None else 0.0)
+                                    distanceFill=float(med) if med is not None else 0.0,
+                                    keepColumns=list(self.getOrDefault(self.keepColumns)))
 
 
 def label_encode(train: DataFrame, df: DataFrame) -> DataFrame:

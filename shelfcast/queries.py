@@ -687,3 +687,126 @@ def ordered_cut(spark, sf):
 @register("lag_forecast")
 def lag_forecast(spark, sf):
     return TS.lag_forecast(panels(spark, sf)[1])[1]
+
+
+# ---------------------------------------------------------------- models and scoring
+# Query-sized forests; the library defaults are the reference's (400 x 25, 500 x 0.03 x 8).
+
+from shelfcast.operators import scoring as SC  # noqa: E402
+from shelfcast.plans import models as MD  # noqa: E402
+
+QUERY_RF = {"num_trees": 20, "max_depth": 8, "seed": 42}
+QUERY_GBT = {"max_iter": 20, "step_size": 0.1, "max_depth": 5, "seed": 42}
+_FITTED: dict = {}
+
+
+def fitted(spark, sf, kind: str):
+    """Fit (once per session and input) the query-sized model on the pre-horizon training split."""
+    key = (id(spark), sf, kind)
+    if key not in _FITTED:
+        data = panels(spark, sf)[2].drop("customers")
+        train, val = SP.time_split(data, 6)
+        pipe = MD.rf_pipeline(**QUERY_RF) if kind == "rf" else MD.gbt_pipeline(**QUERY_GBT)
+        _FITTED[key] = MD.fit_and_record(pipe, kind, train, val)
+    return _FITTED[key]
+
+
+def _metric_frame(spark, m: dict, name: str) -> DataFrame:
+    return spark.createDataFrame([(name, m["RMSE"], m["MAE"], m["MAPE"], m["RMSPE"], m["R2"])],
+                                 "model string, rmse double, mae double, mape double, rmspe double, r2 double")
+
+
+@register("rf_metrics")
+def rf_metrics(spark, sf):
+    _, pred, _ = fitted(spark, sf, "rf")
+    return EV.regression_metrics(pred, "y", "p").withColumn("model", F.lit("RandomForest"))
+
+
+@register("gbt_metrics")
+def gbt_metrics(spark, sf):
+    _, pred, _ = fitted(spark, sf, "gbt")
+    return EV.regression_metrics(pred, "y", "p").withColumn("model", F.lit("GradientBoosting"))
+
+
+@register("model_choice")
+def model_choice(spark, sf):
+    a = EV.regression_metrics(fitted(spark, sf, "rf")[1], "y", "p").select(F.lit("RandomForest").alias("model"), "rmspe")
+    b = EV.regression_metrics(fitted(spark, sf, "gbt")[1], "y", "p").select(F.lit("GradientBoosting").alias("model"), "rmspe")
+    return EV.pick_winner(a.unionByName(b))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    return MD.feature_importance(fitted(spark, sf, "rf")[0], spark, top_n=20)
+
+
+@register("model_coverage")
+def model_coverage(spark, sf):
+    return EV.coverage(fitted(spark, sf, "rf")[1], order=["store", "date"], n=150)
+
+
+@register("submission")
+def submission(spark, sf):
+    return SC.submission(fitted(spark, sf, "rf")[0], test_panel(spark, sf))
+
+
+@register("submission_summary")
+def submission_summary(spark, sf):
+    return SC.submission_summary(SC.submission(fitted(spark, sf, "rf")[0], test_panel(spark, sf)))
+
+
+def scenario_requests(spark, sf) -> DataFrame:
+    """Every horizon store under both promo settings, no school holiday, six weeks."""
+    stores = load_panel(spark, sf).horizon.select("store").distinct()
+    return stores.select("store", F.explode(F.array(F.lit(1), F.lit(0))).alias("promo"),
+                         F.lit(0).alias("school_holiday"), F.lit(6).alias("weeks"))
+
+
+@register("forecast_calendar", q("""
+with r as (select distinct store from horizon), p(promo) as (values (1), (0)),
+last as (select max(date) as d1 from horizon)
+select r.store, p.promo, 0 as school_holiday, 6 as weeks, cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date
+from r, p, last"""))
+def forecast_calendar(spark, sf):
+    return SC.forecast_calendar(load_panel(spark, sf).horizon, scenario_requests(spark, sf))
+
+
+@register("forecast_requests", q("""
+with r as (select distinct store from horizon), p(promo) as (values (1), (0)),
+last as (select max(date) as d1 from horizon),
+c as (select r.store, p.promo, 0 as school_holiday, 6 as weeks,
+      cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date from r, p, last)
+select c.store, c.promo, c.school_holiday, c.weeks, c.date, s.store_type, s.assortment, s.competition_distance,
+  s.competition_open_since_month, s.competition_open_since_year, s.promo2, s.promo2_since_week,
+  s.promo2_since_year, s.promo_interval, cast(isodow(c.date) as int) as day_of_week,
+  case when isodow(c.date) = 7 and coalesce(s.store_type, '') <> 'b' then 0 else 1 end as open,
+  'None' as state_holiday
+from c left join store s on c.store = s.store"""))
+def forecast_requests(spark, sf):
+    p = load_panel(spark, sf)
+    return SC.forecast_requests(p.horizon, p.store, scenario_requests(spark, sf))
+
+
+@register("scenario_forecast")
+def scenario_forecast(spark, sf):
+    p = load_panel(spark, sf)
+    return SC.scenario_forecast(fitted(spark, sf, "rf")[0], p.horizon, p.store, scenario_requests(spark, sf))[1]
+
+
+@register("batch_score")
+def batch_score(spark, sf):
+    # The horizon as an upload: raw rows (nulls in open), store attributes joined by J2.
+    p = load_panel(spark, sf)
+    return SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store)
+
+
+@register("batch_summary")
+def batch_summary(spark, sf):
+    p = load_panel(spark, sf)
+    return SC.batch_summary(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store))
+
+
+@register("batch_histogram")
+def batch_histogram(spark, sf):
+    p = load_panel(spark, sf)
+    return SC.batch_histogram(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store), 60)
