@@ -67,7 +67,8 @@ def promo2_active(promo2, promo_interval, month) -> Column:
     are not consulted.
     """
     pi = _c(promo_interval)
-    abbrev = F.element_at(F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS]), _c(month))
+    m = _c(month)
+    abbrev = F.when(m.between(1, 12), F.element_at(F.array(*[F.lit(x) for x in MONTH_ABBREVIATIONS]), m))
     listed = F.array_contains(F.transform(F.split(pi, ","), lambda t: F.trim(t)), abbrev)
     return (F.when((_c(promo2) == 0) | (pi == ""), F.lit(0))
             .otherwise(listed.cast("int")))

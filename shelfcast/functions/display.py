@@ -48,7 +48,7 @@ def distance_band_index(c="competition_distance") -> Column:
 
 def distance_band(c="competition_distance") -> Column:
     idx = distance_band_index(c)
-    return F.element_at(F.array(*[F.lit(x) for x in DISTANCE_LABELS]), idx + 1)
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in DISTANCE_LABELS]), idx + 1))
 
 
 def clean_prediction(p) -> Column:
