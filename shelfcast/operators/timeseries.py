@@ -31,26 +31,47 @@ def whole():
 
 # ---------------------------------------------------------------- TS1, TS2
 
-def daily_series(panel: DataFrame, value: str = "sales") -> DataFrame:
-    """F9 + TS1: open days only, mean per (store, day), missing days as null rows.
+def _daily_means(panel: DataFrame, value: str) -> DataFrame:
+    """F9 + the per-day mean: open days only, one row per (store, day)."""
+    return (panel.where(F.col("open") == 1)
+            .groupBy("store", "date").agg(exact_mean(value).alias("y")))
+
+
+def _gaps(daily: DataFrame) -> DataFrame:
+    """Each known day with the next known day of its store and the store's first day.
 
-    The day spine is generated per store from its first to last open day
-    (``sequence`` + ``explode``) and left-joined to the daily means.
+    One window (partitioned by store, ordered by date) replaces a calendar
+    spine and its join: the days in between are generated from each row.
     """
-    opened = panel.where(F.col("open") == 1)
-    daily = opened.groupBy("store", "date").agg(exact_mean(value).alias("y"))
-    bounds = daily.groupBy("store").agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
-    spine = bounds.select("store", F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"))
-    return spine.join(daily, ["store", "date"], "left")
+    nxt = Window.partitionBy("store").orderBy("date")
+    return daily.withColumns({"_nd": F.lead("date").over(nxt), "_nv": F.lead("y").over(nxt),
+                              "_d0": F.min("date").over(whole())})
+
+
+def _fill_days(daily: DataFrame, interpolate_values: bool) -> DataFrame:
+    g = _gaps(daily)
+    gap = F.coalesce(F.datediff("_nd", "date"), F.lit(1))
+    g = g.withColumn("_k", F.explode(F.sequence(F.lit(0), gap - 1)))
+    k = F.col("_k").cast("double")
+    if interpolate_values:
+        y = (F.when(F.col("_k") == 0, F.col("y"))
+             .otherwise(F.col("y") + (F.col("_nv") - F.col("y")) * (k / gap.cast("double"))))
+    else:
+        y = F.when(F.col("_k") == 0, F.col("y"))
+    day = F.date_add("date", F.col("_k"))
+    return g.select("store", day.alias("date"), y.alias("y"),
+                    (F.datediff(day, "_d0") + 1).cast("int").alias("t"))
 
 
-def interpolate(series: DataFrame, col: str = "y", out: str = "y") -> DataFrame:
-    """TS2: linear interpolation between the nearest known days on each side.
+def daily_series(panel: DataFrame, value: str = "sales") -> DataFrame:
+    """F9 + TS1: open days only, mean per (store, day), days without rows as nulls,
+    from each store's first to its last open day."""
+    return _fill_days(_daily_means(panel, value), interpolate_values=False).drop("t")
 
-    Days before the first or after the last known value keep the nearest
-    known value on their side, as positional linear interpolation does at the
-    end of a series (the TS1 spine never has such days).
-    """
+
+def interpolate(series: DataFrame, col: str = "y", out: str = "y") -> DataFrame:
+    """TS2 on a series with null days: linear interpolation between the nearest known
+    days on each side (days beyond the last known value keep it)."""
     known_d = F.when(F.col(col).isNotNull(), F.col("date"))
     back = by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fwd = by_date().rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -68,9 +89,9 @@ def interpolate(series: DataFrame, col: str = "y", out: str = "y") -> DataFrame:
 
 
 def store_series(panel: DataFrame, value: str = "sales") -> DataFrame:
-    """TS1 + TS2 with a 1-based day index ``t``."""
-    s = interpolate(daily_series(panel, value))
-    return s.withColumn("t", F.row_number().over(by_date()))
+    """TS1 + TS2 in one pass: daily means, missing days generated between known
+    neighbours and interpolated on the spot, with a 1-based day index ``t``."""
+    return _fill_days(_daily_means(panel, value), interpolate_values=True)
 
 
 # ---------------------------------------------------------------- TS4

@@ -580,8 +580,7 @@ sert as (select *, cast(row_number() over (partition by store order by date) as
 
 
 def rounded_series(spark, sf) -> DataFrame:
-    s = TS.interpolate(TS.daily_series(panels(spark, sf)[1]))
-    return s.withColumn("y", r6("y")).withColumn("t", F.row_number().over(TS.by_date()))
+    return TS.store_series(panels(spark, sf)[1]).withColumn("y", r6("y"))
 
 
 @register("daily_resample", q(f"with {SERIES_SQL} select store, date, y from resampled"))
@@ -594,6 +593,13 @@ def interpolate(spark, sf):
     return rounded_series(spark, sf).select("store", "date", "y")
 
 
+@register("interpolate_nulls", q(f"with {SERIES_SQL} select store, date, y from ser"))
+def interpolate_nulls(spark, sf):
+    """TS2 as a separate step over TS1's null days (the window form)."""
+    s = TS.interpolate(TS.daily_series(panels(spark, sf)[1]))
+    return s.select("store", "date", r6("y").alias("y"))
+
+
 @register("first_difference", q(f"""with {SERIES_SQL}
 select store, date, diff from (select store, date, round(y - lag(y) over (partition by store order by date), 6) as diff
   from ser) d where diff is not null"""))
