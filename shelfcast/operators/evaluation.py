@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.stats import norm_pdf, with_inv_norm_cdf
 from shelfcast.operators.eda import histogram
-from shelfcast.operators.joins import bounded_broadcast
 from shelfcast.operators.ordering import global_row_number
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon, the MAPE floor
@@ -125,4 +124,4 @@ def store_mean_predictions(train: DataFrame, val: DataFrame, y: str = "sales",
     used to check the metric and band operators against SQL."""
     from shelfcast.functions.aggregates import exact_mean
     means = train.groupBy(*keys).agg(exact_mean(y).alias("p"))
-    return val.join(bounded_broadcast(means), list(keys), "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
+    return val.join(means, list(keys), "left").withColumn("p", F.coalesce("p", F.lit(0.0)))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import bounded_broadcast
 
 
 def global_row_number(df: DataFrame, order_cols: list[str], name: str,
@@ -27,5 +26,7 @@ def global_row_number(df: DataFrame, order_cols: list[str], name: str,
     running = Window.orderBy(partition_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(partition_col,
                             F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    out = numbered.join(bounded_broadcast(offsets), partition_col)
+    # One row per group: AQE turns this into a broadcast join at run time when the
+    # materialised offsets are small, and keeps a shuffle join when they are not.
+    out = numbered.join(offsets, partition_col)
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_rn", "_off")

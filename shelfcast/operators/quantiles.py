@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import bounded_broadcast
 
 ACCURACY = 100_000          # rank error of the bracket: n / ACCURACY
 SMALL_GROUP_ROWS = 1_000_000  # groups up to this size use the exact value map directly
@@ -45,7 +44,9 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
              .select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
              .withColumns({"_k0": F.floor(pos).cast("bigint"), "_k1": F.ceil(pos).cast("bigint"),
                            "_frac": pos - F.floor(pos)}))
-    stats_b = bounded_broadcast(stats)
+    # One row per group; AQE picks broadcast or shuffle join from its real size
+    # (a plan-time row-count check would run this aggregate twice).
+    stats_b = stats
     j = vals.join(stats_b, keys)
     small = F.col("_n") <= small_group_rows
 

@@ -169,16 +169,33 @@ def adf_test(values: np.ndarray, max_lag: int | None = None) -> tuple[float, flo
         return dx[rows], np.column_stack(cols)
 
     best = None
-    for lag in range(0, max_lag + 1):
-        y, X = design(lag, max_lag)
-        _, ssr, rank = _ols(y, X)
-        m = y.size
-        if m == 0 or ssr <= 0:
-            continue
-        llf = -m / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m) + 1.0)
-        aic = -2.0 * llf + 2.0 * rank
-        if best is None or aic < best[0]:
-            best = (aic, lag)
+    # All candidate models share the common sample and are nested (const, level,
+    # lag 1, lag 2, ...), so one QR of the widest design gives every model's SSR.
+    y_all, X_all = design(max_lag, max_lag)
+    m = y_all.size
+    Q, R = np.linalg.qr(X_all)
+    diag = np.abs(np.diag(R))
+    if m > 0 and diag.size and diag.min() > 1e-10 * max(diag.max(), 1e-300):
+        qty2 = np.cumsum((Q.T @ y_all) ** 2)
+        yy = float(y_all @ y_all)
+        for lag in range(0, max_lag + 1):
+            ssr = yy - float(qty2[lag + 1])
+            if ssr <= 0:
+                continue
+            llf = -m / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m) + 1.0)
+            aic = -2.0 * llf + 2.0 * (lag + 2)
+            if best is None or aic < best[0]:
+                best = (aic, lag)
+    else:
+        for lag in range(0, max_lag + 1):
+            y, X = design(lag, max_lag)
+            _, ssr, rank = _ols(y, X)
+            if y.size == 0 or ssr <= 0:
+                continue
+            llf = -y.size / 2.0 * (math.log(2 * math.pi) + math.log(ssr / y.size) + 1.0)
+            aic = -2.0 * llf + 2.0 * rank
+            if best is None or aic < best[0]:
+                best = (aic, lag)
     lag = best[1] if best else 0
     y, X = design(lag, lag)
     beta, ssr, rank = _ols(y, X)

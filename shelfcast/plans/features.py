@@ -112,11 +112,10 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, df: DataFrame) -> FeatureEngineerModel:
         filled = fill_defaults(df, F.lit(None).cast("double"))
-        vocab = {}
-        for c in CATEGORICAL:
-            # The vocabulary is a handful of labels: distinct is a partial
-            # aggregate, and only the labels reach the driver.
-            vocab[c] = sorted(r[0] for r in filled.select(c).distinct().collect())
+        # Each vocabulary is a handful of labels: one pass of partial
+        # collect_set aggregates, and only the label sets reach the driver.
+        row = filled.agg(*[F.collect_set(c).alias(c) for c in CATEGORICAL]).first()
+        vocab = {c: sorted(row[c]) for c in CATEGORICAL}
         med = exact_median(df, "competition_distance").collect()[0][0]
         return FeatureEngineerModel(vocabulary=json.dumps(vocab),
                                     distanceFill=float(med) if med is not None else 0.0,

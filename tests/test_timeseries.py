@@ -22,10 +22,11 @@ def _panel(spark, series: dict[int, list]):
 
 
 def _gen(n=400, seed=1):
+    # sales are money: 4 decimals, as the panel's DECIMAL means keep them
     rng = np.random.default_rng(seed)
-    return {1: (100 + rng.normal(0, 1, n)).tolist(),            # white noise
-            2: (100 + np.cumsum(rng.normal(0, 1, n))).tolist(),  # random walk
-            3: (100 + 10 * np.sin(2 * np.pi * np.arange(n) / 7)).tolist()}
+    return {1: np.round(100 + rng.normal(0, 1, n), 4).tolist(),            # white noise
+            2: np.round(100 + np.cumsum(rng.normal(0, 1, n)), 4).tolist(),  # random walk
+            3: np.round(100 + 10 * np.sin(2 * np.pi * np.arange(n) / 7), 4).tolist()}
 
 
 def test_adf_noise_vs_walk_and_scale(spark):
@@ -34,10 +35,13 @@ def test_adf_noise_vs_walk_and_scale(spark):
     res = {r["store"]: r for r in adf(store_series(_panel(spark, g))).collect()}
     assert res[1]["is_stationary"] and res[1]["p_value"] < 0.01
     assert not res[2]["is_stationary"] and res[2]["p_value"] > 0.05
-    scaled = {k: [v * 37.0 for v in vals] for k, vals in g.items()}
+    # values with 2 decimals scaled by 4 stay exact in the 4-decimal money type
+    g = {k: [round(v, 2) for v in vals] for k, vals in g.items()}
+    res = {r["store"]: r for r in adf(store_series(_panel(spark, g))).collect()}
+    scaled = {k: [v * 4.0 for v in vals] for k, vals in g.items()}
     res2 = {r["store"]: r for r in adf(store_series(_panel(spark, scaled))).collect()}
     for s in (1, 2):
-        assert res2[s]["adf_stat"] == pytest.approx(res[s]["adf_stat"], rel=1e-6)
+        assert res2[s]["adf_stat"] == pytest.approx(res[s]["adf_stat"], rel=1e-9)
 
 
 def test_mackinnon_known_points():
@@ -102,7 +106,7 @@ def test_ordered_cut_and_lag_forecast(spark):
     for st in g:
         n = n_windows[st]
         assert m[st]["test_windows"] == n - int(n * 0.85)
-    assert m[3]["rmse"] < 1e-6  # a pure weekly cycle is an exact 14-lag autoregression
+    assert m[3]["rmse"] < 1e-3  # a weekly cycle (to 4 decimals) is a near-exact 14-lag autoregression
 
 
 def test_qq_points_brute_force(spark):
