@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.stats import norm_pdf, with_inv_norm_cdf
 from shelfcast.operators.eda import histogram
-from shelfcast.operators.ordering import global_row_number
+from pyspark.ml.feature import Bucketizer
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon, the MAPE floor
 
@@ -90,26 +90,48 @@ def normal_curve(df: DataFrame, points: int = 200, y: str = "y", p: str = "p") -
     return grid.select("i", x.alias("x"), norm_pdf(x, F.col("mu"), F.col("sigma")).alias("pdf"))
 
 
-def qq_points(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 256) -> DataFrame:
+def qq_points(df: DataFrame, y: str = "y", p: str = "p", rows_per_bucket: int = 1_000_000,
+              chunk: int = 1_000_000, buckets: int | None = None) -> DataFrame:
     """Normal Q-Q points (Filliben order-statistic medians) and the least-squares line.
 
-    The global rank is built from value buckets (cut at approximate quantiles,
-    so each holds about n/buckets rows): rows are numbered inside their bucket
-    and offset by the counts of the buckets below.
+    Ranks are never taken with one task over all rows:
+    residuals are first collapsed to (value, count) pairs (a partial
+    aggregate, so a value repeated a billion times is one pair); the pairs
+    are cut into value buckets at approximate quantiles (Bucketizer, binary
+    search), numbered by a running count inside each bucket plus the counts of
+    the buckets below, and each pair expands to its rank range. A pair whose
+    range is longer than ``chunk`` is split into chunks that are spread over
+    tasks before expanding.
     """
-    r = residuals(df, y, p).select("residual").where(F.col("residual").isNotNull())
-    probs = [i / buckets for i in range(1, buckets)]
-    # The cut points are a fixed-size summary (buckets - 1 numbers), not data.
-    cuts = r.agg(F.percentile_approx("residual", F.array(*[F.lit(x) for x in probs]), 10_000)).first()[0] or []
-    cut_arr = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    bucket = F.size(F.filter(cut_arr, lambda c: c < F.col("residual")))
-    ranked = global_row_number(r.withColumn("_b", bucket), ["_b", "residual"], "i", partition_col="_b")
-    n = r.agg(F.count(F.lit(1))).scalar()
-    last = F.pow(F.lit(0.5), 1.0 / n)
+    r = residuals(df, y, p).select(F.col("residual").alias("v")).where(F.col("v").isNotNull())
+    vc = r.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    head = vc.agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
+    k, n = int(head["k"] or 0), int(head["n"] or 0)
+    nb = buckets or max(16, min(100_000, -(-k // rows_per_bucket)))
+    probs = [i / nb for i in range(1, nb)]
+    cuts = vc.agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in probs]), max(10_000, 10 * nb))).first()[0]
+    splits = [float("-inf")] + sorted(set(float(c) for c in (cuts or []))) + [float("inf")]
+    bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="_bd").transform(vc)
+                .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
+    inner = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = bucketed.withColumn("_cum", F.sum("c").over(inner))
+    totals = bucketed.groupBy("_b").agg(F.sum("c").alias("_t"))
+    below = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(below), F.lit(0)).alias("_off"))
+    ranged = numbered.join(offsets, "_b").select(
+        "v", "c", (F.col("_off") + F.col("_cum") - F.col("c")).alias("_o"))
+    # Expand each pair to its ranks; long ranges are chunked and redistributed first.
+    ranged = ranged.withColumn("_nch", F.ceil(F.col("c") / F.lit(chunk)).cast("int"))
+    chunks = ranged.select("v", "c", "_o", F.explode(F.sequence(F.lit(0), F.col("_nch") - 1)).alias("_ch"))
+    hot = chunks.where(F.col("c") > chunk).repartition("v", "_ch")
+    spans = chunks.where(F.col("c") <= chunk).unionByName(hot)
+    lo = F.col("_o") + 1 + F.col("_ch") * chunk
+    hi = F.least(F.col("_o") + F.col("c"), lo + chunk - 1)
+    ranks = spans.select(F.explode(F.sequence(lo, hi)).alias("i"), F.col("v").alias("ordered"))
+    last = F.pow(F.lit(0.5), 1.0 / n) if n else F.lit(None)
     m = (F.when(F.col("i") == n, last).when(F.col("i") == 1, 1 - last)
          .otherwise((F.col("i") - 0.3175) / (n + 0.365)))
-    pts = with_inv_norm_cdf(ranked.withColumn("_m", m), "_m", "theoretical") \
-        .select("i", "theoretical", F.col("residual").alias("ordered"))
+    pts = with_inv_norm_cdf(ranks.withColumn("_m", m), "_m", "theoretical").select("i", "theoretical", "ordered")
     fit = pts.agg(F.regr_slope("ordered", "theoretical").alias("slope"),
                   F.regr_intercept("ordered", "theoretical").alias("intercept"),
                   F.corr("ordered", "theoretical").alias("r"))

@@ -673,12 +673,29 @@ def unscale_roundtrip(spark, sf):
                     .alias("y_back"))
 
 
+LAG_COLS_SQL = ", ".join(f"x[{i}] as x_{i:02d}" for i in range(1, 15))
+
+
 @register("sliding_windows", q(f"""with {SERIES_SQL},
 w as (select store, t, y, list(y) over (partition by store order by t rows between 14 preceding and 1 preceding) as x
       from sert)
-select store, t, x, y as target from w where t > 14"""))
+select store, t, {LAG_COLS_SQL}, y as target from w where t > 14"""))
 def sliding_windows(spark, sf):
-    return TS.sliding_windows(rounded_series(spark, sf), "y", 14)
+    """TS7; the window array is shown as 14 columns x_01 (oldest) .. x_14 (newest)."""
+    w = TS.sliding_windows(rounded_series(spark, sf), "y", 14)
+    return w.select("store", "t", *[F.col("x")[i - 1].alias(f"x_{i:02d}") for i in range(1, 15)], "target")
+
+
+@register("store_list", q("select distinct store from history order by store limit 100"))
+def store_list(spark, sf):
+    """L2: distinct stores, sorted, first 100 (the store pickers)."""
+    return load_panel(spark, sf).fact.select("store").distinct().orderBy("store").limit(100)
+
+
+@register("head_rows", q("select store, date, sales from open_panel order by store, date limit 200"))
+def head_rows(spark, sf):
+    """L1/L3: the first 200 open-day rows in (store, date) order (an ordered limit)."""
+    return panels(spark, sf)[2].orderBy("store", "date").limit(200).select("store", "date", "sales")
 
 
 @register("ordered_cut", q(f"""with {SERIES_SQL},

@@ -109,12 +109,15 @@ def test_ordered_cut_and_lag_forecast(spark):
     assert m[3]["rmse"] < 1e-3  # a weekly cycle (to 4 decimals) is a near-exact 14-lag autoregression
 
 
-def test_qq_points_brute_force(spark):
+@pytest.mark.parametrize("ties", [False, True])
+def test_qq_points_brute_force(spark, ties):
     from shelfcast.operators.evaluation import qq_points
     rng = np.random.default_rng(3)
     y = rng.normal(0, 5, 300)
+    if ties:  # a hot value: a third of all residuals are equal, expanded in chunks of 7
+        y[:100] = 1.25
     df = spark.createDataFrame([(float(v), 0.0) for v in y], "y double, p double")
-    pts = qq_points(df, buckets=16).orderBy("i").collect()
+    pts = qq_points(df, buckets=16, chunk=7).orderBy("i").collect()
     n = len(y)
     srt = np.sort(y)
     m = np.array([(i - 0.3175) / (n + 0.365) for i in range(1, n + 1)])
