@@ -833,3 +833,24 @@ def batch_summary(spark, sf):
 def batch_histogram(spark, sf):
     p = load_panel(spark, sf)
     return SC.batch_histogram(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store), 60)
+
+
+@register("display_labels", q("""
+with r as (select distinct store from horizon), last as (select max(date) as d1 from horizon),
+c as (select r.store, cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date from r, last)
+select c.store, c.date, strftime(c.date, '%a %d %b %Y') as date_label,
+  case when isodow(c.date) = 7 and coalesce(s.store_type, '') <> 'b' then 'No' else 'Yes' end as open_label,
+  case s.assortment when 'a' then 'Basic' when 'b' then 'Extra' when 'c' then 'Extended' end as assortment_label,
+  dayname(c.date) as weekday
+from c left join store s on c.store = s.store"""))
+def display_labels(spark, sf):
+    """X19, X20, X23 on the forecast calendar of every horizon store."""
+    from shelfcast.functions import display as DSP
+    p = load_panel(spark, sf)
+    req = p.horizon.select("store").distinct().select("store", F.lit(1).alias("promo"),
+                                                      F.lit(0).alias("school_holiday"), F.lit(6).alias("weeks"))
+    rows = SC.forecast_requests(p.horizon, p.store, req)
+    return rows.select("store", "date", DSP.display_date("date").alias("date_label"),
+                       DSP.yes_no("open").alias("open_label"),
+                       DSP.assortment_label("assortment").alias("assortment_label"),
+                       DSP.weekday_name("date").alias("weekday"))

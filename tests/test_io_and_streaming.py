@@ -84,3 +84,34 @@ def test_training_scoring_and_stores(spark, tmp_dir):
     batch = batch_score(model, p.horizon, p.store)
     assert sorted(streamed.select("id", "predicted_sales").collect()) == \
         sorted(batch.select("id", "predicted_sales").collect())
+
+
+def test_sinks(spark, tmp_dir):
+    import json
+    import glob
+    from shelfcast.sources.csv_io import write_batch, write_forecast, write_metrics_json
+    daily = spark.createDataFrame([(dt.date(2015, 9, 1), 7, 1, 12.5), (dt.date(2015, 9, 6), 7, 0, 0.0)],
+                                  "date date, store long, open int, predicted_sales double")
+    write_forecast(daily, f"{tmp_dir}/fc")
+    back = spark.read.option("header", True).csv(f"{tmp_dir}/fc")
+    assert back.columns == ["Date", "Store", "Open", "Predicted_Sales"] and back.count() == 2
+    write_batch(daily.withColumn("id", F.lit(3)), f"{tmp_dir}/batch")
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/batch").columns[0] == "Id"
+    m = {"RandomForest": {"RMSE": 1.0, "MAE": 2.0, "MAPE": 3.0, "RMSPE": 4.0, "R2": 0.5},
+         "GradientBoosting": {"RMSE": 2.0, "MAE": 3.0, "MAPE": 4.0, "RMSPE": 5.0, "R2": 0.4}}
+    write_metrics_json(spark, "RandomForest", m, f"{tmp_dir}/metrics")
+    rec = json.loads(open(glob.glob(f"{tmp_dir}/metrics/part-*.json")[0]).readline())
+    assert rec["best_model"] == "RandomForest" and rec["best"]["RMSPE"] == 4.0
+    assert rec["GradientBoosting"]["R2"] == 0.4
+
+
+def test_upload_requires_columns(spark, tmp_dir):
+    from shelfcast.sources.csv_io import read_upload
+    spark.createDataFrame([(1, 2)], "Store int, Open int").write.mode("overwrite").option("header", True) \
+        .csv(f"{tmp_dir}/up")
+    with pytest.raises(ValueError, match="Date"):
+        read_upload(spark, f"{tmp_dir}/up")
+    spark.createDataFrame([(1, "2015-09-01", "1", "x")], "Store int, Date string, Open string, Note string") \
+        .write.mode("overwrite").option("header", True).csv(f"{tmp_dir}/up2")
+    up = read_upload(spark, f"{tmp_dir}/up2")
+    assert dict(up.dtypes) == {"store": "int", "date": "date", "open": "int", "note": "string"}
