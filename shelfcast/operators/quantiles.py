@@ -79,15 +79,21 @@ def exact_median(df: DataFrame, col: str, by: list[str] | None = None, name: str
     return exact_quantile(df, col, 0.5, by, name, **kw)
 
 
+TAKE_ORDERED_MAX = 10_000  # an ordered limit gathers up to n rows per partition into one task
+
+
 def smallest_n(df: DataFrame, key: str, n: int, total: int | None = None,
-               small_rows: int = SMALL_GROUP_ROWS, accuracy: int = ACCURACY) -> DataFrame:
+               small_rows: int = TAKE_ORDERED_MAX, accuracy: int = ACCURACY, _depth: int = 0) -> DataFrame:
     """Exactly the ``n`` rows with the smallest string ``key`` (a hex digest).
 
-    ``n`` up to ``small_rows`` is a TakeOrderedAndProject. Larger ``n``
-    (e.g. a 20 % sample of a huge table) thresholds on the digest's leading 60
-    bits: rows below an approximate-rank bracket are all kept, and only the
-    bracket (about 8n/accuracy rows) is ordered exactly.
+    ``n`` up to ``small_rows`` is an ordered limit (TakeOrderedAndProject).
+    Larger ``n`` (e.g. a 20 % sample of a huge table) thresholds on the
+    digest's leading 60 bits: rows below an approximate-rank bracket are all
+    kept, and only the bracket (about 8/accuracy of the rows) is searched
+    again, recursively, until the remainder is small enough to order.
     """
+    if n <= 0:
+        return df.limit(0)
     if n <= small_rows:
         return df.orderBy(F.col(key)).limit(n)
     total = total if total is not None else df.count()
@@ -96,13 +102,22 @@ def smallest_n(df: DataFrame, key: str, n: int, total: int | None = None,
     h = F.conv(F.substring(F.col(key), 1, 15), 16, 10).cast("bigint")
     hashed = df.withColumn("_h", h)
     p = n / total
-    bounds = hashed.agg(F.percentile_approx("_h", F.array(F.lit(max(0.0, p - 4.0 / accuracy)),
-                                                          F.lit(min(1.0, p + 4.0 / accuracy))),
-                                            accuracy).alias("_b"))
-    lo, hi = bounds.select(F.col("_b")[0]).scalar(), bounds.select(F.col("_b")[1]).scalar()
-    below = hashed.where(F.col("_h") < lo)
-    n_below = below.agg(F.count(F.lit(1))).scalar()
-    bracket = hashed.where((F.col("_h") >= lo) & (F.col("_h") <= hi))
-    ranked = bracket.withColumn("_r", F.row_number().over(Window.orderBy(F.col(key))))
-    picked = ranked.where(F.col("_r") + n_below <= n).drop("_r")
-    return below.unionByName(picked).drop("_h")
+    for margin in (4.0 / accuracy, 40.0 / accuracy, 400.0 / accuracy):
+        bounds = hashed.agg(F.percentile_approx("_h", F.array(F.lit(max(0.0, p - margin)),
+                                                              F.lit(min(1.0, p + margin))), accuracy)).first()[0]
+        lo, hi = bounds[0], bounds[1]
+        counts = hashed.agg(F.count_if(F.col("_h") < lo).alias("b"),
+                            F.count_if((F.col("_h") >= lo) & (F.col("_h") <= hi)).alias("m")).first()
+        n_below, n_mid = counts["b"], counts["m"]
+        if n_below <= n <= n_below + n_mid:
+            break
+    else:
+        return df.orderBy(F.col(key)).limit(n)  # the approximation failed three times: exact fallback
+    below = hashed.where(F.col("_h") < lo).drop("_h")
+    bracket = hashed.where((F.col("_h") >= lo) & (F.col("_h") <= hi)).drop("_h")
+    if n_mid >= total or _depth >= 5:  # no progress (digest prefixes collide): order the bracket
+        picked = bracket.orderBy(F.col(key)).limit(n - n_below)
+    else:
+        picked = smallest_n(bracket, key, n - n_below, total=n_mid, small_rows=small_rows,
+                            accuracy=accuracy, _depth=_depth + 1)
+    return below.unionByName(picked)

@@ -36,7 +36,7 @@ def sample_fixed(df: DataFrame, n: int, seed: int = 42, keys: list[str] = ("stor
         if has_at_most(df, n - 1):
             raise ValueError(f"cannot take a sample of {n} rows from a smaller table")
     keyed = df.withColumn("_sample_key", sample_key(list(keys), seed))
-    return keyed.orderBy("_sample_key").limit(n).drop("_sample_key")
+    return smallest_n(keyed, "_sample_key", n).drop("_sample_key")
 
 
 def time_split(df: DataFrame, weeks: int = 6, date_col: str = "date") -> tuple[DataFrame, DataFrame]:

@@ -359,7 +359,7 @@ def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85
     series = store_series(panel)
     stat = make_stationary(series, adf(series, threshold=threshold))
     scaled = minmax_scale(stat, "y")
-    bounds = scaled.select("store", "v_min", "v_max").distinct()
+    bounds = stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max"))
     windows = sliding_windows(scaled.where(F.col("scaled").isNotNull()), "scaled", look_back)
     fitted = fit_lag_regression(ordered_cut(windows, train_frac))
     out = fitted.join(bounds, "store").withColumns({

@@ -40,6 +40,8 @@ def test_smallest_n_threshold_path(spark):
     expect = sorted(r["k"] for r in df.collect())[:1234]
     got = smallest_n(df, "k", 1234, small_rows=10, accuracy=200)
     assert sorted(r["k"] for r in got.collect()) == expect
+    got = smallest_n(df, "k", 1234, small_rows=10, accuracy=5000)  # recursion into the bracket
+    assert sorted(r["k"] for r in got.collect()) == expect
 
 
 def test_sample_fraction_exact_size_and_repeatable(spark):
