@@ -617,17 +617,20 @@ def dickey_fuller_lag0(spark, sf):
     return TS.dickey_fuller_lag0(rounded_series(spark, sf)).withColumn("df_stat", rnd("df_stat", 4))
 
 
-@register("acf", q(f"""with {SERIES_SQL},
+ACF_SQL = f"""{SERIES_SQL},
 s2 as (select store, t, y - avg(y) over (partition by store) as d from sert where y is not null),
 c0 as (select store, count(*) as n, sum(d * d) as c0 from s2 group by store),
 lags as (select cast(range as int) as lag from range(1, 41)),
 ck as (select a.store, k.lag, sum(a.d * b.d) as ck from s2 a join lags k on true
        join s2 b on a.store = b.store and b.t = a.t - k.lag group by a.store, k.lag),
 grid as (select c0.store, c0.n, c0.c0, lags.lag from c0, lags),
-r as (select store, n, 0 as lag, 1.0 as acf from c0
+r as (select store, n, 0 as lag, 1.0::double as acf from c0
       union all
       select g.store, g.n, g.lag, coalesce(ck.ck, 0.0) / g.c0 as acf from grid g
-      left join ck on g.store = ck.store and g.lag = ck.lag),
+      left join ck on g.store = ck.store and g.lag = ck.lag)"""
+
+
+@register("acf", q(f"""with {ACF_SQL},
 b as (select *, coalesce(sum(case when lag >= 1 then acf * acf end) over (partition by store order by lag
       rows between unbounded preceding and 1 preceding), 0.0) as cum from r)
 select store, cast(n as bigint) as n, cast(lag as int) as lag, round(acf, 6) as acf,
@@ -638,9 +641,26 @@ def acf(spark, sf):
     return a.select("store", "n", "lag", r6("acf").alias("acf"), r6("band").alias("band"))
 
 
-@register("pacf")
+PACF_STEP = "((r[k + 2] - list_sum(list_transform(phi, lambda y, j: y * r[k + 2 - j]))) / v)"
+
+
+@register("pacf", "with recursive " + q(f"""with {ACF_SQL},
+rl as (select store, n, list(acf order by lag) as r from r group by store, n),
+dl as (
+  select store, n, r, 1 as k, [r[2]] as phi, 1.0 - r[2] * r[2] as v, r[2] as pk from rl
+  union all
+  select store, n, r, k + 1 as k,
+    list_transform(phi, lambda x, i: x - {PACF_STEP} * phi[k + 1 - i]) || [{PACF_STEP}] as phi,
+    v * (1 - {PACF_STEP} * {PACF_STEP}) as v, {PACF_STEP} as pk
+  from dl where k < 40)
+select store, 0 as lag, 1.0::double as pacf, 0.0::double as band from rl
+union all
+select store, cast(k as int) as lag, round(pk, 6) as pacf, round(1.96 / sqrt(n), 6) as band from dl""").replace(
+    "\nwith store as", "\nstore as", 1))
 def pacf(spark, sf):
-    return TS.pacf(TS.acf(rounded_series(spark, sf), nlags=40))
+    """TS6 (Durbin-Levinson per store); the oracle runs the same recursion as a recursive CTE."""
+    out = TS.pacf(TS.acf(rounded_series(spark, sf), nlags=40))
+    return out.select("store", "lag", r6("pacf").alias("pacf"), r6("band").alias("band"))
 
 
 @register("adf")
