@@ -552,9 +552,40 @@ def normal_curve(spark, sf):
     return c.withColumns({"x": r6("x"), "pdf": rnd("pdf", 12)})
 
 
-@register("qq_points")
+def _poly_sql(coefs, r: str) -> str:
+    acc = repr(coefs[0])
+    for c in coefs[1:]:
+        acc = f"({acc} * {r} + {c!r})"
+    return acc
+
+
+def inv_norm_sql(p: str) -> str:
+    """AS 241 as a SQL expression (the oracle's inverse normal; DuckDB has none)."""
+    from shelfcast.functions import stats as ST
+    q_ = f"({p} - 0.5)"
+    rc = f"(0.180625 - {q_} * {q_})"
+    rt = f"sqrt(-ln(case when {q_} <= 0 then {p} else 1.0 - {p} end))"
+    mid = f"({_poly_sql(ST.AS241_C, f'({rt} - 1.6)')} / {_poly_sql(ST.AS241_D, f'({rt} - 1.6)')})"
+    tail = f"({_poly_sql(ST.AS241_E, f'({rt} - 5.0)')} / {_poly_sql(ST.AS241_F, f'({rt} - 5.0)')})"
+    outer = f"(case when {rt} <= 5.0 then {mid} else {tail} end)"
+    return (f"(case when abs({q_}) <= 0.425 then {q_} * {_poly_sql(ST.AS241_A, rc)} / {_poly_sql(ST.AS241_B, rc)} "
+            f"when {q_} < 0 then -{outer} else {outer} end)")
+
+
+@register("qq_points", q(f"""with {BASELINE_SQL},
+res as (select y - p as v from pred where y - p is not null),
+rk as (select v, row_number() over (order by v) as i, count(*) over () as n from res),
+mm as (select i, v, case when i = n then pow(0.5, 1.0 / n) when i = 1 then 1 - pow(0.5, 1.0 / n)
+                    else (i - 0.3175) / (n + 0.365) end as m from rk),
+pts as (select i, v as ordered, {inv_norm_sql('m')} as theoretical from mm),
+fit as (select regr_slope(ordered, theoretical) as slope, regr_intercept(ordered, theoretical) as intercept,
+        corr(ordered, theoretical) as r from pts)
+select cast(i as bigint) as i, round(theoretical, 9) as theoretical, ordered, round(slope, 6) as slope,
+  round(intercept, 6) as intercept, round(r, 6) as r from pts, fit"""))
 def qq_points(spark, sf):
-    return EV.qq_points(baseline_predictions(spark, sf))
+    out = EV.qq_points(baseline_predictions(spark, sf))
+    return out.select(F.col("i").cast("bigint").alias("i"), rnd("theoretical", 9).alias("theoretical"), "ordered",
+                      r6("slope").alias("slope"), r6("intercept").alias("intercept"), r6("r").alias("r"))
 
 
 # ---------------------------------------------------------------- time series (TS1-TS10, K4)
