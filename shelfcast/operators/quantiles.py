@@ -44,10 +44,15 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
              .select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
              .withColumns({"_k0": F.floor(pos).cast("bigint"), "_k1": F.ceil(pos).cast("bigint"),
                            "_frac": pos - F.floor(pos)}))
-    # One row per group; AQE picks broadcast or shuffle join from its real size
-    # (a plan-time row-count check would run this aggregate twice).
-    stats_b = stats
-    j = vals.join(stats_b, keys)
+    def attach(df_: DataFrame, cols: list[str]) -> DataFrame:
+        # Grouped: one row per group, joined on the keys (AQE picks broadcast or
+        # shuffle from its real size). Ungrouped: scalar subqueries, never a
+        # join on a constant key (which would plan as a cartesian product).
+        if by:
+            return df_.join(stats.select(*keys, *cols), keys)
+        return df_.withColumns({c: stats.select(c).scalar() for c in cols})
+
+    j = attach(vals, ["_n", "_lo", "_hi"])
     small = F.col("_n") <= small_group_rows
 
     # Small groups: the exact value map is bounded by the group size.
@@ -61,7 +66,7 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
     w = (Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = pairs.withColumn("_cum", F.sum("_w").over(w)).withColumn("_prev", F.col("_cum") - F.col("_w"))
-    cum = cum.join(stats_b.select(*keys, "_k0", "_k1", "_frac"), keys)
+    cum = attach(cum, ["_k0", "_k1", "_frac"])
 
     def at(k):
         return F.max(F.when(F.col("_v").isNotNull() & (F.col("_prev") <= F.col(k)) & (F.col(k) < F.col("_cum")),
@@ -69,8 +74,12 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
     big_q = (cum.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_f"))
              .select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_f")).alias("_q_big")))
 
-    out = (stats.select(*keys).join(exact_small, keys, "left").join(big_q, keys, "left")
-           .select(*[F.col(c) for c in by], F.coalesce("_q_small", "_q_big").alias(name)))
+    if by:
+        out = (stats.select(*keys).join(exact_small, keys, "left").join(big_q, keys, "left")
+               .select(*[F.col(c) for c in by], F.coalesce("_q_small", "_q_big").alias(name)))
+    else:
+        out = stats.select(F.coalesce(exact_small.select("_q_small").scalar(),
+                                      big_q.select("_q_big").scalar()).alias(name))
     return out
 
 
