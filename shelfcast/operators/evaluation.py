@@ -105,11 +105,21 @@ def qq_points(df: DataFrame, y: str = "y", p: str = "p", rows_per_bucket: int =
     """
     r = residuals(df, y, p).select(F.col("residual").alias("v")).where(F.col("v").isNotNull())
     vc = r.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    head = vc.agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
+
+    def summary(nb_: int):
+        probs = [i / nb_ for i in range(1, nb_)]
+        return vc.agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in probs]), max(10_000, 10 * nb_)).alias("cuts"),
+                      F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
+
+    # One pass gives the pair count, the row count and cut points on a first grid;
+    # only when that grid leaves buckets over ``rows_per_bucket`` pairs is a finer one taken.
+    nb = buckets or 1024
+    head = summary(nb)
     k, n = int(head["k"] or 0), int(head["n"] or 0)
-    nb = buckets or max(16, min(100_000, -(-k // rows_per_bucket)))
-    probs = [i / nb for i in range(1, nb)]
-    cuts = vc.agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in probs]), max(10_000, 10 * nb))).first()[0]
+    if buckets is None and -(-k // nb) > rows_per_bucket:
+        nb = min(100_000, -(-k // rows_per_bucket))
+        head = summary(nb)
+    cuts = head["cuts"]
     splits = [float("-inf")] + sorted(set(float(c) for c in (cuts or []))) + [float("inf")]
     bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="_bd").transform(vc)
                 .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
