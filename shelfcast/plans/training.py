@@ -86,3 +86,34 @@ def train_and_compare(fact: DataFrame, store: DataFrame, horizon: DataFrame,
                           {"best_RMSPE": best_m["RMSPE"], "best_R2": best_m["R2"]}, run_id=parent)
     return TrainingResult(best_name, best, {"RandomForest": rf_m, "GradientBoosting": gbt_m, "best": best_m},
                           imps, cov, pred, sub, submission_summary(sub), lag_metrics)
+
+
+def run_from_csv(spark, data_dir: str, out_dir: str, config: TrainingConfig | None = None):
+    """E1 end to end from the three CSV inputs: read (S1/S2) -> train and compare ->
+    write the submission (S5), the metrics record (S8), the best model (S9) and the run log
+    (S11) under ``out_dir``. Returns the TrainingResult."""
+    from shelfcast.sources.csv_io import read_raw, write_metrics_json, write_submission
+    from shelfcast.sources.runs import ModelStore, RunStore
+    fact, store, horizon = read_raw(spark, data_dir)
+    out = out_dir.rstrip("/")
+    runs, models = RunStore(spark, f"{out}/runs"), ModelStore(spark, out)
+    res = train_and_compare(fact, store, horizon, config, runs, models)
+    write_submission(res.submission, f"{out}/submission")
+    write_metrics_json(spark, res.best_name,
+                       {k: v for k, v in res.metrics.items() if k != "best"}, f"{out}/metrics")
+    return res
+
+
+def score_upload_file(spark, model_dir: str, store_csv: str, upload_csv: str, out_dir: str):
+    """The batch page (M17) from files: latest saved model, store CSV, uploaded CSV
+    -> predictions (S7) plus the summary (G19) and a 60-bin histogram (G16)."""
+    from shelfcast.operators.scoring import batch_histogram, batch_score, batch_summary
+    from shelfcast.sources.csv_io import STORE_SCHEMA, read_csv, read_upload, write_batch
+    from shelfcast.sources.runs import ModelStore
+    model, _ = ModelStore(spark, model_dir).load_latest()
+    if model is None:
+        raise FileNotFoundError(f"no trained model under {model_dir}")
+    store = read_csv(spark, store_csv, STORE_SCHEMA)
+    scored = batch_score(model, read_upload(spark, upload_csv), store)
+    write_batch(scored, out_dir)
+    return batch_summary(scored), batch_histogram(scored, 60)

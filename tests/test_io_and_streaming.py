@@ -115,3 +115,18 @@ def test_upload_requires_columns(spark, tmp_dir):
         .write.mode("overwrite").option("header", True).csv(f"{tmp_dir}/up2")
     up = read_upload(spark, f"{tmp_dir}/up2")
     assert dict(up.dtypes) == {"store": "int", "date": "date", "open": "int", "note": "string"}
+
+
+def test_run_from_csv_and_score_upload(spark, tmp_dir):
+    from shelfcast.plans.training import TrainingConfig, run_from_csv, score_upload_file
+    p = _write_reference_csvs(spark, tmp_dir)
+    cfg = TrainingConfig(rf={"num_trees": 3, "max_depth": 3}, gbt={"max_iter": 2, "max_depth": 2},
+                         run_lag_forecast=False)
+    res = run_from_csv(spark, tmp_dir, f"{tmp_dir}/out", cfg)
+    sub = spark.read.option("header", True).csv(f"{tmp_dir}/out/submission")
+    assert sub.columns == ["Id", "Sales"] and sub.count() == p.horizon.count()
+    assert spark.read.json(f"{tmp_dir}/out/metrics").first()["best_model"] == res.best_name
+    summary, hist = score_upload_file(spark, f"{tmp_dir}/out", f"{tmp_dir}/store.csv", f"{tmp_dir}/test.csv",
+                                      f"{tmp_dir}/scored")
+    assert summary.first()["rows"] == p.horizon.count()
+    assert hist.agg(F.sum("count")).first()[0] == p.horizon.count()
