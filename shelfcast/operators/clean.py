@@ -38,7 +38,8 @@ def clean(panel: DataFrame, distance_fill: Column | None = None) -> DataFrame:
     column (one scalar subquery), which is what the reference does per table.
     """
     if distance_fill is None:
-        distance_fill = panel.agg(F.median("competition_distance")).scalar()
+        from shelfcast.operators.quantiles import exact_median
+        distance_fill = exact_median(panel, "competition_distance").scalar()
     out = panel.withColumns({
         "competition_distance": F.coalesce(F.col("competition_distance"), distance_fill),
         **{c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED},
