@@ -12,10 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions import calendar as CAL
 from shelfcast.functions.aggregates import r6, rnd
 from shelfcast.operators import clean as C
 from shelfcast.operators import eda as E
+from shelfcast.operators import evaluation as EV
+from shelfcast.operators import sampling as SP
+from shelfcast.operators import scoring as SC
+from shelfcast.operators import timeseries as TS
 from shelfcast.oracle import q
+from shelfcast.plans import features as FE
+from shelfcast.plans import models as MD
 from shelfcast.sources.fixture import Panel, load_panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -285,8 +292,6 @@ def sales_fit_line(spark, sf):
 
 # ---------------------------------------------------------------- features
 
-from shelfcast.functions import calendar as CAL  # noqa: E402
-from shelfcast.plans import features as FE  # noqa: E402
 
 DATE_FEATURES_SQL = """
 cast(year(date) as int) as year, cast(month(date) as int) as month, cast(day(date) as int) as day,
@@ -413,8 +418,6 @@ def standard_scale(spark, sf):
 
 # ---------------------------------------------------------------- sampling and splitting (K1-K3)
 
-from shelfcast.operators import evaluation as EV  # noqa: E402
-from shelfcast.operators import sampling as SP  # noqa: E402
 
 SAMPLE_KEY = "md5(concat_ws('/', store, date, '42'))"
 
@@ -590,7 +593,6 @@ def qq_points(spark, sf):
 
 # ---------------------------------------------------------------- time series (TS1-TS10, K4)
 
-from shelfcast.operators import timeseries as TS  # noqa: E402
 
 SERIES_SQL = f"""
 open_rows as (select * from panel where open = 1),
@@ -766,8 +768,6 @@ def lag_forecast(spark, sf):
 # ---------------------------------------------------------------- models and scoring
 # Query-sized forests; the library defaults are the reference's (400 x 25, 500 x 0.03 x 8).
 
-from shelfcast.operators import scoring as SC  # noqa: E402
-from shelfcast.plans import models as MD  # noqa: E402
 
 QUERY_RF = {"num_trees": 20, "max_depth": 8, "seed": 42}
 QUERY_GBT = {"max_iter": 20, "step_size": 0.1, "max_depth": 5, "seed": 42}
