@@ -325,27 +325,41 @@ def ordered_cut(windows: DataFrame, frac: float = 0.85) -> DataFrame:
 
 # ---------------------------------------------------------------- TS10
 
-FORECAST_SCHEMA = "store long, t int, target double, prediction double, is_train int"
-
-
-def fit_lag_regression(cut: DataFrame) -> DataFrame:
-    """Least-squares autoregression on the lag window, per store, fitted on the training windows
-    and applied to all windows of that store (a grouped-pandas task per store; groups are
-    bounded by the series length)."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        X = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-        Xc = np.column_stack([np.ones(len(pdf)), X]) if len(pdf) else X
-        tr = pdf["is_train"].to_numpy() == 1
-        y = pdf["target"].to_numpy(dtype=float)
-        if tr.sum() == 0 or not np.isfinite(Xc).all() or not np.isfinite(y[tr]).all():
-            pred = np.full(len(pdf), np.nan)
-        else:
-            beta, *_ = np.linalg.lstsq(Xc[tr], y[tr], rcond=None)
-            pred = Xc @ beta
-        return pd.DataFrame({"store": pdf["store"].astype("int64").to_numpy(), "t": pdf["t"].astype("int32").to_numpy(),
-                             "target": y, "prediction": pred, "is_train": pdf["is_train"].astype("int32").to_numpy()})
-    return cut.groupBy("store").applyInPandas(run, FORECAST_SCHEMA)
+def fit_lag_regression(cut: DataFrame, look_back: int = 14, rcond: float = 1e-10) -> DataFrame:
+    """Least-squares autoregression on the lag window, per store, fitted on the training
+    windows and applied to all windows of that store.
+
+    The heavy part is JVM aggregates: the normal equations (X'X and X'y, with an
+    intercept column) are summed per store with partial aggregation. Only the
+    per-store sums (one row per store, 135 numbers) go through Python, where a
+    batch of stores is solved at once with a pseudo-inverse (minimum-norm
+    solution for collinear lags). Predictions are a dot product in a native
+    higher-order expression.
+    """
+    m = look_back + 1
+    f = [F.lit(1.0)] + [F.col("x")[i] for i in range(look_back)]
+    pairs = [(i, j) for i in range(m) for j in range(i, m)]
+    train = cut.where(F.col("is_train") == 1)
+    sums = train.groupBy("store").agg(
+        *[F.sum(f[i] * f[j]).alias(f"a_{i}_{j}") for i, j in pairs],
+        *[F.sum(f[i] * F.col("target")).alias(f"b_{i}") for i in range(m)])
+
+    def solve(batches):
+        for pdf in batches:
+            n = len(pdf)
+            A = np.zeros((n, m, m))
+            for i, j in pairs:
+                A[:, i, j] = A[:, j, i] = pdf[f"a_{i}_{j}"].to_numpy(dtype=float)
+            b = np.stack([pdf[f"b_{i}"].to_numpy(dtype=float) for i in range(m)], axis=1)
+            beta = np.einsum("nij,nj->ni", np.linalg.pinv(A, rcond=rcond), b) if n else np.zeros((0, m))
+            yield pd.DataFrame({"store": pdf["store"].astype("int64"), "beta": list(beta)})
+
+    coefs = sums.mapInPandas(solve, "store long, beta array<double>")
+    scored = cut.join(coefs, "store", "left")
+    dot = F.aggregate(F.zip_with(F.slice("beta", 2, look_back), "x", lambda w, v: w * v),
+                      F.element_at("beta", 1), lambda acc, v: acc + v)
+    return scored.select("store", F.col("t").cast("int").alias("t"), F.col("target").cast("double").alias("target"),
+                         dot.alias("prediction"), F.col("is_train").cast("int").alias("is_train"))
 
 
 def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85,
@@ -361,7 +375,7 @@ def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85
     scaled = minmax_scale(stat, "y")
     bounds = stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max"))
     windows = sliding_windows(scaled.where(F.col("scaled").isNotNull()), "scaled", look_back)
-    fitted = fit_lag_regression(ordered_cut(windows, train_frac))
+    fitted = fit_lag_regression(ordered_cut(windows, train_frac), look_back)
     out = fitted.join(bounds, "store").withColumns({
         "y_true": unscale(F.col("target"), F.col("v_min"), F.col("v_max")),
         "y_pred": unscale(F.col("prediction"), F.col("v_min"), F.col("v_max"))})

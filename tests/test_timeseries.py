@@ -128,3 +128,21 @@ def test_qq_points_brute_force(spark, ties):
     assert [r["theoretical"] for r in pts] == pytest.approx(theo, abs=1e-12)
     slope, intercept = np.polyfit(theo, srt, 1)
     assert pts[0]["slope"] == pytest.approx(slope) and pts[0]["intercept"] == pytest.approx(intercept)
+
+
+def test_lag_regression_matches_lstsq(spark):
+    from shelfcast.operators.timeseries import fit_lag_regression
+    rng = np.random.default_rng(11)
+    rows, ref = [], {}
+    for st in (1, 2):
+        y = rng.normal(0, 1, 120).cumsum() / 10
+        X = np.array([y[i:i + 14] for i in range(len(y) - 14)])
+        tgt = y[14:]
+        k = int(len(tgt) * 0.85)
+        beta, *_ = np.linalg.lstsq(np.column_stack([np.ones(k), X[:k]]), tgt[:k], rcond=None)
+        ref[st] = np.column_stack([np.ones(len(tgt)), X]) @ beta
+        rows += [(st, i + 15, [float(v) for v in X[i]], float(tgt[i]), int(i < k)) for i in range(len(tgt))]
+    df = spark.createDataFrame(rows, "store long, t int, x array<double>, target double, is_train int")
+    got = {(r["store"], r["t"]): r["prediction"] for r in fit_lag_regression(df).collect()}
+    for st in (1, 2):
+        assert [got[(st, i + 15)] for i in range(len(ref[st]))] == pytest.approx(ref[st].tolist(), abs=1e-6)
