@@ -32,6 +32,8 @@ def main() -> None:
                                   "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shelfcast-bench-ckpt-")})
     spark.sparkContext.setLogLevel("ERROR")
     from shelfcast.queries import QUERIES
+    # Untimed JVM warm-up that touches no test data (session start, first codegen).
+    spark.range(1_000_000).selectExpr("sum(id % 7) as s").collect()
     times: dict[str, float] = {}
     for name in HEADLINE:
         t0 = time.time()
