@@ -60,19 +60,33 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
                    .agg(F.percentile("_x", F.lit(q)).alias("_q_small")))
 
     # Large groups: count below the bracket, collapse the bracket to (value, weight).
-    big = j.where(~small & (F.col("_x") <= F.col("_hi")))
-    pairs = (big.groupBy(*keys, F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v"))
+    big = j.where(~small)
+    pairs = (big.where(F.col("_x") <= F.col("_hi"))
+             .groupBy(*keys, F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v"))
              .agg(F.count(F.lit(1)).alias("_w")))
     w = (Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = pairs.withColumn("_cum", F.sum("_w").over(w)).withColumn("_prev", F.col("_cum") - F.col("_w"))
     cum = attach(cum, ["_k0", "_k1", "_frac"])
+    # The nearest values just outside the bracket cover a bracket end that is off by one rank.
+    edges = big.groupBy(*keys).agg(F.max(F.when(F.col("_x") < F.col("_lo"), F.col("_x"))).alias("_pmax"),
+                                   F.min(F.when(F.col("_x") > F.col("_hi"), F.col("_x"))).alias("_nmin"))
 
     def at(k):
         return F.max(F.when(F.col("_v").isNotNull() & (F.col("_prev") <= F.col(k)) & (F.col(k) < F.col("_cum")),
                             F.col("_v")))
-    big_q = (cum.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_f"))
-             .select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_f")).alias("_q_big")))
+    found = cum.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_f"),
+                                   F.first("_k0").alias("_k0"), F.first("_k1").alias("_k1"),
+                                   F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_w"))), F.lit(0)).alias("_below"),
+                                   F.max("_cum").alias("_top"))
+    found = found.join(edges, keys) if by else found.withColumns(
+        {"_pmax": edges.select("_pmax").scalar(), "_nmin": edges.select("_nmin").scalar()})
+
+    def value(v, k):
+        return F.coalesce(F.col(v), F.when(F.col(k) == F.col("_below") - 1, F.col("_pmax")),
+                          F.when(F.col(k) == F.col("_top"), F.col("_nmin")))
+    big_q = found.select(*keys, (value("_v0", "_k0") + (value("_v1", "_k1") - value("_v0", "_k0")) * F.col("_f"))
+                         .alias("_q_big"))
 
     if by:
         out = (stats.select(*keys).join(exact_small, keys, "left").join(big_q, keys, "left")

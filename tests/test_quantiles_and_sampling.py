@@ -80,3 +80,21 @@ def test_global_row_number(spark):
     df = spark.createDataFrame([(s, d) for s in (3, 1, 2) for d in (5, 4)], "s int, d int")
     got = [(r["s"], r["d"], r["i"]) for r in global_row_number(df, ["s", "d"], "i").orderBy("i").collect()]
     assert got == [(1, 4, 1), (1, 5, 2), (2, 4, 3), (2, 5, 4), (3, 4, 5), (3, 5, 6)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.integers(-50, 50), min_size=1, max_size=300),
+       q=st.sampled_from([0.0, 0.25, 0.5, 0.75, 1.0]))
+def test_exact_quantile_property(spark, vals, q):
+    from shelfcast.operators.quantiles import exact_quantile
+    df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(vals)], "g int, v double")
+    got = {r["g"]: r["quantile"] for r in exact_quantile(df, "v", q, by=["g"], small_group_rows=0,
+                                                        accuracy=50).collect()}
+    for g in (0, 1):
+        xs = [float(v) for i, v in enumerate(vals) if i % 2 == g]
+        if xs:
+            assert got[g] == pytest.approx(float(np.quantile(np.array(xs), q)), abs=1e-9)

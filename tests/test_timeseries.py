@@ -146,3 +146,27 @@ def test_lag_regression_matches_lstsq(spark):
     got = {(r["store"], r["t"]): r["prediction"] for r in fit_lag_regression(df).collect()}
     for st in (1, 2):
         assert [got[(st, i + 15)] for i in range(len(ref[st]))] == pytest.approx(ref[st].tolist(), abs=1e-6)
+
+
+def test_make_stationary_follows_adf(spark):
+    from shelfcast.operators.timeseries import adf, make_stationary, store_series
+    g = _gen(300)
+    s = store_series(_panel(spark, {1: g[1], 2: g[2]}))
+    out = make_stationary(s, adf(s))
+    counts = {r["store"]: r["count"] for r in out.groupBy("store").count().collect()}
+    assert counts == {1: 300, 2: 299}  # noise kept as levels, the walk differenced (first day dropped)
+    first2 = out.where("store = 2").orderBy("t").first()
+    assert first2["y"] == pytest.approx(g[2][1] - g[2][0])
+
+
+def test_forecast_requests_open_rule(spark):
+    from shelfcast.operators.scoring import forecast_requests
+    horizon = spark.createDataFrame([(1, dt.date(2015, 9, 17))], "store long, date date")
+    store = spark.createDataFrame([(1, "a"), (2, "b")], "store long, store_type string")
+    req = spark.createDataFrame([(1, 1, 0, 2), (2, 0, 1, 1)], "store long, promo int, school_holiday int, weeks int")
+    rows = {(r["store"], r["date"]): r for r in forecast_requests(horizon, store, req).collect()}
+    assert len([k for k in rows if k[0] == 1]) == 14 and len([k for k in rows if k[0] == 2]) == 7
+    sunday = dt.date(2015, 9, 13)
+    assert rows[(1, sunday)]["open"] == 0 and rows[(2, sunday)]["open"] == 1
+    assert rows[(1, sunday)]["day_of_week"] == 7 and rows[(1, dt.date(2015, 9, 14))]["day_of_week"] == 1
+    assert max(k[1] for k in rows) == dt.date(2015, 9, 17) and rows[(1, sunday)]["state_holiday"] == "None"
