@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 100_000          # rank error of the bracket: n / ACCURACY
 SMALL_GROUP_ROWS = 1_000_000  # groups up to this size use the exact value map directly
+BRACKET_BUCKETS = 64  # value buckets that split a large group's bracket for the running sum
 _MARGIN = 4.0 / ACCURACY
 
 
@@ -64,9 +65,31 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None
     pairs = (big.where(F.col("_x") <= F.col("_hi"))
              .groupBy(*keys, F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v"))
              .agg(F.count(F.lit(1)).alias("_w")))
-    w = (Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = pairs.withColumn("_cum", F.sum("_w").over(w)).withColumn("_prev", F.col("_cum") - F.col("_w"))
+    # Running weight over the bracket in two levels: value buckets cut at approximate
+    # quantiles of the bracket (per group), a running sum inside each bucket, and the
+    # totals of the buckets below. No window holds a whole group's bracket.
+    probs = F.array(*[F.lit(i / BRACKET_BUCKETS) for i in range(1, BRACKET_BUCKETS)])
+    valued = pairs.where(F.col("_v").isNotNull())
+    if by:
+        cuts = valued.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10 * BRACKET_BUCKETS).alias("_cuts"))
+        bucketed = pairs.join(cuts, keys, "left")
+        cut_col = F.coalesce(F.col("_cuts"), F.array().cast("array<double>"))
+    else:
+        # a fixed-size summary (BRACKET_BUCKETS - 1 numbers), not data
+        got = valued.agg(F.percentile_approx("_v", probs, 10 * BRACKET_BUCKETS)).first()[0] or []
+        bucketed = pairs
+        cut_col = F.array(*[F.lit(float(c)) for c in got]) if got else F.array().cast("array<double>")
+    bucketed = bucketed.withColumn(
+        "_bk", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.size(F.filter(cut_col, lambda c: c < F.col("_v")))))
+    inner = (Window.partitionBy(*keys, "_bk").orderBy("_v")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bucketed = bucketed.withColumn("_cin", F.sum("_w").over(inner))
+    lower = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (bucketed.groupBy(*keys, "_bk").agg(F.sum("_w").alias("_bt"))
+               .select(*keys, "_bk", F.coalesce(F.sum("_bt").over(lower), F.lit(0)).alias("_boff")))
+    cum = (bucketed.join(offsets, [*keys, "_bk"])
+           .withColumn("_cum", F.col("_boff") + F.col("_cin"))
+           .withColumn("_prev", F.col("_cum") - F.col("_w")))
     cum = attach(cum, ["_k0", "_k1", "_frac"])
     # The nearest values just outside the bracket cover a bracket end that is off by one rank.
     edges = big.groupBy(*keys).agg(F.max(F.when(F.col("_x") < F.col("_lo"), F.col("_x"))).alias("_pmax"),
