@@ -32,8 +32,8 @@ def main() -> None:
                                   "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shelfcast-bench-ckpt-")})
     spark.sparkContext.setLogLevel("ERROR")
     from shelfcast.queries import QUERIES
-    from __spark_entry__ import _ship_package
-    _ship_package(spark)  # Python workers import the package whatever the working directory
+    from shelfcast.session import ship_package
+    ship_package(spark)  # Python workers import the package whatever the working directory
     # Untimed JVM warm-up that touches no test data (session start, first codegen).
     spark.range(1_000_000).selectExpr("sum(id % 7) as s").collect()
     times: dict[str, float] = {}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,13 +58,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on this cluster")
         path = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+_SHIPPED: set[str] = set()  # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shelfcast`` importable in the Python workers whatever the driver's working
+    directory: zip the package once per application and add it with ``addPyFile``, as
+    ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="shelfcast-pyfiles-"), "shelfcast.zip")
+    with zipfile.ZipFile(out, "w") as zf:
+        for root, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
