@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfcast.llm.common import read_table
+from shelfcast.llm import pareto_mix as MIX
+from shelfcast.llm import pii as PII
+from shelfcast.llm.common import read_table, written
+from shelfcast.llm.compression_quality import compression_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +27,17 @@ def register(name: str, sql: str | None = None):
 
 @register("op1_compression_bands")
 def op1(spark, sf):
-    from shelfcast.llm.compression_quality import compression_quality
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     return compression_quality(docs).drop("text")
+
+
+@register("op6_pii", PII.ORACLE_SQL)
+def op6(spark, sf):
+    return PII.digest(PII.find_pii(read_table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@register("op10_pareto_mix", MIX.ORACLE_SQL)
+def op10(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "source", MIX.n_words(F.col("text")).alias("words"))
+    mixed = MIX.pareto_mix(written(docs, "mix-sizes"), size_col="words")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
