@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm import decontam as DEC
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm.common import read_table, written
 from shelfcast.llm.compression_quality import compression_quality
+from shelfcast.llm.token_fst import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +43,16 @@ def op10(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "source", MIX.n_words(F.col("text")).alias("words"))
     mixed = MIX.pareto_mix(written(docs, "mix-sizes"), size_col="words")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op4_prefix_decontam", DEC.ORACLE_SQL)
+def op4(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return DEC.digest(DEC.hits(docs, read_table(spark, sf, "benchmark")))
+
+
+@register("op2_fst_tokens")
+def op2(spark, sf):
+    import public_tokenizers
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
