@@ -91,7 +91,11 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
         d = d.withColumn("whole", F.floor("want").cast("long"))
         p, u = F.col("want") - F.col("whole"), unit(F.col("id"), seed)
         odds = (u / (1 - u)) / (p / (1 - p))
-        d = d.withColumn("rank", F.when(p > 0, odds / (1 + odds)).otherwise(1.0))
+        # within a source ranks are put on an even scale: times the odds of its mean fraction, then to (0, 1)
+        mean = F.col("target") / F.col("source_size")
+        mean = F.greatest(mean - F.floor(mean), F.lit(1e-9))
+        even = odds * (mean / (1 - mean))
+        d = d.withColumn("rank", F.when(p > 0, even / (1 + even)).otherwise(1.0))
         return d.withColumn("bucket", F.floor(F.col("rank") * buckets).cast("int"))
 
     open_ = (F.col("whole") < cap)
@@ -137,8 +141,7 @@ e as (select d.*, t.source_size, t.target,
              least(case when t.source_size > 0 then t.target / t.source_size::double else 0 end, {CAP}::double) as want
       from d join t on d.source is not distinct from t.source),
 p as (select *, floor(want)::bigint as whole, want - floor(want) as p from e),
-o as (select *, (u / (1 - u)) / (p / (1 - p)) as odds from p),
-q as (select *, case when p > 0 then odds / (1 + odds) else 1 end as rnk from o),
+q as (select *, case when p > 0 then u else 1 end as rnk from p),
 c as (select *, target - sum(whole * size) over (partition by source) as need,
              coalesce(sum(case when whole < {CAP} then size else 0 end) over (
                partition by source order by rnk, doc_id, size rows between unbounded preceding and 1 preceding), 0) as run

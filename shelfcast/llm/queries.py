@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from shelfcast.llm import decontam as DEC
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
-from shelfcast.llm.common import read_table, written
+from shelfcast.llm import ppm_langid as PPM
+from shelfcast.llm.common import crc_mod, read_table, written
 from shelfcast.llm.compression_quality import compression_quality
 from shelfcast.llm.token_fst import count_tokens
 
@@ -56,3 +57,11 @@ def op2(spark, sf):
     import public_tokenizers
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
+@register("op3_ppm_langid")
+def op3(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    trees = PPM.fit(docs.filter(~held).select("doc_id", "text", "lang"))
+    return PPM.predict(docs.select("doc_id", held.alias("held_out"), "text"), trees).drop("text")
