@@ -163,3 +163,50 @@ def append_columns(batch: pa.RecordBatch, **more: pa.Array) -> pa.RecordBatch:
 def kept_fields(df: DataFrame, more: list[str]) -> list[str]:
     low = {m.lower() for m in more}
     return [c for c in df.columns if c.lower() not in low]
+
+
+# ---- sorted arrays in the shared folder
+
+def _local(uri: str) -> str | None:
+    """The path of a folder that every node mounts; None for object stores and the like."""
+    if uri.startswith("file:"):
+        return "/" + uri[5:].lstrip("/")
+    return None if "://" in uri else uri
+
+
+def put_file(folder: str, name: str, data: bytes) -> None:
+    """Write one file of the shared folder; a repeated task replaces it by the same bytes in one step."""
+    import os
+
+    from pyarrow import fs
+    local = _local(folder)
+    if local is None:
+        system, path = fs.FileSystem.from_uri(folder)
+        system.create_dir(path, recursive=True)
+    else:
+        system, path = fs.LocalFileSystem(), local
+        os.makedirs(path, exist_ok=True)
+    draft = f"{path}/.{name}-{uuid.uuid4().hex}"
+    with system.open_output_stream(draft) as out:
+        out.write(data)
+    system.move(draft, f"{path}/{name}")
+
+
+def map_file(folder: str, name: str, dtype) -> np.ndarray:
+    """A file of the shared folder as a memory-mapped array (via a local copy where it cannot be mounted)."""
+    import os
+    import tempfile
+
+    from pyarrow import fs
+    local = _local(folder)
+    path = f"{local}/{name}"
+    if local is None:
+        system, remote = fs.FileSystem.from_uri(folder)
+        path = os.path.join(tempfile.gettempdir(), f"shelfcast-{abs(hash(folder))}-{name}")
+        if not os.path.exists(path):
+            with system.open_input_stream(f"{remote}/{name}") as src, open(f"{path}.{os.getpid()}", "wb") as dst:
+                dst.write(src.read())
+            os.replace(f"{path}.{os.getpid()}", path)
+    if os.path.getsize(path) == 0:
+        return np.zeros(0, dtype)
+    return np.memmap(path, dtype, "r")

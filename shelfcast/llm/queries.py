@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import decontam as DEC
+from shelfcast.llm import kneser_ney as KN
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm import ppm_langid as PPM
@@ -65,3 +66,11 @@ def op3(spark, sf):
     held = crc_mod(F.col("doc_id"), 4) == 2
     trees = PPM.fit(docs.filter(~held).select("doc_id", "text", "lang"))
     return PPM.predict(docs.select("doc_id", held.alias("held_out"), "text"), trees).drop("text")
+
+
+@register("op9_kneser_ney")
+def op9(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    held = crc_mod(F.col("doc_id"), 7) == 2
+    model = KN.train(docs.filter(~held))
+    return KN.score(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
