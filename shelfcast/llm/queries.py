@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import decontam as DEC
+from shelfcast.llm import icws as ICWS
 from shelfcast.llm import kneser_ney as KN
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
@@ -74,3 +75,8 @@ def op9(spark, sf):
     held = crc_mod(F.col("doc_id"), 7) == 2
     model = KN.train(docs.filter(~held))
     return KN.score(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
+@register("op7_icws_neardup")
+def op7(spark, sf):
+    return ICWS.near_duplicates(read_table(spark, sf, "documents").select("doc_id", "text")).drop("digest")
