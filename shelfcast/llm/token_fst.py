@@ -12,8 +12,8 @@ Each transition carries the change of the token count, so a text's count is a su
   an apostrophe that may begin a contraction); undecided look-ahead is carried in the state and
   settled by a corrected count when the next character comes.
 
-States and transitions are compiled when first met and kept in a dense table per Python worker.
-Texts are cut into chunks that run side by side, one table look-up per byte for thousands of chunks.
+States and transitions are compiled when first met and kept in a paged table per Python worker.
+Texts are cut into chunks that run side by side, two look-ups per byte for thousands of chunks.
 A chunk yields a state map (entry state -> exit state, tokens); its entry is guessed by a short run-up.
 The maps of a text's chunks compose in a parallel prefix scan; where a guess was wrong the chunk's map is
 extended by the true entry, until all compose.
@@ -37,8 +37,8 @@ WHITE = {0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000,
          0x205F, 0x3000}
 ONE, TWO = set("stmd"), {"r": "e", "v": "e", "l": "l"}
 
-WIDTH = 257  # bytes, and one column that pads the last chunk of a text
-PAD = 256
+PAD = 256  # beside the bytes: pads the last chunk of a text
+BLOCKS, CELLS = 17, 16  # a state's transitions: 17 blocks of 16, only those in use have cells
 CHUNK = 512
 RUN_UP = 32
 MAX_STATES = 1 << 18
@@ -84,22 +84,25 @@ class Merges:
 
 
 class Transducer:
-    """Lazily compiled states; ``table`` maps state * WIDTH + byte to the next state and count change."""
+    """Lazily compiled states; ``block`` and ``cell`` map a state and a byte to the next state and count change."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
         self._trie()
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.neighbours: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
         self.bpe_ids: dict = {}
         self.bpe: list = []
-        self.bpe_steps: dict[tuple[int, int], tuple[int, int]] = {}
+        self.bpe_steps: dict[int, tuple[int, int]] = {}
+        self.shared: dict = {}  # one object for equal pairs and characters: most states hold the same few
         self.fresh = self._bpe_id((0, ((_START, 0),)))
         self.ids: dict = {}
         self.states: list = [None]
-        self.table = np.zeros(4096 * WIDTH, np.int32)
+        self.block = np.zeros(4096 * BLOCKS, np.int32)  # block 0 is empty: nothing compiled
+        self.cell = np.zeros(4096 * CELLS, np.int32)
+        self.blocks = 1
         self.ground = self._id(("0", b""))
 
     # ---- tokens as a trie with failure links
@@ -136,11 +139,11 @@ class Transducer:
 
     def _adjoin(self, a: int, b: int) -> bool:
         """Whether [a, b] is how BPE splits the bytes of a and b; a may be the word's start."""
-        ok = self.neighbours.get((a, b))
+        ok = self.neighbours.get(a << 32 | b)
         if ok is None:
             m = self.merges
             ok = m.encode(m.bytes[b]) == [b] if a == _START else m.encode(m.bytes[a] + m.bytes[b]) == [a, b]
-            self.neighbours[a, b] = ok
+            self.neighbours[a << 32 | b] = ok
         return ok
 
     # ---- BPE states: (node, ((last token, relative count) for each node of the failure chain, longest first))
@@ -152,7 +155,7 @@ class Transducer:
         return i
 
     def bpe_step(self, state: int, b: int) -> tuple[int, int]:
-        got = self.bpe_steps.get((state, b))
+        got = self.bpe_steps.get(state << 8 | b)
         if got is not None:
             return got
         node, history = self.bpe[state]
@@ -176,10 +179,14 @@ class Transducer:
             if nxt is not None and self.live[nxt] == nxt:
                 to = to or nxt
                 last, rel = by_node[n]
-                new.append((last, rel - delta))
-        got = self.bpe_steps[state, b] = (self._bpe_id((to, (*new, (token, 0)))), delta)
+                new.append(self._share((last, rel - delta)))
+        got = self._share((self._bpe_id((to, (*new, self._share((token, 0))))), delta))
+        self.bpe_steps[state << 8 | b] = got
         return got
 
+    def _share(self, x):
+        return self.shared.setdefault(x, x)
+
     def bpe_run(self, state: int, data: bytes) -> tuple[int, int]:
         total = 0
         for b in data:
@@ -193,26 +200,34 @@ class Transducer:
         if i is None:
             i = self.ids[key] = len(self.states)
             self.states.append(key)
-            if (i + 1) * WIDTH > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros(len(self.table), np.int32)])
-            self.table[i * WIDTH + PAD] = i << _SHIFT | _ZERO
+            if (i + 1) * BLOCKS > len(self.block):
+                self.block = np.concatenate([self.block, np.zeros(len(self.block) // 2, np.int32)])
         return i
 
-    def compile(self, at: int) -> None:
+    def compile(self, state: int, b: int) -> None:
         """Fill one table entry."""
-        state, b = divmod(at, WIDTH)
+        to, delta = self._next(state, b)
+        at = state * BLOCKS + (b >> 4)
+        if not self.block[at]:
+            if (self.blocks + 1) * CELLS > len(self.cell):
+                self.cell = np.concatenate([self.cell, np.zeros(len(self.cell) // 2, np.int32)])
+            self.block[at] = self.blocks
+            self.blocks += 1
+        self.cell[self.block[at] * CELLS + (b & 15)] = to << _SHIFT | (delta + _ZERO)
+
+    def _next(self, state: int, b: int) -> tuple[int, int]:
+        if b == PAD:
+            return state, 0
         mode, part, *rest = self.states[state]
         data = part + bytes([b])
         lead = data[0]
         need = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
         if 0x80 <= lead < 0xC0:  # only a run-up can begin inside a character
-            to, delta = state, 0
-        elif len(data) < need:
-            to, delta = self._id((mode, data, *rest)), 0
-        else:
-            key, delta = self._char(mode, rest, data)
-            to = self._id(key)
-        self.table[at] = to << _SHIFT | (delta + _ZERO)
+            return state, 0
+        if len(data) < need:
+            return self._id((mode, data, *rest)), 0
+        key, delta = self._char(mode, rest, data)
+        return self._id(key), delta
 
     def _begin(self, c: str, kind: str, data: bytes):
         s, n = self.bpe_run(self.fresh, data)
@@ -262,14 +277,15 @@ class Transducer:
     def run(self, bytes_by_step: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exit states and token counts of chunks (one column each) from their entry states."""
         s, total = entry.astype(np.int64), np.zeros(len(entry), np.int64)
-        for column in bytes_by_step:
-            at = s * WIDTH
-            at += column
-            v = self.table.take(at)
+        high, low = bytes_by_step >> 4, bytes_by_step & 15
+        for i in range(len(bytes_by_step)):
+            at = s * BLOCKS
+            at += high[i]
+            v = self.cell.take(self.block.take(at) * CELLS + low[i])
             if not v.all():
-                for i in np.unique(at[v == 0]):
-                    self.compile(int(i))
-                v = self.table.take(at)
+                for x in np.unique((s << 9 | bytes_by_step[i])[v == 0]):
+                    self.compile(int(x) >> 9, int(x) & 511)
+                v = self.cell.take(self.block.take(at) * CELLS + low[i])
             total += v & ((1 << _SHIFT) - 1)
             s = (v >> _SHIFT).astype(np.int64)
         return s, total - _ZERO * len(bytes_by_step)
