@@ -13,6 +13,7 @@ from shelfcast.llm import kneser_ney as KN
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm import ppm_langid as PPM
+from shelfcast.llm import superkmer as SK
 from shelfcast.llm.common import crc_mod, read_table, written
 from shelfcast.llm.compression_quality import compression_quality
 from shelfcast.llm.token_fst import count_tokens
@@ -80,3 +81,8 @@ def op9(spark, sf):
 @register("op7_icws_neardup")
 def op7(spark, sf):
     return ICWS.near_duplicates(read_table(spark, sf, "documents").select("doc_id", "text")).drop("digest")
+
+
+@register("op5_superkmer_dedup", SK.ORACLE_SQL)
+def op5(spark, sf):
+    return SK.remove_repeats(read_table(spark, sf, "documents").select("doc_id", "text"))
