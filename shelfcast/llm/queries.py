@@ -14,6 +14,7 @@ from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm import ppm_langid as PPM
 from shelfcast.llm import superkmer as SK
+from shelfcast.llm import text_density as TD
 from shelfcast.llm.common import crc_mod, read_table, written
 from shelfcast.llm.compression_quality import compression_quality
 from shelfcast.llm.token_fst import count_tokens
@@ -86,3 +87,8 @@ def op7(spark, sf):
 @register("op5_superkmer_dedup", SK.ORACLE_SQL)
 def op5(spark, sf):
     return SK.remove_repeats(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op8_text_density")
+def op8(spark, sf):
+    return TD.extract(read_table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
