@@ -1,9 +1,10 @@
 """Aggregate expressions with results that do not depend on partitioning.
 
-Money is summed as DECIMAL: the sum is exact, so the mean of a column is the
-same number whatever the partitioning, task order or engine (it matches the
+Money (values with up to 4 decimals) is summed as DECIMAL: the sum is exact, so the mean of a
+column is the same number whatever the partitioning, task order or engine (it matches the
 DuckDB oracle to the last bit), and it does not drift on 10^12 rows the way a
-floating-point running sum does.
+floating-point running sum does. What a value has beyond 4 decimals is summed beside it as a
+double, so nothing is rounded away; that part is 0 for money.
 """
 
 from __future__ import annotations
@@ -19,18 +20,20 @@ def _col(c) -> Column:
 
 
 def exact_sum(c, where: Column | None = None) -> Column:
-    x = _col(c).cast(MONEY)
+    """Sum as a double: exact for money, to double precision for other values."""
+    x = _col(c)
     if where is not None:
         x = F.when(where, x)
-    return F.sum(x)
+    money = x.cast(MONEY)
+    return F.sum(money).cast("double") + F.sum(x.cast("double") - money.cast("double"))
 
 
 def exact_mean(c, where: Column | None = None) -> Column:
-    """Mean of a money column: decimal sum / count, one rounding at the end."""
+    """Mean of a column: exact sum / count, one rounding at the end."""
     x = _col(c)
     if where is not None:
         x = F.when(where, x)
-    return F.try_divide(F.sum(x.cast(MONEY)).cast("double"), F.count(x).cast("double"))
+    return F.try_divide(exact_sum(x), F.count(x).cast("double"))
 
 
 def count_mean(c, where: Column | None = None) -> Column:

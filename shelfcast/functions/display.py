@@ -53,7 +53,7 @@ def distance_band(c="competition_distance") -> Column:
 
 def clean_prediction(p) -> Column:
     """Clip at 0, round half-even to cents."""
-    return F.bround(F.greatest(_c(p), F.lit(0.0)), 2)
+    return F.rint(F.greatest(_c(p), F.lit(0.0)) * 100) / 100
 
 
 def display_date(d) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import with_store
+from shelfcast.operators.quantiles import exact_median
 
 ZERO_FILLED = ["competition_open_since_month", "competition_open_since_year",
                "promo2_since_week", "promo2_since_year"]
@@ -16,13 +17,12 @@ def row_weighted_median(fact: DataFrame, store: DataFrame, col: str = "competiti
 
     Equal to the median of the joined column, but computed on one row per
     store weighted by its fact count, so the full panel is never sorted or
-    shipped: ``percentile(value, 0.5, weight)`` keeps a value -> weight map
-    whose size is the number of distinct attribute values. Returned as a
-    scalar subquery column.
+    shipped, and in value buckets, so no task holds all distinct values.
+    Returned as a scalar subquery column (null when every value is null).
     """
     counts = fact.groupBy("store").agg(F.count(F.lit(1)).alias("_n"))
-    weighted = counts.join(store.select("store", col), "store").where(F.col(col).isNotNull())
-    return weighted.agg(F.percentile(F.col(col), F.lit(0.5), F.col("_n"))).scalar()
+    weighted = counts.join(store.select("store", col), "store")
+    return exact_median(weighted, col, weight="_n").scalar()
 
 
 def state_holiday_label(c="state_holiday") -> Column:
@@ -38,7 +38,6 @@ def clean(panel: DataFrame, distance_fill: Column | None = None) -> DataFrame:
     column (one scalar subquery), which is what the reference does per table.
     """
     if distance_fill is None:
-        from shelfcast.operators.quantiles import exact_median
         distance_fill = exact_median(panel, "competition_distance").scalar()
     out = panel.withColumns({
         "competition_distance": F.coalesce(F.col("competition_distance"), distance_fill),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.aggregates import count_mean, exact_mean, lift_pct, r6
+from shelfcast.functions.aggregates import MONEY, count_mean, exact_mean, lift_pct
 from shelfcast.functions.display import (ASSORTMENT_LABELS, DISTANCE_LABELS, WEEKDAY_NAMES,
                                          assortment_label, distance_band_index,
                                          spend_per_customer)
@@ -93,35 +93,38 @@ def with_spend(open_panel: DataFrame) -> DataFrame:
 
 
 def spend_medians(open_panel: DataFrame, max_spend: float = 30.0) -> DataFrame:
-    """Median spend per customer overall (below ``max_spend``) and by promo (no cut)."""
-    spc = with_spend(open_panel)
-    overall = exact_median(spc.where(F.col("spc") < max_spend), "spc")
-    by_promo = exact_median(spc, "spc", by=["promo"])
-    return (overall.select(F.lit("all_below_cut").alias("subset"), F.lit(None).cast("int").alias("promo"), "median")
-            .unionByName(by_promo.select(F.lit("by_promo").alias("subset"), F.col("promo").cast("int"), "median")))
+    """Median spend per customer overall (below ``max_spend``) and by promo (no cut), in one pass."""
+    spc = with_spend(open_panel).select("promo", "spc").where(F.col("spc").isNotNull())
+    subset = F.struct(F.lit("all_below_cut").alias("subset"), F.lit(None).cast("int").alias("promo"))
+    promo = F.struct(F.lit("by_promo").alias("subset"), F.col("promo").cast("int").alias("promo"))
+    both = spc.select("spc", F.explode(F.filter(F.array(F.when(F.col("spc") < max_spend, subset), promo),
+                                                lambda s: s.isNotNull())).alias("s")).select("s.*", "spc")
+    return exact_median(both, "spc", by=["subset", "promo"])
 
 
 def histogram(df: DataFrame, col: str, bins: int, density: bool = False) -> DataFrame:
-    """Equal-width histogram over [min, max]; the last bin is closed.
+    """Equal-width histogram over [min, max], every bin (empty ones count 0); the last bin is closed.
 
     min/max/count come from one merged scalar-subquery aggregate; the binning
-    is a partial-aggregated group-by on at most ``bins`` keys.
+    is a partial-aggregated group-by on at most ``bins`` keys. A column without values has no bins.
     """
     x = F.col(col)
     vals = df.where(x.isNotNull())
     stats = vals.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"))
     mn, mx, n = stats.select("mn").scalar(), stats.select("mx").scalar(), stats.select("n").scalar()
-    width = (mx - mn) / bins
     raw = F.floor(F.try_divide((x - mn) * bins, mx - mn))
     idx = F.least(F.coalesce(raw, F.lit(0)).cast("int"), F.lit(bins - 1))
-    counted = vals.withColumn("bin", idx).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    out = counted.select("bin",
-                         (mn + F.col("bin") * width).alias("lo"),
-                         (mn + (F.col("bin") + 1) * width).alias("hi"),
-                         "count")
+    counted = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    width = (F.col("mx") - F.col("mn")) / bins
+    out = (every.join(counted, "bin", "left").withColumns({"mn": mn, "mx": mx, "n": n})
+           .where(F.col("n") > 0)
+           .select("bin", (F.col("mn") + F.col("bin") * width).alias("lo"),
+                   (F.col("mn") + (F.col("bin") + 1) * width).alias("hi"),
+                   F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "n", width.alias("_width")))
     if density:
-        out = out.withColumn("density", F.try_divide(F.col("count").cast("double"), n * width))
-    return out
+        out = out.withColumn("density", F.try_divide(F.col("count").cast("double"), F.col("n") * F.col("_width")))
+    return out.drop("n", "_width")
 
 
 def spend_histogram(open_panel: DataFrame, max_spend: float = 30.0, bins: int = 50) -> DataFrame:
@@ -134,15 +137,25 @@ def distinct_stores(df: DataFrame) -> DataFrame:
 
 
 def kpis(panel: DataFrame) -> DataFrame:
-    """Rows, mean open-day sales, promo lift and stores in one pass over the clean panel."""
+    """Rows, mean open-day sales, promo lift and stores in one pass over the clean panel.
+
+    Sums are taken per store first, so counting the stores needs no second copy of the rows."""
     is_open = (F.col("open") == 1) & (F.col("sales") > 0)
-    out = panel.agg(
-        F.count(F.lit(1)).alias("rows"),
-        exact_mean("sales", is_open).alias("mean_sales"),
-        exact_mean("sales", is_open & (F.col("promo") == 1)).alias("_m1"),
-        exact_mean("sales", is_open & (F.col("promo") == 0)).alias("_m0"),
-        F.count_distinct("store").alias("stores"))
-    return out.select("rows", "mean_sales", lift_pct(F.col("_m1"), F.col("_m0")).alias("lift_pct"), "stores")
+    parts = {"": is_open, "_promo": is_open & (F.col("promo") == 1), "_plain": is_open & (F.col("promo") == 0)}
+    sales = F.col("sales")
+    money = sales.cast(MONEY)
+    per_store = panel.groupBy("store").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(F.when(w, money)).alias(f"_m{k}") for k, w in parts.items()],
+        *[F.sum(F.when(w, sales - money.cast("double"))).alias(f"_r{k}") for k, w in parts.items()],
+        *[F.count_if(w & sales.isNotNull()).alias(f"_n{k}") for k, w in parts.items()])
+
+    def mean(k: str) -> Column:
+        return F.try_divide(F.sum(f"_m{k}").cast("double") + F.sum(f"_r{k}"), F.sum(f"_n{k}").cast("double"))
+    out = per_store.agg(F.sum("_rows").alias("rows"), mean("").alias("mean_sales"), mean("_promo").alias("_m1"),
+                        mean("_plain").alias("_m0"), F.count("store").alias("stores"))
+    return out.select(F.coalesce("rows", F.lit(0)).alias("rows"), "mean_sales",
+                      lift_pct(F.col("_m1"), F.col("_m0")).alias("lift_pct"), "stores")
 
 
 CORR_COLUMNS = ["sales", "customers", "promo", "school_holiday"]

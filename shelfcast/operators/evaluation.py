@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions.aggregates import exact_mean
 from shelfcast.functions.stats import norm_pdf, with_inv_norm_cdf
 from shelfcast.operators.eda import histogram
+from shelfcast.session import written
 from pyspark.ml.feature import Bucketizer
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon, the MAPE floor
@@ -99,27 +101,18 @@ def qq_points(df: DataFrame, y: str = "y", p: str = "p", rows_per_bucket: int =
     aggregate, so a value repeated a billion times is one pair); the pairs
     are cut into value buckets at approximate quantiles (Bucketizer, binary
     search), numbered by a running count inside each bucket plus the counts of
-    the buckets below, and each pair expands to its rank range. A pair whose
-    range is longer than ``chunk`` is split into chunks that are spread over
+    the buckets below, and each pair expands to its rank range (one cut point per
+    ``rows_per_bucket`` pairs is held by the driver). A pair whose range is longer than ``chunk`` is split into chunks that are spread over
     tasks before expanding.
     """
     r = residuals(df, y, p).select(F.col("residual").alias("v")).where(F.col("v").isNotNull())
-    vc = r.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-
-    def summary(nb_: int):
-        probs = [i / nb_ for i in range(1, nb_)]
-        return vc.agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in probs]), max(10_000, 10 * nb_)).alias("cuts"),
-                      F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
-
-    # One pass gives the pair count, the row count and cut points on a first grid;
-    # only when that grid leaves buckets over ``rows_per_bucket`` pairs is a finer one taken.
-    nb = buckets or 1024
-    head = summary(nb)
+    # every later step reads these pairs, not the predictions
+    vc = written(r.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "qq-values")
+    head = vc.agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
     k, n = int(head["k"] or 0), int(head["n"] or 0)
-    if buckets is None and -(-k // nb) > rows_per_bucket:
-        nb = min(100_000, -(-k // rows_per_bucket))
-        head = summary(nb)
-    cuts = head["cuts"]
+    nb = buckets or max(64, -(-k // rows_per_bucket))
+    probs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
+    cuts = vc.agg(F.percentile_approx("v", probs, max(10_000, 10 * nb))).first()[0]
     splits = [float("-inf")] + sorted(set(float(c) for c in (cuts or []))) + [float("inf")]
     bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="_bd").transform(vc)
                 .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
@@ -144,16 +137,23 @@ def qq_points(df: DataFrame, y: str = "y", p: str = "p", rows_per_bucket: int =
     pts = with_inv_norm_cdf(ranks.withColumn("_m", m), "_m", "theoretical").select("i", "theoretical", "ordered")
     fit = pts.agg(F.regr_slope("ordered", "theoretical").alias("slope"),
                   F.regr_intercept("ordered", "theoretical").alias("intercept"),
-                  F.corr("ordered", "theoretical").alias("r"))
-    return pts.withColumns({"slope": fit.select("slope").scalar(),
-                            "intercept": fit.select("intercept").scalar(),
-                            "r": fit.select("r").scalar()})
+                  F.corr("ordered", "theoretical").alias("r")).first()  # three numbers
+    return pts.withColumns({c: F.lit(fit[c]).cast("double") for c in ("slope", "intercept", "r")})
+
+
+class StoreMeanModel:
+    """A deterministic reference predictor (mean of the training target per key) with a pipeline's
+    ``transform``: it lets the metric, band and scoring operators be compared with SQL."""
+
+    def __init__(self, train: DataFrame, y: str = "sales", keys: tuple[str, ...] = ("store",)):
+        self.keys = list(keys)
+        self.means = train.groupBy(*self.keys).agg(exact_mean(y).alias("prediction"))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.join(self.means, self.keys, "left").withColumn("prediction", F.coalesce("prediction", F.lit(0.0)))
 
 
 def store_mean_predictions(train: DataFrame, val: DataFrame, y: str = "sales",
                            keys: list[str] = ("store",)) -> DataFrame:
-    """A deterministic reference predictor (mean of the training target per key),
-    used to check the metric and band operators against SQL."""
-    from shelfcast.functions.aggregates import exact_mean
-    means = train.groupBy(*keys).agg(exact_mean(y).alias("p"))
-    return val.join(means, list(keys), "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
+    """Predictions ``p`` of :class:`StoreMeanModel` on ``val``."""
+    return StoreMeanModel(train, y, tuple(keys)).transform(val).withColumnRenamed("prediction", "p")

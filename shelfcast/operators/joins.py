@@ -5,30 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows; beyond it the join stays a shuffle join that AQE may still convert.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def has_at_most(df: DataFrame, n: int) -> bool:
     """True when ``df`` has at most ``n`` rows; reads at most n+1 rows to decide."""
     return df.limit(n + 1).count() <= n
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a row-count bound; otherwise leave the plan to the planner."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 STORE_COLUMNS = ["store_type", "assortment", "competition_distance",
                  "competition_open_since_month", "competition_open_since_year",
                  "promo2", "promo2_since_week", "promo2_since_year", "promo_interval"]
 
 
-def with_store(fact: DataFrame, store: DataFrame, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left equi-join of daily facts to the store dimension on ``store``."""
-    return fact.join(bounded_broadcast(store, max_rows), on="store", how=how)
+def with_store(fact: DataFrame, store: DataFrame, how: str = "left") -> DataFrame:
+    """Left equi-join of daily facts to the store dimension on ``store``.
+
+    No hint: the planner broadcasts the dimension while its size in bytes is below the session's
+    threshold, AQE decides again from the real size, and a larger one is shuffled."""
+    return fact.join(store, on="store", how=how)
 
 
 def enrich_if_missing(df: DataFrame, store: DataFrame) -> DataFrame:
@@ -40,4 +33,4 @@ def enrich_if_missing(df: DataFrame, store: DataFrame) -> DataFrame:
 
 def store_profile(requests: DataFrame, store: DataFrame) -> DataFrame:
     """Store attributes for a table of requested store ids (bulk lookup)."""
-    return requests.select("store").distinct().join(bounded_broadcast(store), "store", "left")
+    return requests.select("store").distinct().join(store, "store", "left")

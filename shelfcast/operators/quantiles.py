@@ -1,169 +1,134 @@
-"""Exact quantiles that never hold a large group in one task.
-
-Spark's exact ``percentile`` keeps a value -> count map per group, so its
-memory grows with the number of distinct values; for a continuous column
-(spend per customer) on a 10^12-row panel that map does not fit one task.
-Here a group takes that path only while it is small. A large group is first
-bracketed with ``percentile_approx`` (rank error at most n/accuracy), rows
-below the bracket are only counted, rows inside it are collapsed to
-(value, weight) pairs, and the exact ranks are read off a running sum over
-those pairs. A hot value repeated a billion times is one pair.
+"""Exact quantiles and exact-size samples that never hold a large group in one task.
+
+Spark's exact ``percentile`` keeps a value -> count map per group, so its memory grows with the
+number of distinct values. Here every group, of any size, takes one path: rows are collapsed to
+(value, weight) pairs by a partial aggregate (a value repeated a billion times is one pair), pairs
+are cut into value buckets at approximate quantiles, a running weight is taken inside each
+bucket and offset by the totals of the buckets below. The wanted ranks are then read off. The buckets
+only spread the work: any cut points give the same exact answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 64  # value buckets per group
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match; the right side's keys are dropped."""
+    cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    rest = [F.col(f"r.{c}") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), cond, how).select("l.*", *rest)
+
+
+def value_bucket(cuts: Column, value: Column) -> Column:
+    """Number of cut points below ``value``."""
+    return F.size(F.filter(F.coalesce(cuts, F.array().cast("array<double>")), lambda c: c < value))
+
 
-ACCURACY = 100_000          # rank error of the bracket: n / ACCURACY
-SMALL_GROUP_ROWS = 1_000_000  # groups up to this size use the exact value map directly
-BRACKET_BUCKETS = 64  # value buckets that split a large group's bracket for the running sum
-_MARGIN = 4.0 / ACCURACY
+def running_weight(pairs: DataFrame, keys: list[str], value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+    """``pairs`` (one row per group and value) with ``_before``: the group's weight on smaller values."""
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = pairs.groupBy(*keys).agg(F.percentile_approx(value, probs, 10 * buckets).cast("array<double>").alias("_cuts"))
+    cut = join_null_safe(pairs, cuts, keys).withColumn("_bk", value_bucket(F.col("_cuts"), F.col(value))).drop("_cuts")
+    inner = Window.partitionBy(*keys, "_bk").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    offsets = cut.groupBy(*keys, "_bk").agg(F.sum(weight).alias("_w")) \
+        .select(*keys, "_bk", F.coalesce(F.sum("_w").over(below), F.lit(0)).alias("_off"))
+    numbered = cut.withColumn("_in", F.sum(weight).over(inner) - F.col(weight))
+    return join_null_safe(numbered, offsets, [*keys, "_bk"]).withColumn("_before", F.col("_off") + F.col("_in")) \
+        .drop("_off", "_in", "_bk")
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None = None,
-                   name: str = "quantile", small_group_rows: int = SMALL_GROUP_ROWS,
-                   accuracy: int = ACCURACY) -> DataFrame:
-    """Exact linear-interpolated quantile of ``col`` per ``by`` group (nulls ignored).
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, by: list[str] | None = None,
+                    weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Exact linear-interpolated quantile of each of ``cols`` per ``by`` group, all in one pass over ``df``:
+    rows (by..., column, quantile). Nulls are ignored; a group without values has no row.
 
-    Matches ``percentile(col, q)`` / pandas ``quantile(q)``: position
-    (n-1)*q, interpolating lo + (hi-lo)*frac between neighbours.
+    Matches ``percentile(col, q)`` / pandas ``quantile(q)``: position (n-1)*q, interpolating
+    between neighbours. ``weight`` counts each row that many times.
     """
     by = list(by or [])
-    keys = by or ["_g"]
-    vals = df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x"))
-    if not by:
-        vals = vals.withColumn("_g", F.lit(0))
-    vals = vals.where(F.col("_x").isNotNull())
-    margin = 4.0 / accuracy
-    p_lo, p_hi = max(0.0, q - margin), min(1.0, q + margin)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in cols])
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    long = df.select(*by, w.alias("_w"), F.explode(cells).alias("_c")).select(*by, "_w", "_c.*")
+    keys = [*by, "column"]
+    pairs = long.where(F.col("_x").isNotNull() & (F.col("_w") > 0)).groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
     pos = (F.col("_n") - 1) * q
-    stats = (vals.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.percentile_approx("_x", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_b"))
-             .select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-             .withColumns({"_k0": F.floor(pos).cast("bigint"), "_k1": F.ceil(pos).cast("bigint"),
-                           "_frac": pos - F.floor(pos)}))
-    def attach(df_: DataFrame, cols: list[str]) -> DataFrame:
-        # Grouped: one row per group, joined on the keys (AQE picks broadcast or
-        # shuffle from its real size). Ungrouped: scalar subqueries, never a
-        # join on a constant key (which would plan as a cartesian product).
-        if by:
-            return df_.join(stats.select(*keys, *cols), keys)
-        return df_.withColumns({c: stats.select(c).scalar() for c in cols})
-
-    j = attach(vals, ["_n", "_lo", "_hi"])
-    small = F.col("_n") <= small_group_rows
-
-    # Small groups: the exact value map is bounded by the group size.
-    exact_small = (j.where(small).groupBy(*keys)
-                   .agg(F.percentile("_x", F.lit(q)).alias("_q_small")))
-
-    # Large groups: count below the bracket, collapse the bracket to (value, weight).
-    big = j.where(~small)
-    pairs = (big.where(F.col("_x") <= F.col("_hi"))
-             .groupBy(*keys, F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v"))
-             .agg(F.count(F.lit(1)).alias("_w")))
-    # Running weight over the bracket in two levels: value buckets cut at approximate
-    # quantiles of the bracket (per group), a running sum inside each bucket, and the
-    # totals of the buckets below. No window holds a whole group's bracket.
-    probs = F.array(*[F.lit(i / BRACKET_BUCKETS) for i in range(1, BRACKET_BUCKETS)])
-    valued = pairs.where(F.col("_v").isNotNull())
-    if by:
-        cuts = valued.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10 * BRACKET_BUCKETS).alias("_cuts"))
-        bucketed = pairs.join(cuts, keys, "left")
-        cut_col = F.coalesce(F.col("_cuts"), F.array().cast("array<double>"))
-    else:
-        # a fixed-size summary (BRACKET_BUCKETS - 1 numbers), not data
-        got = valued.agg(F.percentile_approx("_v", probs, 10 * BRACKET_BUCKETS)).first()[0] or []
-        bucketed = pairs
-        cut_col = F.array(*[F.lit(float(c)) for c in got]) if got else F.array().cast("array<double>")
-    bucketed = bucketed.withColumn(
-        "_bk", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.size(F.filter(cut_col, lambda c: c < F.col("_v")))))
-    inner = (Window.partitionBy(*keys, "_bk").orderBy("_v")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bucketed = bucketed.withColumn("_cin", F.sum("_w").over(inner))
-    lower = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (bucketed.groupBy(*keys, "_bk").agg(F.sum("_w").alias("_bt"))
-               .select(*keys, "_bk", F.coalesce(F.sum("_bt").over(lower), F.lit(0)).alias("_boff")))
-    cum = (bucketed.join(offsets, [*keys, "_bk"])
-           .withColumn("_cum", F.col("_boff") + F.col("_cin"))
-           .withColumn("_prev", F.col("_cum") - F.col("_w")))
-    cum = attach(cum, ["_k0", "_k1", "_frac"])
-    # The nearest values just outside the bracket cover a bracket end that is off by one rank.
-    edges = big.groupBy(*keys).agg(F.max(F.when(F.col("_x") < F.col("_lo"), F.col("_x"))).alias("_pmax"),
-                                   F.min(F.when(F.col("_x") > F.col("_hi"), F.col("_x"))).alias("_nmin"))
-
-    def at(k):
-        return F.max(F.when(F.col("_v").isNotNull() & (F.col("_prev") <= F.col(k)) & (F.col(k) < F.col("_cum")),
-                            F.col("_v")))
-    found = cum.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_f"),
-                                   F.first("_k0").alias("_k0"), F.first("_k1").alias("_k1"),
-                                   F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_w"))), F.lit(0)).alias("_below"),
-                                   F.max("_cum").alias("_top"))
-    found = found.join(edges, keys) if by else found.withColumns(
-        {"_pmax": edges.select("_pmax").scalar(), "_nmin": edges.select("_nmin").scalar()})
-
-    def value(v, k):
-        return F.coalesce(F.col(v), F.when(F.col(k) == F.col("_below") - 1, F.col("_pmax")),
-                          F.when(F.col(k) == F.col("_top"), F.col("_nmin")))
-    big_q = found.select(*keys, (value("_v0", "_k0") + (value("_v1", "_k1") - value("_v0", "_k0")) * F.col("_f"))
-                         .alias("_q_big"))
+    wanted = pairs.groupBy(*keys).agg(F.sum("_w").alias("_n")).select(
+        *keys, F.floor(pos).cast("bigint").alias("_k0"), F.ceil(pos).cast("bigint").alias("_k1"),
+        (pos - F.floor(pos)).alias("_frac"))
+    ranked = join_null_safe(running_weight(pairs, keys, "_x", "_w", buckets), wanted, keys)
+
+    def at(k: str) -> Column:
+        return F.max(F.when((F.col("_before") <= F.col(k)) & (F.col(k) < F.col("_before") + F.col("_w")), F.col("_x")))
+    found = ranked.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_frac"))
+    return found.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("quantile"))
+
 
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None = None, name: str = "quantile",
+                   weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """One column's quantile: rows (by..., name); without groups one row, null if there are no values."""
+    out = exact_quantiles(df, [col], q, by, weight, buckets)
     if by:
-        out = (stats.select(*keys).join(exact_small, keys, "left").join(big_q, keys, "left")
-               .select(*[F.col(c) for c in by], F.coalesce("_q_small", "_q_big").alias(name)))
-    else:
-        out = stats.select(F.coalesce(exact_small.select("_q_small").scalar(),
-                                      big_q.select("_q_big").scalar()).alias(name))
-    return out
+        return out.select(*by, F.col("quantile").alias(name))
+    return out.agg(F.max("quantile").alias(name))
 
 
-def exact_median(df: DataFrame, col: str, by: list[str] | None = None, name: str = "median",
-                 **kw) -> DataFrame:
+def exact_median(df: DataFrame, col: str, by: list[str] | None = None, name: str = "median", **kw) -> DataFrame:
     return exact_quantile(df, col, 0.5, by, name, **kw)
 
 
-TAKE_ORDERED_MAX = 10_000  # an ordered limit gathers up to n rows per partition into one task
+ACCURACY = 100_000      # rank error of a bracket: rows / ACCURACY
+ORDERED_ROWS = 100_000  # a bracket of up to this many rows is ordered as it is
+_HEX = 15               # hex digits of a key that are compared at a time (60 bits)
 
 
-def smallest_n(df: DataFrame, key: str, n: int, total: int | None = None,
-               small_rows: int = TAKE_ORDERED_MAX, accuracy: int = ACCURACY, _depth: int = 0) -> DataFrame:
+def smallest_n(df: DataFrame, key: str, n: int, total: int | None = None, ordered_rows: int = ORDERED_ROWS,
+               accuracy: int = ACCURACY, _level: int = 0) -> DataFrame:
     """Exactly the ``n`` rows with the smallest string ``key`` (a hex digest).
 
-    ``n`` up to ``small_rows`` is an ordered limit (TakeOrderedAndProject).
-    Larger ``n`` (e.g. a 20 % sample of a huge table) thresholds on the
-    digest's leading 60 bits: rows below an approximate-rank bracket are all
-    kept, and only the bracket (about 8/accuracy of the rows) is searched
-    again, recursively, until the remainder is small enough to order.
+    Rows below an approximate-rank bracket around rank n are all kept, and only the bracket (about
+    8 / accuracy of the rows) is searched again until it is small enough to order. A bracket that
+    misses rank n is widened, up to the whole range; one whose rows agree on all compared digits is searched
+    by the next digits, and rows with equal keys are interchangeable.
     """
     if n <= 0:
         return df.limit(0)
-    if n <= small_rows:
-        return df.orderBy(F.col(key)).limit(n)
     total = total if total is not None else df.count()
     if n >= total:
         return df
-    h = F.conv(F.substring(F.col(key), 1, 15), 16, 10).cast("bigint")
-    hashed = df.withColumn("_h", h)
-    p = n / total
-    for margin in (4.0 / accuracy, 40.0 / accuracy, 400.0 / accuracy):
-        bounds = hashed.agg(F.percentile_approx("_h", F.array(F.lit(max(0.0, p - margin)),
-                                                              F.lit(min(1.0, p + margin))), accuracy)).first()[0]
-        lo, hi = bounds[0], bounds[1]
-        counts = hashed.agg(F.count_if(F.col("_h") < lo).alias("b"),
-                            F.count_if((F.col("_h") >= lo) & (F.col("_h") <= hi)).alias("m")).first()
-        n_below, n_mid = counts["b"], counts["m"]
-        if n_below <= n <= n_below + n_mid:
+    if total <= ordered_rows:
+        return df.orderBy(F.col(key)).limit(n)
+    hashed = df.withColumn("_h", F.conv(F.substring(F.col(key), 1 + _HEX * _level, _HEX), 16, 10).cast("bigint"))
+
+    def counts(lo: int, hi: int) -> tuple[int, int]:
+        r = hashed.agg(F.count_if(F.col("_h") < lo).alias("b"), F.count_if(F.col("_h").between(lo, hi)).alias("m")).first()
+        return r["b"], r["m"]
+    p, margin = n / total, 4.0 / accuracy
+    while True:
+        if margin < 1:
+            lo, hi = hashed.agg(F.percentile_approx("_h", F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin))),
+                                                    accuracy)).first()[0]
+        else:
+            lo, hi = hashed.agg(F.min("_h"), F.max("_h")).first()
+        n_below, n_in = counts(lo, hi)
+        if n_below <= n <= n_below + n_in:
             break
-    else:
-        return df.orderBy(F.col(key)).limit(n)  # the approximation failed three times: exact fallback
+        margin *= 10
+    while 2 * n_in > total and lo < hi:  # hardly narrower: halve the value range, so every level makes progress
+        mid = lo + (hi - lo) // 2
+        b, m = counts(lo, mid)
+        lo, hi, n_below, n_in = (lo, mid, b, m) if n <= b + m else (mid + 1, hi, b + m, n_in - m)
     below = hashed.where(F.col("_h") < lo).drop("_h")
     bracket = hashed.where((F.col("_h") >= lo) & (F.col("_h") <= hi)).drop("_h")
-    if n_mid >= total or _depth >= 5:  # no progress (digest prefixes collide): order the bracket
-        picked = bracket.orderBy(F.col(key)).limit(n - n_below)
-    else:
-        picked = smallest_n(bracket, key, n - n_below, total=n_mid, small_rows=small_rows,
-                            accuracy=accuracy, _depth=_depth + 1)
-    return below.unionByName(picked)
+    rest = n - n_below
+    if lo == hi:
+        if _level >= 2:  # all digits of the digest agree
+            return below.unionByName(bracket.limit(rest))
+        _level += 1
+    return below.unionByName(smallest_n(bracket, key, rest, n_in, ordered_rows, accuracy, _level))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.display import clean_prediction, display_date, display_money, yes_no
 from shelfcast.operators.clean import drop_present
 from shelfcast.operators.eda import histogram
-from shelfcast.operators.joins import bounded_broadcast, enrich_if_missing
+from shelfcast.operators.joins import enrich_if_missing
 
 
 def score_rows(model: PipelineModel, df: DataFrame, out: str = "predicted_sales") -> DataFrame:
@@ -55,7 +55,7 @@ def forecast_requests(horizon: DataFrame, store: DataFrame, requests: DataFrame)
     """What-if rows: fixed promo and school-holiday flags, no state holiday,
     closed on Sunday unless the store type is 'b'; day_of_week 1..7."""
     cal = forecast_calendar(horizon, requests)
-    joined = cal.join(bounded_broadcast(store), "store", "left")
+    joined = cal.join(store, "store", "left")
     dow = F.weekday("date") + 1
     return joined.withColumns({
         "day_of_week": dow,

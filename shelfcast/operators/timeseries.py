@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.aggregates import exact_mean
+from shelfcast.session import written
 
 
 
@@ -198,16 +199,32 @@ def adf_test(values: np.ndarray, max_lag: int | None = None) -> tuple[float, flo
                 best = (aic, lag)
     lag = best[1] if best else 0
     y, X = design(lag, lag)
-    beta, ssr, rank = _ols(y, X)
-    dof = y.size - rank
-    if dof <= 0:
-        return float("nan"), float("nan"), lag, y.size
-    cov = ssr / dof * np.linalg.pinv(X.T @ X)
-    stat = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else float("nan")
+    stat = _t_value(y, X, 1)
     p = mackinnon_p(stat) if not math.isnan(stat) else float("nan")
     return stat, p, lag, y.size
 
 
+def _t_value(y: np.ndarray, X: np.ndarray, k: int) -> float:
+    """t-value of coefficient ``k`` from a QR of the design with columns scaled to length 1.
+
+    Nothing is squared, so the value does not move with the scale of the series; nan where the design
+    is singular or leaves no residual."""
+    n, m = X.shape
+    size = np.sqrt((X * X).sum(axis=0))
+    if n <= m or not np.all(size > 0):
+        return float("nan")
+    q, r = np.linalg.qr(X / size)
+    diag = np.abs(np.diag(r))
+    if diag.min() <= 1e-10 * diag.max():
+        return float("nan")
+    inv = np.linalg.inv(r)
+    beta = inv @ (q.T @ y)
+    resid = y - (X / size) @ beta
+    s2 = float(resid @ resid) / (n - m)
+    se = math.sqrt(s2 * float(inv[k] @ inv[k]))
+    return float(beta[k] / se) if se > 0 else float("nan")
+
+
 ADF_SCHEMA = "store long, adf_stat double, p_value double, used_lag int, nobs int, is_stationary boolean"
 
 
@@ -257,39 +274,32 @@ def acf(series: DataFrame, col: str = "y", nlags: int = 40, z: float = 1.96) ->
     return long.withColumn("band", z * F.sqrt(var))
 
 
-PACF_SCHEMA = "store long, lag int, pacf double, band double"
-
-
 def pacf(acf_table: DataFrame, z: float = 1.96) -> DataFrame:
     """TS6: partial autocorrelation (Yule-Walker on the biased ACF, Durbin-Levinson), per store.
 
-    Input is TS5's output: 41 numbers per store, so each group is tiny.
+    Input is TS5's output: a store's 41 numbers become one array, and a batch of stores runs the
+    recursion at once.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        n = int(pdf["n"].iloc[0])
-        m = r.size - 1
-        out = np.zeros(m + 1)
-        out[0] = 1.0
-        phi = np.zeros(m + 1)
-        v = 1.0
-        for k in range(1, m + 1):
-            if v <= 0:
-                out[k:] = np.nan
-                break
-            a = (r[k] - np.dot(phi[1:k], r[k - 1:0:-1])) / v
-            new = phi.copy()
-            new[k] = a
-            new[1:k] = phi[1:k] - a * phi[k - 1:0:-1]
-            phi = new
-            v *= (1 - a * a)
-            out[k] = a
-        band = np.full(m + 1, z / math.sqrt(n) if n > 0 else np.nan)
-        band[0] = 0.0
-        return pd.DataFrame({"store": int(pdf["store"].iloc[0]), "lag": pdf["lag"].astype("int32").to_numpy(),
-                             "pacf": out, "band": band})
-    return acf_table.select("store", "n", "lag", "acf").groupBy("store").applyInPandas(run, PACF_SCHEMA)
+    lags = F.array_sort(F.collect_list(F.struct("lag", "acf")))
+    rows = acf_table.groupBy("store").agg(F.max("n").alias("n"), F.transform(lags, lambda s: s["acf"]).alias("r"))
+
+    def run(batches):
+        for pdf in batches:
+            r = np.array([[np.nan if x is None else x for x in v] for v in pdf["r"]], dtype=float)
+            m = r.shape[1] - 1 if len(r) else 0
+            out, phi, v = np.full((len(r), m + 1), np.nan), np.zeros((len(r), m + 1)), np.ones(len(r))
+            out[:, :1] = 1.0
+            for k in range(1, m + 1):
+                alive = v > 0
+                a = (r[:, k] - (phi[:, 1:k] * r[:, k - 1:0:-1]).sum(axis=1)) / np.where(alive, v, np.nan)
+                phi[:, 1:k] = phi[:, 1:k] - a[:, None] * phi[:, k - 1:0:-1]
+                phi[:, k] = a
+                v = np.where(alive, v * (1 - a * a), v)
+                out[:, k] = a
+            yield pd.DataFrame({"store": pdf["store"].astype("int64"), "n": pdf["n"].astype("int64"), "p": list(out)})
+    solved = rows.mapInPandas(run, "store long, n long, p array<double>")
+    return solved.select("store", "n", F.posexplode("p").alias("lag", "pacf")).select(
+        "store", "lag", "pacf", F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(z / F.sqrt("n")).alias("band"))
 
 
 # ---------------------------------------------------------------- TS7-TS9, K4
@@ -370,8 +380,8 @@ def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85
     the reference, scaling uses the whole series and a differenced store's
     errors are in difference units.
     """
-    series = store_series(panel)
-    stat = make_stationary(series, adf(series, threshold=threshold))
+    series = written(store_series(panel), "series")
+    stat = written(make_stationary(series, adf(series, threshold=threshold)), "stationary")
     scaled = minmax_scale(stat, "y")
     bounds = stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max"))
     windows = sliding_windows(scaled.where(F.col("scaled").isNotNull()), "scaled", look_back)

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import calendar as cal
 from shelfcast.operators.clean import ZERO_FILLED, state_holiday_label
-from shelfcast.operators.quantiles import exact_median
+from shelfcast.operators.quantiles import exact_median, exact_quantiles
 
+MAX_LABELS = 10_000  # a longer vocabulary is refused: the driver and the plan hold it
 CATEGORICAL = ["store_type", "assortment", "state_holiday"]
 DROPPED = ["date", "promo_interval", "competition_open_since_month", "competition_open_since_year",
            "promo2_since_week", "promo2_since_year"]
@@ -112,16 +113,70 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, df: DataFrame) -> FeatureEngineerModel:
         filled = fill_defaults(df, F.lit(None).cast("double"))
-        # Each vocabulary is a handful of labels: one pass of partial
-        # collect_set aggregates, and only the label sets reach the driver.
-        row = filled.agg(*[F.collect_set(c).alias(c) for c in CATEGORICAL]).first()
-        vocab = {c: sorted(row[c]) for c in CATEGORICAL}
-        med = exact_median(df, "competition_distance").collect()[0][0]
-        return FeatureEngineerModel(vocabulary=json.dumps(vocab),
-                                    distanceFill=float(med) if med is not None else 0.0,
+        cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in CATEGORICAL])
+        rows = filled.select(F.explode(cells).alias("x")).select("x.*").distinct() \
+            .limit(len(CATEGORICAL) * MAX_LABELS + 1).collect()
+        vocab = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in CATEGORICAL}
+        for c, labels in vocab.items():
+            if len(labels) > MAX_LABELS:
+                raise ValueError(f"{c} has more than {MAX_LABELS} labels: not a category")
+        # one (value, count) pair per distinct distance, at most one per store
+        pairs = df.groupBy("competition_distance").agg(F.count(F.lit(1)).alias("_n"))
+        med = exact_median(pairs, "competition_distance", weight="_n").first()[0]
+        if med is None:
+            raise ValueError("competition_distance has no value in the training rows: no fill can be learned")
+        return FeatureEngineerModel(vocabulary=json.dumps(vocab), distanceFill=float(med),
                                     keepColumns=list(self.getOrDefault(self.keepColumns)))
 
 
+class _ImputerParams(Params):
+    inputCols = Param(Params._dummy(), "inputCols", "columns to fill", typeConverter=TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "filled columns", typeConverter=TypeConverters.toListString)
+    medians = Param(Params._dummy(), "medians", "JSON map column -> median", typeConverter=TypeConverters.toString)
+
+
+class MedianImputerModel(Model, _ImputerParams, DefaultParamsReadable, DefaultParamsWritable):
+    @keyword_only
+    def __init__(self, inputCols: list | None = None, outputCols: list | None = None, medians: str | None = None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        med = json.loads(self.getOrDefault(self.medians))
+        pairs = zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols))
+        return df.withColumns({o: F.coalesce(_value(c), F.lit(med[c])) for c, o in pairs})
+
+
+class MedianImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultParamsWritable):
+    """P4 in a pipeline: nulls and NaN become the column's exact median over the training rows.
+
+    All medians come from one pass (``exact_quantiles``); a column without values is an error."""
+
+    @keyword_only
+    def __init__(self, inputCols: list | None = None, outputCols: list | None = None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, df: DataFrame) -> MedianImputerModel:
+        cols = self.getOrDefault(self.inputCols)
+        return MedianImputerModel(inputCols=cols, outputCols=self.getOrDefault(self.outputCols),
+                                  medians=json.dumps(column_medians(df.select(*[_value(c).alias(c) for c in cols]), cols)))
+
+
+def _value(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def column_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
+    """Exact medians of several columns in one pass (one number per column reaches the driver)."""
+    found = {r["column"]: r["quantile"] for r in exact_quantiles(df, cols).collect()}
+    empty = [c for c in cols if found.get(c) is None]
+    if empty:
+        raise ValueError(f"columns without any value have no median: {empty}")
+    return found
+
+
 def label_encode(train: DataFrame, df: DataFrame) -> DataFrame:
     """P3 on its own: codes learnt on ``train`` applied to ``df``."""
     model = FeatureEngineer().fit(train)
@@ -131,11 +186,9 @@ def label_encode(train: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact column medians (distributed) used to fill nulls."""
-    fills = {}
-    for c in cols:
-        fills[c] = F.coalesce(F.col(c).cast("double"), exact_median(df, c).scalar())
-    return df.withColumns(fills)
+    """Exact column medians (distributed, one pass) used to fill nulls."""
+    med = column_medians(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in cols})
 
 
 def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -12,16 +12,17 @@ import time
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.evaluation import regression_metrics
-from shelfcast.plans.features import FEATURES, FeatureEngineer
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.plans.features import FEATURES, FeatureEngineer, MedianImputer
+from shelfcast.session import ensure_checkpoint_dir, written
 
 LABEL = "sales"
+MAX_DEPTH = 30
 
 
 def feature_stages(features: list[str] = FEATURES) -> list:
@@ -29,7 +30,7 @@ def feature_stages(features: list[str] = FEATURES) -> list:
     imputed = [f"{c}__imp" for c in features]
     return [
         FeatureEngineer(keepColumns=["date"]),
-        Imputer(strategy="median", inputCols=features, outputCols=imputed),
+        MedianImputer(inputCols=features, outputCols=imputed),
         VectorAssembler(inputCols=imputed, outputCol="raw_features", handleInvalid="keep"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
     ]
@@ -37,9 +38,13 @@ def feature_stages(features: list[str] = FEATURES) -> list:
 
 def rf_pipeline(num_trees: int = 400, max_depth: int = 25, seed: int = 42, max_bins: int = 64,
                 label: str = LABEL) -> Pipeline:
-    """M1: random forest, half of the features per split, one row per leaf minimum."""
+    """M1: random forest, half of the features per split, one row per leaf minimum.
+
+    Spark trees are at most 30 levels deep: a larger ``max_depth`` is an error."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is more than Spark's limit of {MAX_DEPTH}")
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               maxDepth=min(max_depth, 30), featureSubsetStrategy="0.5",
+                               maxDepth=max_depth, featureSubsetStrategy="0.5",
                                minInstancesPerNode=1, seed=seed, maxBins=max_bins,
                                maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=feature_stages() + [rf])
@@ -48,6 +53,8 @@ def rf_pipeline(num_trees: int = 400, max_depth: int = 25, seed: int = 42, max_b
 def gbt_pipeline(max_iter: int = 500, step_size: float = 0.03, max_depth: int = 8, seed: int = 42,
                  max_bins: int = 64, label: str = LABEL) -> Pipeline:
     """M2: gradient-boosted trees, 80 % row subsample, 70 % of the features per split."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is more than Spark's limit of {MAX_DEPTH}")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size,
                        maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="0.7",
                        minInstancesPerNode=2, seed=seed, maxBins=max_bins, maxMemoryInMB=512,
@@ -60,17 +67,25 @@ def predictions(model: PipelineModel, df: DataFrame, label: str = LABEL) -> Data
     return model.transform(df).select(*keep, F.col("prediction").alias("p"))
 
 
+def prepare_features(train: DataFrame, label: str = LABEL) -> tuple[PipelineModel, DataFrame]:
+    """The fitted feature stages and the training rows' (features, label), written once for all models."""
+    fitted = Pipeline(stages=feature_stages()).fit(train)
+    return fitted, written(fitted.transform(train).select("features", label), "train-features")
+
+
 def fit_and_record(pipeline: Pipeline, name: str, train: DataFrame, val: DataFrame,
                    params: dict | None = None, run_store=None, parent_id: str | None = None,
-                   label: str = LABEL):
+                   label: str = LABEL, prepared: tuple[PipelineModel, DataFrame] | None = None):
     """M5: fit on train, score validation, compute M4 and append one run row.
 
+    ``prepared`` (from :func:`prepare_features`) shares the feature stages between models.
     Returns (model, validation predictions (y, p), metrics dict).
     """
     ensure_checkpoint_dir(train.sparkSession)
     started = time.time()
-    model = pipeline.fit(train)
-    pred = predictions(model, val, label).withColumnRenamed(label, "y")
+    features, rows = prepared or prepare_features(train, label)
+    model = PipelineModel(features.stages + [pipeline.getStages()[-1].fit(rows)])
+    pred = written(predictions(model, val, label).withColumnRenamed(label, "y"), "predictions")
     m = regression_metrics(pred, "y", "p").first().asDict()
     metrics = {"RMSE": m["rmse"], "MAE": m["mae"], "MAPE": m["mape"], "RMSPE": m["rmspe"], "R2": m["r2"]}
     if run_store is not None:
@@ -79,7 +94,7 @@ def fit_and_record(pipeline: Pipeline, name: str, train: DataFrame, val: DataFra
                 if k.name in ("numTrees", "maxDepth", "maxIter", "stepSize", "subsamplingRate",
                               "featureSubsetStrategy", "minInstancesPerNode", "seed")}
         real.update({k: str(v) for k, v in (params or {}).items()})
-        real.update({"model_type": name, "training_rows": str(train.count()),
+        real.update({"model_type": name, "training_rows": str(rows.count()),
                      "validation_rows": str(m["rows"])})
         run_store.log_run(name=name, params=real, metrics=metrics, parent_id=parent_id,
                           run_id=uuid.uuid4().hex, start_ts=started)

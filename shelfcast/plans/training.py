@@ -1,9 +1,9 @@
 """The batch training run (E1): prepare -> sample -> split -> fit two models -> choose ->
 analyse -> persist -> score the horizon -> per-store lag forecast.
 
-One lazy plan up to the split; the training rows are persisted once because
-both model fits read them; everything else is aggregates over the
-validation predictions.
+The open panel is written once to shared storage; the feature stages are fitted once and their
+output written for both models; everything else is aggregates over the written
+validation predictions or the written panel.
 """
 
 from __future__ import annotations
@@ -11,18 +11,19 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators import eda as EDA
 from shelfcast.operators import evaluation as EV
 from shelfcast.operators import sampling as SP
-from shelfcast.operators.clean import clean, prepare, row_weighted_median
+from shelfcast.operators.clean import clean, open_days, prepare, row_weighted_median
 from shelfcast.operators.joins import with_store
 from shelfcast.operators.scoring import submission, submission_summary
 from shelfcast.operators.timeseries import lag_forecast
-from shelfcast.plans.models import feature_importance, fit_and_record, gbt_pipeline, rf_pipeline
+from shelfcast.plans.models import feature_importance, fit_and_record, gbt_pipeline, prepare_features, rf_pipeline
+from shelfcast.session import written
 
 
 @dataclass
@@ -47,25 +48,29 @@ class TrainingResult:
     submission: DataFrame
     submission_summary: DataFrame
     lag_metrics: DataFrame | None
+    residual_hist: DataFrame
+    normal_curve: DataFrame
+    qq_points: DataFrame
+    eda: dict[str, DataFrame]
 
 
 def train_and_compare(fact: DataFrame, store: DataFrame, horizon: DataFrame,
                       config: TrainingConfig | None = None, run_store=None,
                       model_store=None) -> TrainingResult:
     cfg = config or TrainingConfig()
-    panel, open_panel = prepare(fact, store)
+    panel = written(prepare(fact, store)[0], "panel")
+    open_panel = open_days(panel)
     data = open_panel.drop("customers")
     if cfg.sample_fraction < 1.0:
         data = SP.sample_fraction(data, cfg.sample_fraction)
     train, val = SP.time_split(data, cfg.validation_weeks)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = prepare_features(train)
     parent = uuid.uuid4().hex if run_store is not None else None
 
     rf_model, rf_pred, rf_m = fit_and_record(rf_pipeline(**cfg.rf), "RandomForest", train, val,
-                                             cfg.rf, run_store, parent)
+                                             cfg.rf, run_store, parent, prepared=prepared)
     gbt_model, gbt_pred, gbt_m = fit_and_record(gbt_pipeline(**cfg.gbt), "GradientBoosting", train, val,
-                                                cfg.gbt, run_store, parent)
-    train.unpersist()
+                                                cfg.gbt, run_store, parent, prepared=prepared)
     # M6: strict "<" on RMSPE, so a tie goes to gradient boosting.
     if rf_m["RMSPE"] < gbt_m["RMSPE"]:
         best_name, best, pred, best_m = "RandomForest", rf_model, rf_pred, rf_m
@@ -78,14 +83,31 @@ def train_and_compare(fact: DataFrame, store: DataFrame, horizon: DataFrame,
     sub = submission(best, test_panel)
     if model_store is not None:
         model_store.save(best, best_name)
-    lag_metrics = lag_forecast(panel)[1] if cfg.run_lag_forecast else None
+    lag_metrics = written(lag_forecast(panel)[1], "lag-metrics") if cfg.run_lag_forecast else None
     if run_store is not None:
+        if lag_metrics is not None:
+            w = lag_metrics.agg(F.sum("test_windows").alias("n"), F.count(F.lit(1)).alias("stores"),
+                                F.sum(F.col("rmse") * F.col("rmse") * F.col("test_windows")).alias("sse"),
+                                F.sum(F.col("mae") * F.col("test_windows")).alias("sae")).first()
+            if w["n"]:
+                run_store.log_run("LagForecast", {"model_type": "LagForecast", "stores": w["stores"], "test_windows": w["n"]},
+                                  {"RMSE": (w["sse"] / w["n"]) ** 0.5, "MAE": w["sae"] / w["n"]}, parent)
         run_store.log_run("session", {"sample_fraction": cfg.sample_fraction,
                                       "split_strategy": f"time_based_last_{cfg.validation_weeks}_weeks",
                                       "winning_model": best_name},
                           {"best_RMSPE": best_m["RMSPE"], "best_R2": best_m["R2"]}, run_id=parent)
     return TrainingResult(best_name, best, {"RandomForest": rf_m, "GradientBoosting": gbt_m, "best": best_m},
-                          imps, cov, pred, sub, submission_summary(sub), lag_metrics)
+                          imps, cov, pred, sub, submission_summary(sub), lag_metrics,
+                          EV.residual_hist(pred), EV.normal_curve(pred), EV.qq_points(pred), eda_tables(open_panel))
+
+
+def eda_tables(open_panel: DataFrame) -> dict[str, DataFrame]:
+    """The run's exploratory tables (one aggregate each over the written panel)."""
+    return {"daily_mean": EDA.daily_mean_sales(open_panel), "promo_lift": EDA.promo_lift(open_panel),
+            "monthly_mean": EDA.monthly_mean(open_panel), "weekday_mean": EDA.weekday_mean(open_panel),
+            "store_type_mean": EDA.store_type_mean(open_panel), "assortment_mean": EDA.assortment_mean(open_panel),
+            "distance_band_mean": EDA.distance_band_mean(open_panel), "corr_matrix": EDA.corr_matrix(open_panel),
+            "spend_medians": EDA.spend_medians(open_panel), "spend_histogram": EDA.spend_histogram(open_panel)}
 
 
 def run_from_csv(spark, data_dir: str, out_dir: str, config: TrainingConfig | None = None):

@@ -23,6 +23,7 @@ from shelfcast.operators import timeseries as TS
 from shelfcast.oracle import q
 from shelfcast.plans import features as FE
 from shelfcast.plans import models as MD
+from shelfcast.session import written
 from shelfcast.sources.fixture import Panel, load_panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,18 +39,23 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def panels(spark: SparkSession, sf: str) -> tuple[Panel, DataFrame, DataFrame]:
-    p = load_panel(spark, sf)
+def panels(spark: SparkSession, sf: str, stored: bool = False) -> tuple[Panel, DataFrame, DataFrame]:
+    """(inputs, clean panel, open panel). ``stored``: the daily facts are written first, for queries
+    that read them several times."""
+    p = load_panel(spark, sf, stored=stored)
     panel, open_panel = C.prepare(p.fact, p.store)
     return p, panel, open_panel
 
 
-def test_panel(spark: SparkSession, sf: str) -> DataFrame:
+def clean_horizon(p: Panel) -> DataFrame:
     from shelfcast.operators.joins import with_store
-    p = load_panel(spark, sf)
     return C.clean(with_store(p.horizon, p.store), C.row_weighted_median(p.horizon, p.store))
 
 
+def test_panel(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_horizon(load_panel(spark, sf))
+
+
 # ---------------------------------------------------------------- loading / cleaning
 
 @register("clean_panel", q("select * from panel"))
@@ -225,7 +231,7 @@ union all
 select 'by_promo' as subset, cast(promo as int) as promo, round(median(spc), 6) as median
 from s group by promo"""))
 def spend_median(spark, sf):
-    out = E.spend_medians(panels(spark, sf)[2], max_spend=3000.0)
+    out = E.spend_medians(panels(spark, sf, stored=True)[2], max_spend=3000.0)
     return out.withColumn("median", r6("median"))
 
 
@@ -233,12 +239,12 @@ def spend_median(spark, sf):
 with s as (select sales / nullif(cast(customers as double), 0) as spc from open_panel),
 v as (select spc from s where spc < 3000),
 m as (select min(spc) as mn, max(spc) as mx from v),
-b as (select least(cast(floor((spc - mn) * 50 / (mx - mn)) as int), 49) as bin from v, m)
-select bin, round(mn + bin * ((mx - mn) / 50), 6) as lo, round(mn + (bin + 1) * ((mx - mn) / 50), 6) as hi,
-  cast(count(*) as bigint) as count
-from b, m group by bin, mn, mx"""))
+b as (select least(cast(floor((spc - mn) * 50 / (mx - mn)) as int), 49) as bin, count(*) as c from v, m group by 1)
+select cast(i as int) as bin, round(mn + i * ((mx - mn) / 50), 6) as lo, round(mn + (i + 1) * ((mx - mn) / 50), 6) as hi,
+  cast(coalesce(c, 0) as bigint) as count
+from range(0, 50) t(i) left join b on bin = i, m"""))
 def spend_hist(spark, sf):
-    h = E.spend_histogram(panels(spark, sf)[2], max_spend=3000.0, bins=50)
+    h = E.spend_histogram(panels(spark, sf, stored=True)[2], max_spend=3000.0, bins=50)
     return h.withColumns({"lo": r6("lo"), "hi": r6("hi")})
 
 
@@ -375,7 +381,7 @@ select store, open, promo, school_holiday, competition_distance, promo2,
   {PROMO2_SQL} as promo2_active, {COMP_SQL} as competition_open_months
 from open_panel"""))
 def engineered_features(spark, sf):
-    op = panels(spark, sf)[2].drop("sales", "customers")
+    op = panels(spark, sf, stored=True)[2].drop("sales", "customers")
     model = FE.FeatureEngineer().fit(op)
     return model.transform(op)
 
@@ -388,7 +394,8 @@ select store, date, cast(list_position(vt, store_type) - 1 as int) as store_type
   cast(list_position(vh, state_holiday) - 1 as int) as state_holiday_code
 from test_panel, v"""))
 def label_encode(spark, sf):
-    return FE.label_encode(panels(spark, sf)[2], test_panel(spark, sf))
+    p, _, open_panel = panels(spark, sf, stored=True)
+    return FE.label_encode(open_panel, clean_horizon(p))
 
 
 IMPUTED = ["competition_distance", "competition_open_since_month", "competition_open_since_year",
@@ -399,7 +406,7 @@ IMPUTED = ["competition_distance", "competition_open_since_month", "competition_
     f"coalesce(cast({c} as double), (select median({c}) from joined)) as {c}" for c in IMPUTED) + " from joined"))
 def impute_median(spark, sf):
     from shelfcast.operators.joins import with_store
-    p = load_panel(spark, sf)
+    p = load_panel(spark, sf, stored=True)
     joined = with_store(p.fact, p.store)
     return FE.impute_median(joined, IMPUTED).select("store", "date", *IMPUTED)
 
@@ -412,7 +419,7 @@ SCALED = ["sales", "customers", "competition_distance", "promo"]
     f"nullif((select stddev_pop(cast({c} as double)) from open_panel), 0), 0), 6) as {c}" for c in SCALED)
     + " from open_panel"))
 def standard_scale(spark, sf):
-    out = FE.standard_scale(panels(spark, sf)[2], SCALED)
+    out = FE.standard_scale(panels(spark, sf, stored=True)[2], SCALED)
     return out.select("store", "date", *[r6(c).alias(c) for c in SCALED])
 
 
@@ -426,13 +433,13 @@ SAMPLE_KEY = "md5(concat_ws('/', store, date, '42'))"
 select store, date, sales from open_panel
 qualify row_number() over (order by {SAMPLE_KEY}) <= (select floor(count(*) * 0.2) from open_panel)"""))
 def sample_fraction(spark, sf):
-    return SP.sample_fraction(panels(spark, sf)[2], 0.2).select("store", "date", "sales")
+    return SP.sample_fraction(panels(spark, sf, stored=True)[2], 0.2).select("store", "date", "sales")
 
 
 @register("sample_fixed", q(f"""
 select store, date, sales from open_panel order by {SAMPLE_KEY} limit 8000"""))
 def sample_fixed(spark, sf):
-    return SP.sample_fixed(panels(spark, sf)[2], 8000).select("store", "date", "sales")
+    return SP.sample_fixed(panels(spark, sf, stored=True)[2], 8000).select("store", "date", "sales")
 
 
 @register("time_split_counts", q("""
@@ -443,7 +450,7 @@ select (select cutoff from c) as cutoff,
   cast(count(distinct case when date >= (select cutoff from c) then date end) as bigint) as validation_dates
 from open_panel"""))
 def time_split_counts(spark, sf):
-    op = panels(spark, sf)[2]
+    op = panels(spark, sf, stored=True)[2]
     flagged = SP.with_split_flag(op, 6)
     cutoff = op.agg(F.date_sub(F.max("date"), 42)).scalar()
     v = F.col("is_validation") == 1
@@ -470,10 +477,10 @@ METRICS_SQL = """round(sqrt(avg((y - p) * (y - p))), 6) as rmse, round(avg(abs(y
 
 
 def baseline_predictions(spark, sf, keys=("store",)):
-    op = panels(spark, sf)[2]
+    op = panels(spark, sf, stored=True)[2]
     train, val = SP.time_split(op, 6)
     pred = EV.store_mean_predictions(train, val, keys=list(keys))
-    return pred.select("store", "date", "promo", F.col("sales").alias("y"), "p")
+    return written(pred.select("store", "date", "promo", F.col("sales").alias("y"), "p"), "baseline")
 
 
 def _rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
@@ -536,10 +543,10 @@ def coverage(spark, sf):
 @register("residual_hist", q(f"""
 with {BASELINE_SQL}, v as (select y - p as x from pred),
 m as (select min(x) as mn, max(x) as mx, count(x) as n from v),
-b as (select least(cast(floor((x - mn) * 70 / (mx - mn)) as int), 69) as bin from v, m)
-select bin, round(mn + bin * ((mx - mn) / 70), 6) as lo, round(mn + (bin + 1) * ((mx - mn) / 70), 6) as hi,
-  cast(count(*) as bigint) as count, round(count(*) / (n * ((mx - mn) / 70)), 12) as density
-from b, m group by bin, mn, mx, n"""))
+b as (select least(cast(floor((x - mn) * 70 / (mx - mn)) as int), 69) as bin, count(*) as c from v, m group by 1)
+select cast(i as int) as bin, round(mn + i * ((mx - mn) / 70), 6) as lo, round(mn + (i + 1) * ((mx - mn) / 70), 6) as hi,
+  cast(coalesce(c, 0) as bigint) as count, round(coalesce(c, 0) / (n * ((mx - mn) / 70)), 12) as density
+from range(0, 70) t(i) left join b on bin = i, m"""))
 def residual_hist(spark, sf):
     h = EV.residual_hist(baseline_predictions(spark, sf), bins=70)
     return h.withColumns({"lo": r6("lo"), "hi": r6("hi"), "density": rnd("density", 12)})
@@ -652,15 +659,13 @@ def dickey_fuller_lag0(spark, sf):
 
 ACF_SQL = f"""{SERIES_SQL},
 s2 as (select store, t, y - avg(y) over (partition by store) as d from sert where y is not null),
-c0 as (select store, count(*) as n, sum(d * d) as c0 from s2 group by store),
-lags as (select cast(range as int) as lag from range(1, 41)),
-ck as (select a.store, k.lag, sum(a.d * b.d) as ck from s2 a join lags k on true
-       join s2 b on a.store = b.store and b.t = a.t - k.lag group by a.store, k.lag),
-grid as (select c0.store, c0.n, c0.c0, lags.lag from c0, lags),
-r as (select store, n, 0 as lag, 1.0::double as acf from c0
+lg as (select store, d, {", ".join(f"lag(d, {k}) over w as l{k}" for k in range(1, 41))}
+       from s2 window w as (partition by store order by t)),
+sums as (select store, count(*) as n, sum(d * d) as c0, [{", ".join(f"coalesce(sum(d * l{k}), 0.0)" for k in range(1, 41))}] as ck
+         from lg group by store),
+r as (select store, n, 0 as lag, 1.0::double as acf from sums
       union all
-      select g.store, g.n, g.lag, coalesce(ck.ck, 0.0) / g.c0 as acf from grid g
-      left join ck on g.store = ck.store and g.lag = ck.lag)"""
+      select store, n, k as lag, ck[k] / c0 as acf from sums, range(1, 41) t(k))"""
 
 
 @register("acf", q(f"""with {ACF_SQL},
@@ -774,20 +779,30 @@ QUERY_GBT = {"max_iter": 20, "step_size": 0.1, "max_depth": 5, "seed": 42}
 _FITTED: dict = {}
 
 
-def fitted(spark, sf, kind: str):
-    """Fit (once per session and input) the query-sized model on the pre-horizon training split."""
-    key = (id(spark), sf, kind)
+def _once(spark, sf, what: str, make):
+    """One value per application and input: the model queries share their split, features and fits."""
+    key = (spark.sparkContext.applicationId, sf, what)
     if key not in _FITTED:
-        data = panels(spark, sf)[2].drop("customers")
-        train, val = SP.time_split(data, 6)
-        pipe = MD.rf_pipeline(**QUERY_RF) if kind == "rf" else MD.gbt_pipeline(**QUERY_GBT)
-        _FITTED[key] = MD.fit_and_record(pipe, kind, train, val)
+        _FITTED[key] = make()
     return _FITTED[key]
 
 
-def _metric_frame(spark, m: dict, name: str) -> DataFrame:
-    return spark.createDataFrame([(name, m["RMSE"], m["MAE"], m["MAPE"], m["RMSPE"], m["R2"])],
-                                 "model string, rmse double, mae double, mape double, rmspe double, r2 double")
+def model_inputs(spark, sf):
+    """(stored inputs, training rows, validation rows, prepared features)."""
+    def make():
+        p, _, open_panel = panels(spark, sf, stored=True)
+        train, val = SP.time_split(written(open_panel.drop("customers"), "open-panel"), 6)
+        return p, train, val, MD.prepare_features(train)
+    return _once(spark, sf, "inputs", make)
+
+
+def fitted(spark, sf, kind: str):
+    """The query-sized model on the pre-horizon training split, fitted once per application and input."""
+    def make():
+        _, train, val, prepared = model_inputs(spark, sf)
+        pipe = MD.rf_pipeline(**QUERY_RF) if kind == "rf" else MD.gbt_pipeline(**QUERY_GBT)
+        return MD.fit_and_record(pipe, kind, train, val, prepared=prepared)
+    return _once(spark, sf, kind, make)
 
 
 @register("rf_metrics")
@@ -821,17 +836,17 @@ def model_coverage(spark, sf):
 
 @register("submission")
 def submission(spark, sf):
-    return SC.submission(fitted(spark, sf, "rf")[0], test_panel(spark, sf))
+    return SC.submission(fitted(spark, sf, "rf")[0], clean_horizon(model_inputs(spark, sf)[0]))
 
 
 @register("submission_summary")
 def submission_summary(spark, sf):
-    return SC.submission_summary(SC.submission(fitted(spark, sf, "rf")[0], test_panel(spark, sf)))
+    return SC.submission_summary(SC.submission(fitted(spark, sf, "rf")[0], clean_horizon(model_inputs(spark, sf)[0])))
 
 
-def scenario_requests(spark, sf) -> DataFrame:
+def scenario_requests(p: Panel) -> DataFrame:
     """Every horizon store under both promo settings, no school holiday, six weeks."""
-    stores = load_panel(spark, sf).horizon.select("store").distinct()
+    stores = p.horizon.select("store").distinct()
     return stores.select("store", F.explode(F.array(F.lit(1), F.lit(0))).alias("promo"),
                          F.lit(0).alias("school_holiday"), F.lit(6).alias("weeks"))
 
@@ -842,7 +857,8 @@ last as (select max(date) as d1 from horizon)
 select r.store, p.promo, 0 as school_holiday, 6 as weeks, cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date
 from r, p, last"""))
 def forecast_calendar(spark, sf):
-    return SC.forecast_calendar(load_panel(spark, sf).horizon, scenario_requests(spark, sf))
+    p = load_panel(spark, sf, stored=True)
+    return SC.forecast_calendar(p.horizon, scenario_requests(p))
 
 
 @register("forecast_requests", q("""
@@ -857,35 +873,105 @@ select c.store, c.promo, c.school_holiday, c.weeks, c.date, s.store_type, s.asso
   'None' as state_holiday
 from c left join store s on c.store = s.store"""))
 def forecast_requests(spark, sf):
-    p = load_panel(spark, sf)
-    return SC.forecast_requests(p.horizon, p.store, scenario_requests(spark, sf))
+    p = load_panel(spark, sf, stored=True)
+    return SC.forecast_requests(p.horizon, p.store, scenario_requests(p))
 
 
 @register("scenario_forecast")
 def scenario_forecast(spark, sf):
-    p = load_panel(spark, sf)
-    return SC.scenario_forecast(fitted(spark, sf, "rf")[0], p.horizon, p.store, scenario_requests(spark, sf))[1]
+    p = model_inputs(spark, sf)[0]
+    return SC.scenario_forecast(fitted(spark, sf, "rf")[0], p.horizon, p.store, scenario_requests(p))[1]
 
 
 @register("batch_score")
 def batch_score(spark, sf):
     # The horizon as an upload: raw rows (nulls in open), store attributes joined by J2.
-    p = load_panel(spark, sf)
+    p = model_inputs(spark, sf)[0]
     return SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store)
 
 
 @register("batch_summary")
 def batch_summary(spark, sf):
-    p = load_panel(spark, sf)
+    p = model_inputs(spark, sf)[0]
     return SC.batch_summary(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store))
 
 
 @register("batch_histogram")
 def batch_histogram(spark, sf):
-    p = load_panel(spark, sf)
+    p = model_inputs(spark, sf)[0]
     return SC.batch_histogram(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store), 60)
 
 
+# ---- the scoring arithmetic (F4, F12, F15, X22, M13, M16, M17, G16-G19) with the fixed predictor, against SQL
+
+CENTS = "round_even(greatest({p}, 0.0) * 100, 0) / 100"
+SCORED_SQL = f"""{BASELINE_SQL},
+sub as (select t.id, t.store, t.date, case when t.open = 0 then 0.0 else {CENTS.format(p="coalesce(sm.p, 0.0)")} end as sales
+        from test_panel t left join sm on t.store = sm.store)"""
+BATCH_SQL = f"""{BASELINE_SQL},
+up as (select h.id, h.date, h.store, case when coalesce(h.open, 1) = 0 then 0.0
+         else {CENTS.format(p="coalesce(sm.p, 0.0)")} end as predicted_sales
+       from horizon h left join sm on h.store = sm.store)"""
+
+
+def baseline_model(spark, sf):
+    """(stored inputs, store-mean model of the training split)."""
+    def make():
+        p, _, open_panel = panels(spark, sf, stored=True)
+        return p, EV.StoreMeanModel(SP.time_split(open_panel, 6)[0])
+    return _once(spark, sf, "baseline", make)
+
+
+@register("baseline_submission", q(f"with {SCORED_SQL} select id, sales from sub"))
+def baseline_submission(spark, sf):
+    p, model = baseline_model(spark, sf)
+    return SC.submission(model, clean_horizon(p))
+
+
+@register("baseline_submission_summary", q(f"""with {SCORED_SQL}
+select cast(count(*) as bigint) as rows, min(sales) as min, round(avg(sales), 6) as mean, max(sales) as max from sub"""))
+def baseline_submission_summary(spark, sf):
+    return _rounded(SC.submission_summary(baseline_submission(spark, sf)), ["mean"])
+
+
+@register("baseline_scenario_forecast", q(f"""with {BASELINE_SQL},
+rq as (select distinct store from horizon), pr(promo) as (values (1), (0)), last as (select max(date) as d1 from horizon),
+cal as (select rq.store, pr.promo, 0 as school_holiday, cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date
+        from rq, pr, last),
+sc as (select cal.*, case when isodow(cal.date) = 7 and coalesce(s.store_type, '') <> 'b' then 0.0
+         else {CENTS.format(p="coalesce(sm.p, 0.0)")} end as x
+       from cal left join store s on cal.store = s.store left join sm on cal.store = sm.store)
+select store, promo, school_holiday, round(sum(x), 6) as total,
+  round(coalesce(avg(case when x > 0 then x end), 0.0), 6) as daily_mean, max(x) as peak from sc group by all"""))
+def baseline_scenario_forecast(spark, sf):
+    p, model = baseline_model(spark, sf)
+    return _rounded(SC.scenario_forecast(model, p.horizon, p.store, scenario_requests(p))[1], ["total", "daily_mean"])
+
+
+@register("baseline_batch_score", q(f"with {BATCH_SQL} select id, date, store, predicted_sales from up"))
+def baseline_batch_score(spark, sf):
+    p, model = baseline_model(spark, sf)
+    # an upload that carries leak columns and its own store attributes (J2 and F12 have work to do)
+    upload = p.horizon.withColumns({"sales": F.lit(1.0), "customers": F.lit(1)})
+    return SC.batch_score(model, upload, p.store)
+
+
+@register("baseline_batch_summary", q(f"""with {BATCH_SQL}
+select cast(count(*) as bigint) as rows, round(sum(predicted_sales), 4) as total, round(avg(predicted_sales), 6) as mean from up"""))
+def baseline_batch_summary(spark, sf):
+    out = SC.batch_summary(baseline_batch_score(spark, sf))
+    return out.withColumns({"total": rnd("total", 4), "mean": r6("mean")})
+
+
+@register("baseline_batch_histogram", q(f"""with {BATCH_SQL}, v as (select predicted_sales as x from up),
+m as (select min(x) as mn, max(x) as mx from v),
+b as (select least(cast(floor((x - mn) * 60 / (mx - mn)) as int), 59) as bin, count(*) as c from v, m group by 1)
+select cast(i as int) as bin, round(mn + i * ((mx - mn) / 60), 6) as lo, round(mn + (i + 1) * ((mx - mn) / 60), 6) as hi,
+  cast(coalesce(c, 0) as bigint) as count from range(0, 60) t(i) left join b on bin = i, m"""))
+def baseline_batch_histogram(spark, sf):
+    return _rounded(SC.batch_histogram(baseline_batch_score(spark, sf), 60), ["lo", "hi"])
+
+
 @register("display_labels", q("""
 with r as (select distinct store from horizon), last as (select max(date) as d1 from horizon),
 c as (select r.store, cast(unnest(generate_series(d1 - 41, d1, interval 1 day)) as date) as date from r, last)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. AQE re-plans joins and
 # coalesces/splits shuffle partitions at run time, which is what keeps the
@@ -91,3 +92,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Later steps read the result once computed instead of planning it again, lost executors do not
+    lose it, and joins see its real size."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

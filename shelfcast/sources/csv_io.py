@@ -1,6 +1,6 @@
 """CSV inputs and outputs of the pipeline.
 
-Inputs are read with explicit schemas (no inference pass over the data) and
+Inputs are read by header name with explicit types (no inference pass over the data) and
 renamed to the library's snake_case columns. Outputs are written by the
 executors as part files of a directory; nothing is gathered on the driver.
 """
@@ -46,16 +46,36 @@ def to_snake(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a fixed schema; a missing input fails early as FileNotFoundError."""
+def _columns(spark: SparkSession, path: str) -> list[str]:
+    """The header's column names."""
     try:
-        df = (spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd")
-              .option("mode", "FAILFAST").csv(path))
+        return spark.read.option("header", True).csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Missing: {path}") from e
         raise
-    return to_snake(df)
+
+
+def _read_by_header(spark: SparkSession, path: str, types: dict, required: list[str]) -> DataFrame:
+    """A CSV (file or folder) whose columns are bound by header name; columns without a type are strings.
+
+    Spark binds a given schema by position, so the schema is built in the header's order and every
+    file's header is checked against it (``enforceSchema`` off); a value that does not parse fails."""
+    names = _columns(spark, path)
+    missing = [c for c in required if c not in names]
+    if missing:
+        raise ValueError(f"{path} lacks required columns: {missing}")
+    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in names])
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST").csv(path))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A header CSV with the columns of ``schema`` in any order; other columns are left out.
+
+    A missing input fails early as FileNotFoundError, a missing column as ValueError."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return to_snake(_read_by_header(spark, path, types, list(types)).select(*types))
 
 
 def read_raw(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -67,17 +87,8 @@ def read_raw(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 def read_upload(spark: SparkSession, path: str, required: tuple[str, ...] = ("Date", "Store")) -> DataFrame:
-    """An uploaded CSV with any column set; known columns get their types."""
-    try:
-        raw = spark.read.option("header", True).csv(path)
-    except AnalysisException as e:
-        raise FileNotFoundError(f"Missing: {path}") from e
-    missing = [c for c in required if c not in raw.columns]
-    if missing:
-        raise ValueError(f"upload lacks required columns: {missing}")
-    typed = raw.select(*[F.col(c).cast(KNOWN_TYPES[c]).alias(c) if c in KNOWN_TYPES else F.col(c)
-                         for c in raw.columns])
-    return to_snake(typed)
+    """An uploaded CSV with any column set in any order; known columns get their types."""
+    return to_snake(_read_by_header(spark, path, KNOWN_TYPES, list(required)))
 
 
 def _write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,12 +9,14 @@ the unknown ``"Sept"`` promo token.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordering import global_row_number
+from shelfcast.session import written
 
 MONEY = "decimal(18,4)"
 HORIZON_DAYS = 42  # six weeks, the forecast horizon
@@ -88,12 +90,13 @@ def daily_facts(lineitem: DataFrame) -> DataFrame:
 
 
 def horizon_cutoff(lineitem: DataFrame, days: int = HORIZON_DAYS) -> Column:
-    """First horizon day as a scalar subquery: ``max(ship date) - days``.
+    """First horizon day, ``max(ship date) - days``, as a literal of the raw column's type.
 
-    Read from the one pruned date column of the line items; every line item
-    yields a fact row, so this equals the max over the facts.
-    """
-    return lineitem.agg(F.date_sub(F.max(F.col("l_shipdate").cast("date")), days)).scalar()
+    One small job over the pruned date column; a literal on the raw column is pushed
+    to the scan, so history and horizon read only their own row groups."""
+    last = lineitem.agg(F.max(F.col("l_shipdate").cast("date"))).first()[0]
+    day = F.lit(None if last is None else last - dt.timedelta(days=days)).cast("date")
+    return day.cast(lineitem.schema["l_shipdate"].dataType)
 
 
 @dataclass
@@ -104,13 +107,15 @@ class Panel:
     horizon: DataFrame   # rows to forecast ("test"): no sales, no customers, with id
 
 
-def load_panel(spark: SparkSession, sf_dir: str, days: int = HORIZON_DAYS) -> Panel:
+def load_panel(spark: SparkSession, sf_dir: str, days: int = HORIZON_DAYS, stored: bool = False) -> Panel:
+    """The panel's inputs. ``stored`` writes the daily facts and the horizon to shared storage first, for
+    work that reads them several times (model fits, quantiles, series): the line items are then read once."""
     lineitem = read_table(spark, sf_dir, "lineitem")
-    facts = daily_facts(lineitem)
     cutoff = horizon_cutoff(lineitem, days)
-    history = facts.where(F.col("date") < cutoff)
-    future = (facts.where(F.col("date") >= cutoff)
-              .drop("sales", "customers"))
+    history = daily_facts(lineitem.where(F.col("l_shipdate") < cutoff))
+    future = daily_facts(lineitem.where(F.col("l_shipdate") >= cutoff)).drop("sales", "customers")
+    if stored:
+        history, future = written(history, "facts"), written(future, "horizon")
     horizon = global_row_number(future, ["store", "date"], "id", partition_col="store")
     store = store_dimension(read_table(spark, sf_dir, "supplier"))
     cols = ["id"] + [c for c in future.columns]

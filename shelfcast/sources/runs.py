@@ -12,6 +12,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,8 +67,10 @@ class ModelStore:
         """The most recently saved model (optionally of one name)."""
         try:
             idx = self.spark.read.parquet(f"{self.base}/index")
-        except Exception:  # noqa: BLE001 - no model saved yet
-            return None, None
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return None, None  # no model saved yet
         if name:
             idx = idx.where(F.col("name") == name)
         row = idx.orderBy(F.desc("created_at")).select("path").first()

@@ -59,7 +59,7 @@ def test_training_scoring_and_stores(spark, tmp_dir):
     from shelfcast.sources.runs import ModelStore, RunStore
     p = load_panel(spark, SF_SMALL)
     cfg = TrainingConfig(rf={"num_trees": 5, "max_depth": 4}, gbt={"max_iter": 3, "max_depth": 3},
-                         run_lag_forecast=False)
+                         run_lag_forecast=True)
     rs, ms = RunStore(spark, f"{tmp_dir}/runs"), ModelStore(spark, f"{tmp_dir}/models")
     res = train_and_compare(p.fact, p.store, p.horizon, cfg, rs, ms)
     assert res.best_name in ("RandomForest", "GradientBoosting")
@@ -68,7 +68,11 @@ def test_training_scoring_and_stores(spark, tmp_dir):
     assert sub.count() == p.horizon.count() and sub.where("sales < 0").count() == 0
     write_submission(sub, f"{tmp_dir}/submission")
     assert spark.read.option("header", True).csv(f"{tmp_dir}/submission").count() == p.horizon.count()
-    assert rs.runs().count() == 3
+    assert sorted(r["name"] for r in rs.runs().collect()) == ["GradientBoosting", "LagForecast", "RandomForest", "session"]
+    assert res.residual_hist.count() == 70 and res.normal_curve.count() == 200
+    assert res.qq_points.count() == res.validation.count() and res.lag_metrics.count() > 0
+    assert set(res.eda) >= {"daily_mean", "promo_lift", "corr_matrix", "spend_medians"}
+    assert all(df.count() > 0 for df in res.eda.values())
     model, path = ms.load_latest()
     assert model is not None and res.best_name.replace(" ", "_") in path
 
@@ -130,3 +134,69 @@ def test_run_from_csv_and_score_upload(spark, tmp_dir):
                                       f"{tmp_dir}/scored")
     assert summary.first()["rows"] == p.horizon.count()
     assert hist.agg(F.sum("count")).first()[0] == p.horizon.count()
+
+
+def _csv(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_dir):
+    from shelfcast.sources.csv_io import HORIZON_SCHEMA, read_csv, read_upload
+    _csv(f"{tmp_dir}/a", "x.csv", "Id,DayOfWeek,Store,Extra,Date,Promo,Open,SchoolHoliday,StateHoliday\n7,6,3,q,2015-09-01,1,,0,0\n")
+    r = read_csv(spark, f"{tmp_dir}/a/x.csv", HORIZON_SCHEMA).first()
+    assert (r["id"], r["store"], r["day_of_week"], r["open"], r["promo"]) == (7, 3, 6, None, 1) and "extra" not in r
+    assert read_upload(spark, f"{tmp_dir}/a/x.csv").first()["extra"] == "q"
+    _csv(f"{tmp_dir}/b", "x.csv", "Id,Store,Date\n1,2,2015-09-01\n")
+    with pytest.raises(ValueError, match="DayOfWeek"):
+        read_csv(spark, f"{tmp_dir}/b/x.csv", HORIZON_SCHEMA)
+    _csv(f"{tmp_dir}/c", "x.csv", "Store,Date\nthree,2015-09-01\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_upload(spark, f"{tmp_dir}/c/x.csv").collect()
+    _csv(f"{tmp_dir}/a", "y.csv", "Store,Id,DayOfWeek,Extra,Date,Promo,Open,SchoolHoliday,StateHoliday\n7,6,3,q,2015-09-01,1,,0,0\n")
+    with pytest.raises(Exception):  # files of one folder must agree: never swapped silently
+        read_csv(spark, f"{tmp_dir}/a", HORIZON_SCHEMA).collect()
+
+
+RESTART = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from shelfcast.session import get_spark
+from shelfcast.operators.evaluation import StoreMeanModel
+from shelfcast.streaming.upload_scoring import start_upload_scoring
+spark = get_spark("restart", master="local[2]", shuffle_partitions=2)
+store = spark.createDataFrame([(s, "a", "a", 1.0, 1, 2000, 0, 0, 0, "") for s in (1, 2)],
+    "store int, store_type string, assortment string, competition_distance double, competition_open_since_month int, "
+    "competition_open_since_year int, promo2 int, promo2_since_week int, promo2_since_year int, promo_interval string")
+model = StoreMeanModel(spark.createDataFrame([(1, 10.0), (2, 20.0)], "store int, sales double"))
+start_upload_scoring(spark, model, store, sys.argv[2] + "/in", sys.argv[2] + "/out", available_now=True).awaitTermination(200)
+"""
+
+
+def test_stream_restart_neither_drops_nor_repeats(spark, tmp_dir):
+    """Two runs, each with a Spark application of its own; columns in another order in the second file."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+    def run():
+        done = subprocess.run([sys.executable, "-c", RESTART, repo, tmp_dir], capture_output=True, text=True, timeout=240)
+        return done.returncode, done.stderr
+    _csv(f"{tmp_dir}/in", "one.csv", "Id,Store,Date,Open\n1,1,2015-09-01,1\n2,2,2015-09-01,0\n")
+    assert run()[0] == 0
+    _csv(f"{tmp_dir}/in", "two.csv", "Date,Open,Note,Store,Id\n2015-09-02,1,n,2,3\n")
+    assert run()[0] == 0 and run()[0] == 0
+    got = sorted((r["id"], r["store"], r["predicted_sales"]) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == [(1, 1, 10.0), (2, 2, 0.0), (3, 2, 20.0)]
+    _csv(f"{tmp_dir}/in", "bad.csv", "Date,Store\n2015-09-02,two\n")
+    code, err = run()
+    assert code != 0 and "MALFORMED" in err.upper()
+
+
+def test_model_store_without_models_and_with_broken_index(spark, tmp_dir):
+    from shelfcast.sources.runs import ModelStore
+    assert ModelStore(spark, f"{tmp_dir}/none").load_latest() == (None, None)
+    _csv(f"{tmp_dir}/broken/index", "part-0.parquet", "not parquet")
+    with pytest.raises(Exception):
+        ModelStore(spark, f"{tmp_dir}/broken").load_latest()

@@ -8,11 +8,6 @@ import pytest
 
 from conftest import SF_SMALL
 
-MODEL_QUERIES = {"rf_metrics", "gbt_metrics", "model_choice", "feature_importance", "model_coverage",
-                 "submission", "submission_summary", "scenario_forecast", "batch_score", "batch_summary",
-                 "batch_histogram"}
-
-
 def _plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -22,7 +17,7 @@ def _plan(df) -> str:
 
 def _names():
     from shelfcast.queries import QUERIES
-    return sorted(set(QUERIES) - MODEL_QUERIES)
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())
@@ -48,3 +43,22 @@ def test_series_windows_share_one_store_exchange(spark):
     shuffles = [ln for ln in tree.splitlines() if "+- Exchange" in ln]
     # daily aggregate shuffle + one store shuffle for all windows (lead, lag columns, band)
     assert len(shuffles) == 2
+
+
+def test_horizon_and_history_cutoffs_reach_the_scan(spark):
+    from shelfcast.sources.fixture import load_panel
+    p = load_panel(spark, SF_SMALL)
+    assert "GreaterThanOrEqual(l_shipdate," in _plan(p.horizon) and "LessThan(l_shipdate," in _plan(p.fact)
+
+
+@pytest.mark.parametrize("name", ["rf_metrics", "submission", "impute_median", "engineered_features", "qq_points", "spend_median"])
+def test_facts_are_read_once(spark, name):
+    """Queries that use the facts several times read the written facts, not the line items."""
+    from shelfcast.queries import QUERIES
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "lineitem.parquet" not in plan
+
+
+def test_no_window_over_all_stores_in_one_task(spark):
+    from shelfcast.sources.fixture import load_panel
+    assert "SinglePartition" not in _plan(load_panel(spark, SF_SMALL).horizon)

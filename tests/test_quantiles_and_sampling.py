@@ -1,4 +1,4 @@
-"""The large-group paths of the exact quantile and the exact-size sample, forced on
+"""The exact quantile and the exact-size sample, cut into many buckets and brackets on
 small data and checked against brute force."""
 
 import random
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("q", [0.5, 0.1, 0.9])
-def test_exact_quantile_bracket_path(spark, q):
+def test_exact_quantile_buckets(spark, q):
     from shelfcast.operators.quantiles import exact_quantile
     rng = random.Random(7)
     rows = []
@@ -20,30 +20,74 @@ def test_exact_quantile_bracket_path(spark, q):
             rows.append((g, v))
     rows.append((1, None))
     df = spark.createDataFrame(rows, "g int, v double")
-    for small in (0, 10 ** 9):
-        got = {r["g"]: r["quantile"] for r in exact_quantile(df, "v", q, by=["g"], small_group_rows=small,
-                                                            accuracy=500).collect()}
+    for buckets in (1, 2, 64):
+        got = {r["g"]: r["quantile"] for r in exact_quantile(df, "v", q, by=["g"], buckets=buckets).collect()}
         for g in range(3):
             vals = np.array([v for gg, v in rows if gg == g and v is not None])
-            assert got[g] == pytest.approx(float(np.quantile(vals, q)), abs=1e-12), (small, g)
+            assert got[g] == pytest.approx(float(np.quantile(vals, q)), abs=1e-12), (buckets, g)
+
+
+def test_exact_quantiles_columns_weights_and_null_groups(spark):
+    from shelfcast.operators.quantiles import exact_quantiles
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 2]), rng.choice([None, rng.random()]), float(rng.randint(0, 9)), rng.randint(0, 4)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, w int")
+    got = {(r["g"], r["column"]): r["quantile"] for r in exact_quantiles(df, ["a", "b"], 0.3, by=["g"], weight="w").collect()}
+    for g in (None, 1, 2):
+        for i, c in ((1, "a"), (2, "b")):
+            vals = [r[i] for r in rows if r[0] == g and r[i] is not None for _ in range(r[3])]
+            assert got[g, c] == pytest.approx(float(np.quantile(np.array(vals), 0.3)), abs=1e-12)
+
+
+def test_quantile_of_nothing_is_null(spark):
+    from shelfcast.operators.quantiles import exact_median
+    df = spark.createDataFrame([(1, None)], "g int, v double")
+    assert exact_median(df, "v").first()["median"] is None and exact_median(df, "v", by=["g"]).count() == 0
 
 
 def test_exact_median_ungrouped(spark):
     from shelfcast.operators.quantiles import exact_median
     df = spark.range(0, 1001).withColumn("v", (F.col("id") * 3 % 1001).cast("double"))
-    assert exact_median(df, "v", small_group_rows=0, accuracy=100).first()["median"] == 500.0
+    assert exact_median(df, "v", buckets=7).first()["median"] == 500.0
 
 
 def test_smallest_n_threshold_path(spark):
     from shelfcast.operators.quantiles import smallest_n
     df = spark.range(0, 5000).withColumn("k", F.md5(F.col("id").cast("string")))
     expect = sorted(r["k"] for r in df.collect())[:1234]
-    got = smallest_n(df, "k", 1234, small_rows=10, accuracy=200)
+    got = smallest_n(df, "k", 1234, ordered_rows=10, accuracy=200)
     assert sorted(r["k"] for r in got.collect()) == expect
-    got = smallest_n(df, "k", 1234, small_rows=10, accuracy=5000)  # recursion into the bracket
+    got = smallest_n(df, "k", 1234, ordered_rows=10, accuracy=5000)  # recursion into the bracket
     assert sorted(r["k"] for r in got.collect()) == expect
 
 
+def test_smallest_n_bracket_miss_and_equal_keys(spark, monkeypatch):
+    """A bracket that misses the rank is widened; equal keys and equal leading digits are searched on."""
+    from shelfcast.operators import quantiles as Q
+    df = spark.range(0, 3000).withColumn("k", F.md5(F.col("id").cast("string")))
+    expect = sorted(r["k"] for r in df.collect())[:700]
+    real = F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, p, a: real(c, F.array(F.lit(0.9), F.lit(0.91)), a))
+    assert sorted(r["k"] for r in Q.smallest_n(df, "k", 700, ordered_rows=2900, accuracy=100).collect()) == expect
+    monkeypatch.undo()
+    same = spark.range(0, 500).withColumn("k", F.when(F.col("id") < 400, F.lit("a" * 32)).otherwise(F.md5(F.col("id").cast("string"))))
+    got = Q.smallest_n(same, "k", 300, ordered_rows=5, accuracy=50)
+    assert sorted(r["k"] for r in got.collect()) == sorted(r["k"] for r in same.collect())[:300]
+    close = spark.range(0, 400).withColumn("k", F.concat(F.lit("0" * 16), F.substring(F.md5(F.col("id").cast("string")), 1, 16)))
+    got = Q.smallest_n(close, "k", 123, ordered_rows=5, accuracy=50)
+    assert sorted(r["k"] for r in got.collect()) == sorted(r["k"] for r in close.collect())[:123]
+
+
+def test_means_keep_small_values(spark):
+    from shelfcast.functions.aggregates import exact_mean, exact_sum
+    df = spark.createDataFrame([(0.00004,), (0.00004,), (None,)], "v double")
+    r = df.agg(exact_mean("v").alias("m"), exact_sum("v").alias("s")).first()
+    assert r["m"] == pytest.approx(0.00004, rel=1e-12) and r["s"] == pytest.approx(0.00008, rel=1e-12)
+    money = spark.createDataFrame([(i * 0.0001 + 7.1,) for i in range(1000)], "v double").select(F.round("v", 4).alias("v"))
+    a, b = (money.repartition(n).agg(exact_mean("v")).first()[0] for n in (1, 13))
+    assert a == b
+
+
 def test_sample_fraction_exact_size_and_repeatable(spark):
     import datetime as dt
     from shelfcast.operators.sampling import sample_fraction
@@ -92,8 +136,7 @@ from hypothesis import strategies as st  # noqa: E402
 def test_exact_quantile_property(spark, vals, q):
     from shelfcast.operators.quantiles import exact_quantile
     df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(vals)], "g int, v double")
-    got = {r["g"]: r["quantile"] for r in exact_quantile(df, "v", q, by=["g"], small_group_rows=0,
-                                                        accuracy=50).collect()}
+    got = {r["g"]: r["quantile"] for r in exact_quantile(df, "v", q, by=["g"], buckets=5).collect()}
     for g in (0, 1):
         xs = [float(v) for i, v in enumerate(vals) if i % 2 == g]
         if xs:

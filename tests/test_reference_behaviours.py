@@ -102,3 +102,49 @@ def test_feature_engineer_save_load(spark, tmp_dir):
     back = FeatureEngineerModel.load(f"{tmp_dir}/fe")
     assert back.vocab() == model.vocab()
     assert "date" in back.transform(df).columns
+
+
+def test_depth_over_the_limit_is_an_error():
+    from shelfcast.plans.models import gbt_pipeline, rf_pipeline
+    for make in (rf_pipeline, gbt_pipeline):
+        with pytest.raises(ValueError, match="30"):
+            make(max_depth=31)
+    assert rf_pipeline(max_depth=30).getStages()[-1].getMaxDepth() == 30
+
+
+def test_no_distance_and_long_vocabularies_are_errors(spark, monkeypatch):
+    from shelfcast.plans import features as FE
+    df = spark.createDataFrame(THREE_ROWS, THREE_SCHEMA)
+    with pytest.raises(ValueError, match="competition_distance"):
+        FE.FeatureEngineer().fit(df.withColumn("competition_distance", F.lit(None).cast("double")))
+    monkeypatch.setattr(FE, "MAX_LABELS", 2)
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        FE.FeatureEngineer().fit(df)
+
+
+def test_median_imputer_is_exact_and_saved(spark, tmp_dir):
+    from shelfcast.plans.features import MedianImputer, MedianImputerModel
+    df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (10.0, float("nan")), (None, 6.0)], "a double, b double")
+    m = MedianImputer(inputCols=["a", "b"], outputCols=["x", "y"]).fit(df)
+    m.write().overwrite().save(f"{tmp_dir}/imp")
+    out = MedianImputerModel.load(f"{tmp_dir}/imp").transform(df).collect()
+    assert [(r["x"], r["y"]) for r in out] == [(1.0, 5.5), (2.0, 5.0), (10.0, 5.5), (2.0, 6.0)]
+    with pytest.raises(ValueError, match="no median"):
+        MedianImputer(inputCols=["a"], outputCols=["x"]).fit(df.where("a > 100"))
+
+
+def test_cents_round_half_even_like_the_reference(spark):
+    import numpy as np
+    from shelfcast.functions.display import clean_prediction
+    vals = [2.675, 0.125, 0.135, -3.0, 1.005, 7.0]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "v double").select(clean_prediction("v")).collect()]
+    assert got == [float(x) for x in np.round(np.maximum(vals, 0.0), 2)]
+
+
+def test_histogram_has_every_bin(spark):
+    import numpy as np
+    from shelfcast.operators.eda import histogram
+    vals = [0.0, 0.1, 9.9, 10.0, 10.0]
+    got = histogram(spark.createDataFrame([(v,) for v in vals], "v double"), "v", 20).orderBy("bin").collect()
+    assert [r["count"] for r in got] == np.histogram(vals, bins=20)[0].tolist()
+    assert histogram(spark.createDataFrame([], "v double"), "v", 20).count() == 0
