@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import decontam, icws, pareto_mix, pii
-from shelfcast.llm.compression_quality import compression_quality
+from shelfcast.llm.compression_quality import METRICS, compression_quality
 from shelfcast.session import scratch_dir, ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the compression bands; null and wordless texts do not."""
     ship_package(spark)
-    return compression_quality(docs).filter("kept").select(docs.columns)
+    metrics = {name for name, _ in METRICS}
+    aside = {c: f"__aside_{i}" for i, c in enumerate(docs.columns) if c.lower() in metrics}  # clashing names
+    judged = compression_quality(docs.withColumnsRenamed(aside)).filter("kept")
+    return judged.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind's tag, n_chars as of the new text."""
-    masked = pii.mask(pii.find_pii(docs))
+    masked = pii.mask(pii.find_pii(docs, out="__pii"), spans_col="__pii")
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -21,19 +21,22 @@ CONTEXT_GAIN = 0.3
 MIN_SCORE = 0.5  # a confirmed iban has 0.6 without context
 
 # Patterns of the contract (possessive forms), IBAN lengths by country, context words.
-PATTERNS = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
-    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
-}
 IBAN_LENGTHS = {
     "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
     "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27,
     "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24,
     "SA": 24, "SE": 24, "SI": 19, "SK": 24, "TR": 26,
 }
+#: Each country's letters, then as many characters as its numbers have.
+IBAN = "|".join(rf"(?:{'|'.join(c for c, n in IBAN_LENGTHS.items() if n == k)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{k - 4}}}"
+                for k in sorted(set(IBAN_LENGTHS.values())))
+PATTERNS = {
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": IBAN,
+}
 CONTEXT_WORDS = {
     "email": "mail|e-mail|contact|write|courriel|correo",
     "ip": "ip|host|server|address|adresse|login",
@@ -51,14 +54,6 @@ HINT = {"email": lambda t: F.contains(t, F.lit("@")), "ip": lambda t: t.rlike(r"
         "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]")}
 
 
-def _iban(match: Column) -> Column:
-    """The match up to its country's length (null: no such country, or too short)."""
-    length = F.element_at(F.create_map(*[F.lit(x) for kv in IBAN_LENGTHS.items() for x in kv]), F.substring(match, 1, 2))
-    head = F.call_function("regexp_extract", match, F.concat(
-        F.lit(r"^(?:\x20?[A-Z0-9]){"), length.cast("string"), F.lit("}")), F.lit(0))
-    return F.nullif(head, F.lit(""))
-
-
 def _mod97(iban: Column) -> Column:
     """First four characters to the end, letters as 10..35, remainder of 97."""
     s = F.translate(iban, " ", "")
@@ -95,28 +90,28 @@ def _located(kind: str, found: Column, between: Column) -> Column:
     def step(acc: Column, i: Column) -> Column:
         gap, m, after = F.get(between, i), F.get(found, i), F.get(between, i + 1)
         start = acc["at"] + F.length(gap)
-        taken = _iban(m) if kind == "iban" else m
-        end = start + F.length(taken)
+        end = start + F.length(m)
         gain = F.when(F.rlike(F.substring(gap, F.lit(-CONTEXT), F.lit(CONTEXT)), near)
                       | F.rlike(F.substring(after, 1, CONTEXT), near), CONTEXT_GAIN).otherwise(0.0)
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
                         (F.lit(BASE_SCORE[kind]) + gain).alias("score"))
-        return F.struct((start + F.length(m)).alias("at"), F.when(F.coalesce(confirmed(kind, taken), F.lit(False)), F.concat(acc["spans"], F.array(span)))
+        return F.struct(end.alias("at"), F.when(confirmed(kind, m), F.concat(acc["spans"], F.array(span)))
                         .otherwise(acc["spans"]).alias("spans"))
     zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("spans"))
     return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda a: a["spans"])
 
 
-def find_pii(docs: DataFrame, text_col: str = "text", kinds=tuple(KINDS)) -> DataFrame:
-    """``docs`` with ``pii``: the spans (kind, start, end, score), by kind as listed, then start.
+def find_pii(docs: DataFrame, text_col: str = "text", kinds=tuple(KINDS), out: str = "pii") -> DataFrame:
+    """``docs`` with ``out``: the spans (kind, start, end, score), by kind as listed, then start.
 
     Starts and ends are code points, end exclusive. Null and empty texts have none. Matches of one
     kind do not overlap; those of different kinds may. Failing matches are dropped and not retried.
     Rows are independent: repeated rows get equal spans, an empty table gives an empty result. A
-    column named ``pii`` is replaced. Work grows with the text, memory with one text.
+    column named like ``out`` is replaced. Work grows with the text, memory with one text.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
-    work, rest = docs.drop("pii"), [c for c in docs.columns if c.lower() != "pii"]
+    rest = [c for c in docs.columns if c.lower() != out.lower()]
+    work = docs.select(*rest)
     cols = {}
     for k in kinds:
         hit = HINT[k](t)
@@ -129,7 +124,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", kinds=tuple(KINDS)) -> Dat
     if "iban" in kinds:
         i = list(kinds).index("iban")
         parts[i] = F.filter(parts[i], lambda s: s["score"] >= MIN_SCORE)
-    return work.select(*rest, F.concat(*parts).alias("pii"))
+    return work.select(*rest, F.concat(*parts).alias(out))
 
 
 def spans_text(spans: Column) -> Column:
@@ -146,11 +141,11 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
                         count("iban").alias("n_iban"))
 
 
-def mask(found: DataFrame, text_col: str = "text") -> DataFrame:
+def mask(found: DataFrame, text_col: str = "text", spans_col: str = "pii") -> DataFrame:
     """The texts with every span replaced by its kind's tag; overlapping spans become one, with the
     tag of the first (the longer one on equal starts). Texts without spans, and nulls, are unchanged."""
     t = F.col(text_col)
-    order = F.array_sort(F.transform("pii", lambda s: F.struct(
+    order = F.array_sort(F.transform(spans_col, lambda s: F.struct(
         s["start"].alias("a"), (-s["end"]).alias("b"), s["kind"].alias("kind"))))
 
     def merge(acc: Column, s: Column) -> Column:
@@ -168,19 +163,19 @@ def mask(found: DataFrame, text_col: str = "text") -> DataFrame:
         return F.concat(F.substring(t, start + 1, s["a"] - start), F.element_at(tags, s["kind"]))
     tail = F.substring(t, F.element_at("__merged", -1)["b"] + 1, F.length(t))
     new = F.concat(F.array_join(F.transform("__merged", piece), ""), tail)
-    rest = [c for c in found.columns if c != "pii"]
+    rest = [c for c in found.columns if c != spans_col]
     return found.withColumn("__merged", merged).select(*[
         F.when(F.size("__merged") > 0, new).otherwise(t).alias(c) if c == text_col else F.col(c) for c in rest])
 
 
+# DuckDB's patterns have no possessive repeats or look-behind; these match the same.
 _SQL_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+    "iban": IBAN,
 }
-_SQL_LENGTHS = "map {" + ", ".join(f"'{k}': {v}" for k, v in IBAN_LENGTHS.items()) + "}"
 
 
 def _sql_kind(k: int, kind: str) -> str:
@@ -194,11 +189,8 @@ ORACLE_SQL = f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 m as ({" union all ".join(_sql_kind(i, k) for i, k in enumerate(KINDS))}),
 p as (select *, sum(length(g) + length(m)) over (partition by doc_id, k order by i) - length(m) as b,
-        regexp_replace(m, '[^0-9]', '', 'g') as digits, replace(m, ' ', '') as solid,
-        {_SQL_LENGTHS}[m[1:2]] as want from m),
-r as (select *, case when kind <> 'iban' then m when length(solid) >= want then
-          list_filter(list_transform(range(1, length(m) + 1), lambda j: m[1:j]), lambda x: length(replace(x, ' ', '')) = want)[1] end as x from p),
-s as (select *, b + length(x) as e,
+        regexp_replace(m, '[^0-9]', '', 'g') as digits, replace(m, ' ', '') as solid from m),
+s as (select *, b + length(m) as e,
         case kind when 'email' then true
           when 'ip' then len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 or coalesce(try_cast(x as bigint), 0) > 255)) = 0
           when 'phone' then length(digits) between 9 and 15
@@ -206,10 +198,10 @@ s as (select *, b + length(x) as e,
             case when (length(digits) - j) % 2 = 1 then
               case when digits[j]::int * 2 > 9 then digits[j]::int * 2 - 9 else digits[j]::int * 2 end
             else digits[j]::int end)) % 10 = 0
-          else x is not null and list_reduce(list_transform(string_split(solid[5:want] || solid[1:4], ''),
+          else list_reduce(list_transform(string_split(solid[5:] || solid[1:4], ''),
             lambda c: case when ascii(c) >= 65 then ascii(c) - 55 else ascii(c) - 48 end),
             lambda a, v: (a * (case when v > 9 then 100 else 10 end) + v) % 97) = 1 end as ok
-      from r),
+      from p),
 a as (select doc_id, count(*) filter (kind = 'email') as n_email, count(*) filter (kind = 'ip') as n_ip,
         count(*) filter (kind = 'card') as n_card, count(*) filter (kind = 'phone') as n_phone,
         count(*) filter (kind = 'iban') as n_iban,
