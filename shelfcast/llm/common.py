@@ -44,7 +44,7 @@ def crc_mod(col, n: int):
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each piece holds about ``max_bytes`` of text, whole rows only."""
     for batch in batches:
         n = batch.num_rows
@@ -94,7 +94,7 @@ def word_spans(buf: np.ndarray, off: np.ndarray, sep: np.ndarray = SPACE) -> tup
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS["p"]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 3 << 19)
         for k, base in (("p", _P), ("q", _Q)):
             x = np.full(size, base, np.uint64)
             x[0] = 1

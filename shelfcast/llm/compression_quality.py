@@ -135,7 +135,7 @@ def compression_quality(docs: DataFrame, text_col: str = "text", bands: Bands =
 
     Null and empty texts have no words: all counts 0, ratio 0, ``base_failed`` true, ``kept`` false.
     Repeated rows are judged alike. Input columns named like a metric are replaced. An empty
-    table gives an empty result. Memory: one slice of whole rows (4 MB, or one longer text).
+    table gives an empty result. Memory: one slice of whole rows (1 MB, or one longer text).
     """
     names = [n for n, _ in METRICS]
     schema = T.StructType([docs.schema[c] for c in kept_fields(docs, names)]

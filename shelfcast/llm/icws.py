@@ -148,7 +148,7 @@ def _signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             key, count, off = shingles(*flat(batch.column("text")))
             keys = band_keys(key, count, off, shared.value)
             full = pa.array(np.flatnonzero(np.diff(off) > 0))
@@ -181,7 +181,7 @@ def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float
     shared = pairs.sparkSession.sparkContext.broadcast(idf)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 2 << 20):
+        for batch in slices(batches, "text_a"):
             a, b = (shingles(*flat(batch.column(c))) for c in ("text_a", "text_b"))
             good = pa.array(weighted_jaccard(a, b, shared.value) >= threshold)
             yield batch.select(["a", "b"]).filter(good)
