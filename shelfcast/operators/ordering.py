@@ -22,8 +22,8 @@ def global_row_number(df: DataFrame, order_cols: list[str], name: str,
     rest = order_cols[1:] or [partition_col]
     inner = Window.partitionBy(partition_col).orderBy(*rest)
     numbered = df.withColumn("_rn", F.row_number().over(inner))
-    counts = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(0))
-    offsets = running_weight(counts, ["_all"], partition_col, "_n").select(partition_col, F.col("_before").alias("_off"))
+    counts = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = running_weight(counts, [], partition_col, "_n").select(partition_col, F.col("_before").alias("_off"))
     # One row per group: AQE turns this into a broadcast join at run time when the
     # materialised offsets are small, and keeps a shuffle join when they are not.
     out = numbered.join(offsets, partition_col)

@@ -31,17 +31,30 @@ def value_bucket(cuts: Column, value: Column) -> Column:
 
 
 def running_weight(pairs: DataFrame, keys: list[str], value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
-    """``pairs`` (one row per group and value) with ``_before``: the group's weight on smaller values."""
+    """``pairs`` (one row per group and value) with ``_before``: the group's weight on smaller values.
+
+    Without ``keys`` the cut points and bucket totals are scalar subqueries (at most ``buckets`` numbers each), so
+    nothing is joined on a constant."""
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = pairs.groupBy(*keys).agg(F.percentile_approx(value, probs, 10 * buckets).cast("array<double>").alias("_cuts"))
-    cut = join_null_safe(pairs, cuts, keys).withColumn("_bk", value_bucket(F.col("_cuts"), F.col(value))).drop("_cuts")
+    points = F.percentile_approx(value, probs, 10 * buckets).cast("array<double>")
+    if keys:
+        cut = join_null_safe(pairs, pairs.groupBy(*keys).agg(points.alias("_cuts")), keys) \
+            .withColumn("_bk", value_bucket(F.col("_cuts"), F.col(value))).drop("_cuts")
+    else:
+        cut = pairs.withColumn("_cuts", pairs.agg(points).scalar()) \
+            .withColumn("_bk", value_bucket(F.col("_cuts"), F.col(value))).drop("_cuts")
     inner = Window.partitionBy(*keys, "_bk").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
-    offsets = cut.groupBy(*keys, "_bk").agg(F.sum(weight).alias("_w")) \
-        .select(*keys, "_bk", F.coalesce(F.sum("_w").over(below), F.lit(0)).alias("_off"))
     numbered = cut.withColumn("_in", F.sum(weight).over(inner) - F.col(weight))
-    return join_null_safe(numbered, offsets, [*keys, "_bk"]).withColumn("_before", F.col("_off") + F.col("_in")) \
-        .drop("_off", "_in", "_bk")
+    totals = cut.groupBy(*keys, "_bk").agg(F.sum(weight).alias("_w"))
+    if keys:
+        below = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+        totals = totals.select(*keys, "_bk", F.coalesce(F.sum("_w").over(below), F.lit(0)).alias("_off"))
+        out = join_null_safe(numbered, totals, [*keys, "_bk"])
+    else:
+        below = F.filter("_all", lambda t: t["_bk"] < F.col("_bk"))
+        out = numbered.withColumn("_all", totals.agg(F.collect_list(F.struct("_bk", "_w"))).scalar()) \
+            .withColumn("_off", F.aggregate(below, F.lit(0).cast("bigint"), lambda a, t: a + t["_w"])).drop("_all")
+    return out.withColumn("_before", F.col("_off") + F.col("_in")).drop("_off", "_in", "_bk")
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, by: list[str] | None = None,

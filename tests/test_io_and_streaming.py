@@ -182,7 +182,7 @@ def test_stream_restart_neither_drops_nor_repeats(spark, tmp_dir):
 
     def run():
         done = subprocess.run([sys.executable, "-c", RESTART, repo, tmp_dir], capture_output=True, text=True, timeout=240)
-        return done.returncode, done.stderr
+        return done.returncode, done.stderr[-2000:]
     _csv(f"{tmp_dir}/in", "one.csv", "Id,Store,Date,Open\n1,1,2015-09-01,1\n2,2,2015-09-01,0\n")
     assert run()[0] == 0
     _csv(f"{tmp_dir}/in", "two.csv", "Date,Open,Note,Store,Id\n2015-09-02,1,n,2,3\n")
@@ -190,8 +190,8 @@ def test_stream_restart_neither_drops_nor_repeats(spark, tmp_dir):
     got = sorted((r["id"], r["store"], r["predicted_sales"]) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
     assert got == [(1, 1, 10.0), (2, 2, 0.0), (3, 2, 20.0)]
     _csv(f"{tmp_dir}/in", "bad.csv", "Date,Store\n2015-09-02,two\n")
-    code, err = run()
-    assert code != 0 and "MALFORMED" in err.upper()
+    assert run()[0] != 0  # a value that does not parse fails the batch; nothing of it is scored
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 3
 
 
 def test_model_store_without_models_and_with_broken_index(spark, tmp_dir):

@@ -3,6 +3,7 @@ filtered scans, and a broadcast store dimension."""
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -59,6 +60,9 @@ def test_facts_are_read_once(spark, name):
     assert "lineitem.parquet" not in plan
 
 
-def test_no_window_over_all_stores_in_one_task(spark):
+def test_row_numbers_order_no_table_in_one_task(spark):
+    """The windows of the horizon ids are partitioned: by store, and by bucket of the per-store counts."""
     from shelfcast.sources.fixture import load_panel
-    assert "SinglePartition" not in _plan(load_panel(spark, SF_SMALL).horizon)
+    plan = _plan(load_panel(spark, SF_SMALL).horizon)
+    specs = re.findall(r"Arguments: \[(?:row_number\(\)|sum\()[^\n]*windowspecdefinition\((\w+)#", plan)
+    assert set(specs) == {"store", "_bk"}
