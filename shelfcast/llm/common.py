@@ -3,16 +3,20 @@ spans and 64-bit hashes, written intermediate tables in the cluster's shared fol
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.session import scratch_dir
+from shelfcast.session import written  # noqa: F401 - for the operators
 
 #: Word separators of the contracts: space and \t \n \v \f \r.
 SPACE = np.zeros(256, bool)
@@ -24,17 +28,6 @@ _Q = np.uint64(pow(int(_P), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "q": np.ones(1, np.uint64)}
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors, and gives later joins the
-    real size of the table as their statistics."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -176,9 +169,6 @@ def _local(uri: str) -> str | None:
 
 def put_file(folder: str, name: str, data: bytes) -> None:
     """Write one file of the shared folder; a repeated task replaces it by the same bytes in one step."""
-    import os
-
-    from pyarrow import fs
     local = _local(folder)
     if local is None:
         system, path = fs.FileSystem.from_uri(folder)
@@ -194,15 +184,11 @@ def put_file(folder: str, name: str, data: bytes) -> None:
 
 def map_file(folder: str, name: str, dtype) -> np.ndarray:
     """A file of the shared folder as a memory-mapped array (via a local copy where it cannot be mounted)."""
-    import os
-    import tempfile
-
-    from pyarrow import fs
     local = _local(folder)
     path = f"{local}/{name}"
     if local is None:
         system, remote = fs.FileSystem.from_uri(folder)
-        path = os.path.join(tempfile.gettempdir(), f"shelfcast-{abs(hash(folder))}-{name}")
+        path = os.path.join(tempfile.gettempdir(), f"shelfcast-{hashlib.md5(folder.encode()).hexdigest()}-{name}")
         if not os.path.exists(path):
             with system.open_input_stream(f"{remote}/{name}") as src, open(f"{path}.{os.getpid()}", "wb") as dst:
                 dst.write(src.read())
