@@ -8,10 +8,11 @@ one: only shingles well above the noise, such as boilerplate, weigh less, at mos
 
 Two texts get the same sample (shingle, level) with the probability of their weighted Jaccard
 similarity. ``BANDS`` keys of ``ROWS`` samples each lead to candidates: a pair at 0.8 misses all
-keys with probability (1 - 0.8^3)^16 = 1e-5. Exact copies are first folded into one text. A bucket's texts
-are compared with two leaders of the bucket, never all with all. Texts that match neither leader are
-asked again in finer buckets (two keys at once), with other leaders. Every candidate is verified by the
-exact weighted Jaccard similarity of the two texts. Classes are the connected components of the links.
+keys with probability (1 - 0.8^3)^16 = 1e-5. Exact copies are first folded into one text. All texts of a
+bucket are compared with each other by the exact weighted Jaccard similarity: small buckets as distinct pairs,
+larger ones in salted blocks, where the common weights of a block's pairs are products of matrices and a pair is
+compared only in the first bucket that it shares. A block returns a spanning forest of its links, so no step
+writes the pairs of a large group. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import flat, mix, signed, slices, span_hash, windows, word_spans, written
@@ -33,6 +35,9 @@ DF_BITS = 20
 DAMPING = 0.25
 _RANGES = 16  # parts of the counter row
 _FAN = 64     # blobs added up in one step
+SMALL = 8     # texts of a bucket whose pairs are listed; larger ones are cut into blocks
+BLOCK_ROWS, BLOCK_BYTES = 512, 1 << 20
+_COLUMNS = 4096  # shingles in one matrix product
 
 _rng = np.random.default_rng(20240607)
 _CELLS = 1 << 16
@@ -144,7 +149,7 @@ def band_keys(key: np.ndarray, count: np.ndarray, off: np.ndarray, idf: np.ndarr
 
 
 def _signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(digest, keys) of each text that has words."""
+    """(digest, keys, bytes) of each text that has words."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +158,9 @@ def _signatures(texts: DataFrame, idf: np.ndarray) -> DataFrame:
             keys = band_keys(key, count, off, shared.value)
             full = pa.array(np.flatnonzero(np.diff(off) > 0))
             yield pa.RecordBatch.from_arrays([batch.column("digest").take(full), pa.FixedSizeListArray.from_arrays(
-                pa.array(signed(keys).ravel()), BANDS).cast(pa.list_(pa.int64()))], names=["digest", "keys"])
-    return texts.select("digest", "text").mapInArrow(sign, "digest binary, keys array<long>")
+                pa.array(signed(keys).ravel()), BANDS).cast(pa.list_(pa.int64())),
+                pc.binary_length(batch.column("text").take(full)).cast(pa.int64())], names=["digest", "keys", "bytes"])
+    return texts.select("digest", "text").mapInArrow(sign, "digest binary, keys array<long>, bytes long")
 
 
 # ---- verification
@@ -190,50 +196,128 @@ def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
-def _buckets(members: DataFrame, *more: Column) -> DataFrame:
-    """Buckets of two texts or more with two leaders, the second by a digest of its own."""
-    return members.groupBy("key").agg(F.min("digest").alias("r1"), F.min_by("digest", F.xxhash64("digest", "key")).alias("r2"),
-                                      F.count(F.lit(1)).alias("n"), *more).filter("n > 1")
+def common_weights(a: np.ndarray, b: np.ndarray, key: np.ndarray, count: np.ndarray, off: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Sums of the smaller weights of each row of ``a`` with each row of ``b`` (row numbers of the shingles).
+
+    A shingle that a row has c times is c columns, so the smaller weight of two rows is a product."""
+    n = len(off) - 1
+    row = np.repeat(np.repeat(np.arange(n), np.diff(off)), count)
+    turn = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    weight = np.repeat(idf[_cell(key, int(len(idf)).bit_length() - 1)].astype(float), count)
+    column = mix(np.repeat(key, count) + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(column, kind="stable")
+    row, weight, column = row[order], weight[order], column[order]
+    first = np.ones(len(column), bool)
+    first[1:] = column[1:] != column[:-1]
+    at = np.flatnonzero(first)
+    shared = np.repeat(np.diff(np.append(at, len(column))) > 1, np.diff(np.append(at, len(column))))
+    row, weight = row[shared], weight[shared]
+    column = np.cumsum(first[shared]) - 1
+    place = np.full((2, n), -1)
+    place[0, a], place[1, b] = np.arange(len(a)), np.arange(len(b))
+    out = np.zeros((len(a), len(b)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        part = slice(*np.searchsorted(column, [low, low + _COLUMNS]))
+        sides = []
+        for side, size in ((0, len(a)), (1, len(b))):
+            to = place[side, row[part]]
+            x = np.zeros((size, _COLUMNS))
+            x[to[to >= 0], column[part][to >= 0] - low] = 1.0 if side else weight[part][to >= 0]
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    return out
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Distinct unordered pairs of a member with its bucket's leaders."""
-    p = members.select("digest", F.explode(F.array_distinct(F.array("r1", "r2"))).alias("r")).filter("digest <> r")
-    return p.select(F.least("digest", "r").alias("a"), F.greatest("digest", "r").alias("b")).distinct()
+def spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of a spanning forest of the links ``hit`` between rows and columns."""
+    rows, columns = hit.any(1), hit.any(0)  # not yet reached
+    out = []
+    while rows.any():
+        new = np.array([np.argmax(rows)])
+        rows[new] = False
+        while len(new):
+            to = np.flatnonzero(hit[new].any(0) & columns)
+            columns[to] = False
+            out.append((new[np.argmax(hit[np.ix_(new, to)], 0)], to))
+            new = np.flatnonzero(hit[:, to].any(1) & rows)
+            rows[new] = False
+            out.append((new, to[np.argmax(hit[np.ix_(new, to)], 1)] if len(new) else new))
+    return tuple(np.concatenate([x[k] for x in out] or [np.zeros(0, int)]) for k in (0, 1))
+
+
+def _block_hits(key: int, i: int, j: int, t: pa.Table, idf: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(a, b, hit): rows of blocks i and j, and which of their pairs are similar enough and belong to this bucket."""
+    salt = t.column("salt").to_numpy()
+    keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    large = t.column("large").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+    a, b = np.flatnonzero(salt == i), np.flatnonzero(salt == j)
+    if not len(a) or not len(b):
+        return None
+    todo = np.triu(np.ones((len(a), len(b)), bool), 1) if i == j else np.ones((len(a), len(b)), bool)
+    band = int(np.argmax(keys[0] == key))
+    for k in range(BANDS):  # pairs of listed buckets and of earlier large ones are compared there
+        if k != band:
+            same = keys[a, k][:, None] == keys[b, k][None, :]
+            todo &= ~(same if k < band else same & ~large[a, k][:, None])
+    if not todo.any():
+        return None
+    some, other = todo.any(1), todo.any(0)
+    todo, a, b = todo[np.ix_(some, other)], a[some], b[other]
+    both = np.union1d(a, b)
+    sh, count, off = shingles(*flat(t.column("text").combine_chunks().take(pa.array(both))))
+    ra, rb = np.searchsorted(both, a), np.searchsorted(both, b)
+    w = count * idf[_cell(sh, int(len(idf)).bit_length() - 1)].astype(float)
+    total = np.add.reduceat(w, off[:-1])  # every member of a bucket has shingles
+    low = common_weights(ra, rb, sh, count, off, idf)
+    return a, b, todo & (low >= threshold * (total[ra][:, None] + total[rb][None, :] - low))
+
+
+def _block_links(members: DataFrame, keys: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Links (a, b) that span the similar texts of the larger buckets. ``members``: (digest, key, blocks)."""
+    shared = members.sparkSession.sparkContext.broadcast(idf)
+
+    def verify(group: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        found = _block_hits(*(x.as_py() for x in group), t, shared.value, threshold)
+        digest = t.column("digest").combine_chunks()
+        a = b = np.zeros(0, int)
+        if found is not None:
+            x, y = spanning(found[2])
+            a, b = found[0][x], found[1][y]
+        return pa.table({"a": digest.take(pa.array(a, pa.int64())), "b": digest.take(pa.array(b, pa.int64()))})
+    spots = members.groupBy("digest").agg(F.collect_list(F.struct("key", "blocks")).alias("spots"))  # BANDS at most
+    rows = spots.join(keys.select("digest", "keys"), "digest").join(texts, "digest") \
+        .withColumn("large", F.transform("keys", lambda k: F.array_contains("spots.key", k))) \
+        .select("digest", "keys", "large", "text", F.explode("spots").alias("s")) \
+        .withColumn("salt", F.pmod(F.xxhash64("digest", "s.key"), F.col("s.blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s.blocks") - 1))) \
+        .select(F.col("s.key").alias("key"), F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"),
+                "salt", "digest", "keys", "large", "text")
+    return rows.groupBy("key", "i", "j").applyInArrow(verify, "a binary, b binary")
 
 
 def near_links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) of distinct texts with weighted Jaccard similarity of at least ``threshold``.
+    """(a, b) of distinct texts with weighted Jaccard similarity of at least ``threshold``: enough of them to
+    connect all pairs that share a key.
 
     ``texts``: (digest, text), repeated for repeated texts (their document frequencies count)."""
     counters, docs = document_frequencies(texts)
     idf = inverse_frequencies(counters, docs)
-    keys = _signatures(texts, idf).groupBy("digest").agg(F.first("keys").alias("keys"))
+    keys = _signatures(texts, idf).groupBy("digest").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"))
     keys = written(keys, "icws-keys")
-    members = keys.select("digest", F.explode("keys").alias("key"))
-    joined = written(members.join(_buckets(members), "key"), "icws-members")  # only those with company
-    pairs = written(_pairs(joined), "icws-pairs")
-    # texts of the members that are in some pair: later joins read only these
+    members = keys.select("digest", F.explode("keys").alias("key"), "bytes")
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("size")).filter("n > 1")
+    blocks = F.least("n", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("size") / BLOCK_BYTES)))
+    joined = members.select("digest", "key").join(buckets.select("key", "n", blocks.alias("blocks")), "key")
+    joined = written(joined, "icws-members")  # only those with company
+    # texts of the members: later joins read only these
     some = texts.join(joined.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
     some = written(some, "icws-texts")
-    links = written(_links(pairs, some, idf, threshold), "icws-links")
-
-    # members that match neither leader of a bucket of three or more: finer buckets, other leaders
-    linked = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    tried = joined.filter((F.col("n") > 2) & (F.col("digest") != F.col("r1")) & (F.col("digest") != F.col("r2")))
-    lost = tried.select("digest", "key", F.explode(F.array_distinct(F.array("r1", "r2"))).alias("r")) \
-        .join(linked, (F.col("digest") == F.col("a")) & (F.col("r") == F.col("b")), "left") \
-        .groupBy("digest", "key").agg(F.count("a").alias("hits")).filter("hits = 0").select("digest", "key")
-    lost = written(lost, "icws-lost")
-    again = joined.select("digest", "key").join(lost.select("key").distinct(), "key") \
-        .join(lost.withColumn("lost", F.lit(True)), ["digest", "key"], "left").join(keys, "digest")
-    fine = again.select("digest", "lost", "key", F.explode("keys").alias("other")).filter("key <> other") \
-        .groupBy("digest", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")) \
-        .agg(F.max("lost").alias("lost"))
-    fine = written(fine, "icws-fine")
-    finer = _buckets(fine, F.max("lost").alias("any_lost")).filter("any_lost").drop("any_lost")
-    more = _pairs(fine.filter("lost").join(finer, "key")).join(pairs, ["a", "b"], "left_anti")
-    return links.unionByName(written(_links(more, some, idf, threshold), "icws-links"))
+    listed = joined.filter(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("digest")).alias("g"))
+    pairs = listed.select(F.explode(F.expr(
+        "flatten(transform(g, (x, p) -> transform(slice(g, p + 2, size(g)), y -> struct(x AS a, y AS b))))")).alias("p"))
+    links = written(_links(written(pairs.select("p.a", "p.b").distinct(), "icws-pairs"), some, idf, threshold), "icws-links")
+    large = joined.filter(F.col("n") > SMALL).select("digest", "key", "blocks")
+    return links.unionByName(written(_block_links(large, keys, some, idf, threshold), "icws-links"))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

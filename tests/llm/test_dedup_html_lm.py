@@ -104,6 +104,33 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert Counter(want.values()).most_common(1)[0][1] > 250
 
 
+def _star(copies, edits, seed, n=200):
+    """A text, and copies that are similar to it but not to each other."""
+    rnd, base = random.Random(seed), sample_text(n, seed).split()
+    out = [" ".join(base)]
+    for i in range(copies):
+        w = list(base)
+        for at in rnd.sample(range(3, n - 3, 6), edits):
+            w[at] = f"edit{seed}x{i}x{at}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_copies_that_match_only_their_hub_are_one_class(spark):
+    rows = list(enumerate(_star(250, 3, 71) + _star(40, 3, 72) + _star(6, 3, 73)))
+    want = {i: c for i, _, c in near_classes(rows)}
+    assert len(set(want.values())) == 3
+    got = ICWS.near_duplicates(_frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_small_blocks_give_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(ICWS, "BLOCK_ROWS", 16)
+    rows = list(enumerate(_star(90, 3, 74) + ["la " * 40 + t for t in _star(30, 2, 75)]))
+    got = ICWS.near_duplicates(_frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: c for i, _, c in near_classes(rows)}
+
+
 def test_one_of_each(spark):
     rows = _near()
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, digest string, root int")
