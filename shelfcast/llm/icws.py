@@ -11,8 +11,8 @@ similarity. ``BANDS`` keys of ``ROWS`` samples each lead to candidates: a pair a
 keys with probability (1 - 0.8^3)^16 = 1e-5. Exact copies are first folded into one text. All texts of a
 bucket are compared with each other by the exact weighted Jaccard similarity: small buckets as distinct pairs,
 larger ones in salted blocks, where the common weights of a block's pairs are products of matrices and a pair is
-compared only in the first bucket that it shares. A block returns a spanning forest of its links, so no step
-writes the pairs of a large group. Classes are the connected components of the links.
+compared only in the first bucket that it shares. A block returns a spanning forest of its links and how many
+links each text has in it, so no step writes the pairs of a large group. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -273,17 +273,24 @@ def _block_hits(key: int, i: int, j: int, t: pa.Table, idf: np.ndarray, threshol
 
 
 def _block_links(members: DataFrame, keys: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """Links (a, b) that span the similar texts of the larger buckets. ``members``: (digest, key, blocks)."""
+    """Links (a, b) that span the similar texts of the larger buckets, and rows (a, hits) with the number of
+    links of a text in one block. ``members``: (digest, key, blocks)."""
     shared = members.sparkSession.sparkContext.broadcast(idf)
 
     def verify(group: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         found = _block_hits(*(x.as_py() for x in group), t, shared.value, threshold)
         digest = t.column("digest").combine_chunks()
         a = b = np.zeros(0, int)
+        hits = np.zeros(t.num_rows, np.int64)
         if found is not None:
             x, y = spanning(found[2])
             a, b = found[0][x], found[1][y]
-        return pa.table({"a": digest.take(pa.array(a, pa.int64())), "b": digest.take(pa.array(b, pa.int64()))})
+            hits[found[0]] += found[2].sum(1)
+            hits[found[1]] += found[2].sum(0)
+        own = np.flatnonzero(hits)
+        return pa.table({"a": digest.take(pa.array(np.concatenate([a, own]))),
+                         "b": pa.concat_arrays([digest.take(pa.array(b)), pa.nulls(len(own), digest.type)]),
+                         "hits": pa.array(np.concatenate([np.zeros(len(a), np.int64), hits[own]]))})
     spots = members.groupBy("digest").agg(F.collect_list(F.struct("key", "blocks")).alias("spots"))  # BANDS at most
     rows = spots.join(keys.select("digest", "keys"), "digest").join(texts, "digest") \
         .withColumn("large", F.transform("keys", lambda k: F.array_contains("spots.key", k))) \
@@ -292,12 +299,12 @@ def _block_links(members: DataFrame, keys: DataFrame, texts: DataFrame, idf: np.
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s.blocks") - 1))) \
         .select(F.col("s.key").alias("key"), F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"),
                 "salt", "digest", "keys", "large", "text")
-    return rows.groupBy("key", "i", "j").applyInArrow(verify, "a binary, b binary")
+    return rows.groupBy("key", "i", "j").applyInArrow(verify, "a binary, b binary, hits long")
 
 
-def near_links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) of distinct texts with weighted Jaccard similarity of at least ``threshold``: enough of them to
-    connect all pairs that share a key.
+def near_links(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of distinct texts with weighted Jaccard similarity of at least ``threshold``, enough of them to
+    connect all such pairs that share a key; and (node, n_links), the number of all such pairs of each text.
 
     ``texts``: (digest, text), repeated for repeated texts (their document frequencies count)."""
     counters, docs = document_frequencies(texts)
@@ -317,7 +324,11 @@ def near_links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "flatten(transform(g, (x, p) -> transform(slice(g, p + 2, size(g)), y -> struct(x AS a, y AS b))))")).alias("p"))
     links = written(_links(written(pairs.select("p.a", "p.b").distinct(), "icws-pairs"), some, idf, threshold), "icws-links")
     large = joined.filter(F.col("n") > SMALL).select("digest", "key", "blocks")
-    return links.unionByName(written(_block_links(large, keys, some, idf, threshold), "icws-links"))
+    found = written(_block_links(large, keys, some, idf, threshold), "icws-links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("hits"))
+    degree = ends.unionByName(found.filter("b IS NULL").select(F.col("a").alias("node"), "hits")) \
+        .groupBy("node").agg(F.sum("hits").alias("n_links"))
+    return links.unionByName(found.filter("b IS NOT NULL").select("a", "b")), degree
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -344,8 +355,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, digest of its text, class_id (smallest id of its class), n_links (links of
-    its text to different texts), kept (it has the smallest id).
+    """One row per row of ``docs``: doc_id, digest of its text, class_id (smallest id of its class), n_links (how
+    many different texts are similar enough to its text and share a key with it), kept (it has the smallest id).
 
     Exact copies share a class whatever their links. Null texts and texts without words are classes
     of their own and kept. Null ids come last in the choice of class_id; a class of null ids only has a
@@ -354,11 +365,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.col(text_col))).alias("digest"), F.col(text_col).alias("text"))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    links = near_links(d.filter(has_words).select("digest", "text"), threshold)
+    links, degree = near_links(d.filter(has_words).select("digest", "text"), threshold)
     roots = written(components(links), "icws-roots")
     # roots are smallest members and not listed as nodes of their own
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     ids = d.select("doc_id", "digest", has_words.alias("words"))
     named = ids.filter("words").join(roots, F.col("digest") == F.col("node"), "left") \
         .select("doc_id", "digest", F.coalesce("root", "digest").alias("root"))

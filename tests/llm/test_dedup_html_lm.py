@@ -131,6 +131,13 @@ def test_small_blocks_give_the_same_classes(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in got} == {i: c for i, _, c in near_classes(rows)}
 
 
+def test_links_count_every_similar_text(spark):
+    """Groups of mutually similar texts: a link to each of the others, in listed buckets and in blocks."""
+    rows = list(enumerate(_star(39, 1, 76) + _star(4, 1, 77)))
+    got = {r.doc_id: r.n_links for r in ICWS.near_duplicates(_frame(spark, rows + [(900, rows[0][1])])).collect()}
+    assert [got[i] for i, _ in rows] == [39] * 40 + [4] * 5 and got[900] == 39
+
+
 def test_one_of_each(spark):
     rows = _near()
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, digest string, root int")
