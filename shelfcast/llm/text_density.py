@@ -11,7 +11,9 @@ the path holds an article or main element, that element is the text. Otherwise,
 above the threshold gives the subtree of its own largest sum.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments and invisible parts are left out
-first, by element, role, class and id, so they add nothing to any density.
+first, by element, role and whole class or id names, so they add nothing to any density. Except for invisible parts
+and controls, such an element stays, for the density to decide, if its articles hold at least as much text (not in links)
+as those outside of all such elements and half as much as those of any of them, or, where there are none outside, if it holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -29,12 +31,13 @@ from shelfcast.llm.common import append_columns, kept_fields, slices
 
 # Element kinds of HTML and the usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg object".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "summary table tbody td tfoot th thead tr ul".split())
-LEFT_OUT = frozenset("nav footer aside form head button select dialog menu search canvas audio video".split())
+LEFT_OUT = frozenset("nav footer aside form dialog menu search".split())
+ALWAYS_OUT = frozenset("head button select canvas audio video annotation annotation-xml".split())
 PAGE_HEAD = frozenset(["header"])
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 FURNITURE = frozenset(
@@ -42,6 +45,10 @@ FURNITURE = frozenset(
     "notice notices popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer comment "
     "comments disqus replies share sharing social related recommended newsletter subscribe subscription pagination pager "
     "toolbar login signup".split())
+#: Of these names, those that are no content in an article either.
+IN_ARTICLE = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr popup nav navbar breadcrumb "
+    "breadcrumbs comments disqus share sharing newsletter subscribe pagination pager toolbar login signup".split())
 HEAD_NAMES = frozenset(["header", "masthead", "topbar"])
 NEVER = frozenset(["html", "body", "main", "article"])
 #: Elements that a start tag closes when they are open inside the given scope.
@@ -56,36 +63,37 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _left_out(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is page furniture; ``inside``: it stands in an article or main element."""
+def _left_out(tag: str, attrs: str, inside: bool) -> int:
+    """1: the element is page furniture, 2: it is invisible or a control; ``inside``: it stands in an article or main element."""
     if tag in NEVER:
-        return False
-    if tag in LEFT_OUT or (tag in PAGE_HEAD and not inside):
-        return True
-    if not attrs:
-        return False
+        return 0
+    if tag in ALWAYS_OUT:
+        return 2
+    out = int(tag in LEFT_OUT or (tag in PAGE_HEAD and not inside))
     for m in _ATTR.finditer(attrs):
         name = m[1].lower()
         value = html.unescape(m[2] or m[3] or m[4] or "")
         if name in ("class", "id"):
-            parts = {x.lower() for x in _NAMES.findall(value)}
-            if parts & FURNITURE or (not inside and parts & HEAD_NAMES):
-                return True
+            names = set(value.lower().split())
+            if names & (IN_ARTICLE if inside else FURNITURE) or (not inside and names & HEAD_NAMES):
+                out = 1
         elif name == "role" and value.lower() in ROLES:
-            return True
+            out = 1
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
-            return True
-    return False
+            return 2
+    return out
 
 
 class _Page:
     """Elements in page order (so a subtree is a range), blocks of text, and the sums that densities need."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, stay: frozenset | None = None):
+        """``stay``: numbers of the start tags whose furniture stays; None: all of it."""
+        self.stay, self.turn = stay, 0
+        self.furniture: list[tuple[int, int]] = []  # (element, number of its start tag) of what stays
         self.tag, self.parent, self.last = ["#page"], [-1], [0]
         self.chars, self.link_chars = [0], [0]
         self.blocks: list[tuple[int, str]] = []  # (innermost element, text)
@@ -123,7 +131,10 @@ class _Page:
             self.link_chars[self.stack[-1][0]] += n
 
     def _push(self, tag: str, attrs: str) -> None:
-        skip = bool(self.out_at) or _left_out(tag, attrs, self.inside > 0)
+        self.turn += 1
+        out = 0 if self.out_at else _left_out(tag, attrs, self.inside > 0)
+        stays = out == 1 and (self.stay is None or self.turn in self.stay)
+        skip = bool(self.out_at) or (out and not stays)
         if tag in BLOCK:
             self._flush()
         if skip:
@@ -138,6 +149,8 @@ class _Page:
             self.chars.append(0)
             self.link_chars.append(0)
             self.stack.append((len(self.tag) - 1, tag))
+            if stays:
+                self.furniture.append((len(self.tag) - 1, self.turn))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.links += tag == "a"
         self.inside += tag in ("article", "main")
@@ -209,6 +222,30 @@ class _Page:
         self._text(source[at:] if not m else "")
 
 
+def _wrappers(p: _Page) -> frozenset:
+    """Start tags of the furniture that holds the page's articles or most of its text; ``p``: with all furniture."""
+    n = len(p.tag)
+    text = [c - lc for c, lc in zip(p.chars, p.link_chars)]
+    for i in range(n - 1, 0, -1):
+        text[p.parent[i]] += text[i]
+    named = {i for i, _ in p.furniture}
+    articles, under = [0] * n, [False] * n  # text of the outermost articles in a subtree; under furniture
+    outside = 0
+    for i in range(n - 1, 0, -1):
+        articles[i] = text[i] if p.tag[i] in ("article", "main") else articles[i]
+        articles[p.parent[i]] += articles[i]
+    topmost = [False] * n  # in an article
+    for i in range(1, n):
+        up = p.parent[i]
+        under[i] = under[up] or i in named
+        topmost[i] = topmost[up] or p.tag[i] in ("article", "main")
+        if topmost[i] and not topmost[up] and not under[i]:
+            outside += text[i]
+    least = max(outside, max((articles[i] for i in named), default=0) / 2, 1)
+    return frozenset(turn for i, turn in p.furniture
+                     if articles[i] >= least or (not outside and 2 * text[i] > text[0]))
+
+
 def _densities(p: _Page) -> tuple[list[float], list[float]]:
     """Density of each element and the sum over its children."""
     n = len(p.tag)
@@ -269,6 +306,8 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     p = _Page(source)
+    if p.furniture:
+        p = _Page(source, _wrappers(p))
     roots = _chosen(p)
     out, k = [], 0
     for owner, text in p.blocks:

@@ -217,6 +217,26 @@ PAGES = [
 ]
 
 
+STORY = "a long line of the story " * 8
+WRAPPED = [
+    ("<div class='%s'><article><p>" + STORY + "</p></article></div>", ["content-sidebar-wrap", "layout has-sidebar", "site no-sidebar", "sidebar", "modal"]),
+    ("<nav>menu</nav><form id=%s><div><p>" + STORY + "</p><p>" + STORY + "</p></div></form><footer>end</footer>", ["aspnet", "login"]),
+    ("<article><p>" + STORY + "</p><div class='%s'><p>" + STORY + "</p></div><div class=ads>buy</div></article>",
+     ["social-science", "related-work", "notice"]),
+]
+
+
+def test_wrappers_and_content_blocks_stay():
+    line = STORY.strip()
+    for (page, names), n in zip(WRAPPED, (1, 2, 2)):
+        for name in names:
+            assert TD.main_text(page % name) == "\n".join([line] * n), name
+    assert TD.main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math></p></article>") == "so x=1"
+    teaser = "<aside class=sidebar><article>short</article></aside>"
+    assert TD.main_text(f"{teaser}<div><article>{STORY}</article></div>") == line
+    assert TD.main_text(f"<div class=sidebar><main>{STORY}</main></div>{teaser}") == line
+
+
 def test_pages(spark):
     d = spark.createDataFrame([(i, "u", h, "z") for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string, text string")
     for r in TD.extract(d).collect():
