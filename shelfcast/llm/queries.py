@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import decontam as DEC
 from shelfcast.llm import icws as ICWS
 from shelfcast.llm import kneser_ney as KN
+from shelfcast.llm import merkle as MK
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm import ppm_langid as PPM
@@ -92,3 +93,8 @@ def op5(spark, sf):
 @register("op8_text_density")
 def op8(spark, sf):
     return TD.extract(read_table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@register("op13_merkle_manifest", MK.ORACLE_SQL)
+def op13(spark, sf):
+    return MK.manifest(read_table(spark, sf, "documents"))
