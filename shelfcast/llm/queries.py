@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm import alignment as AL
 from shelfcast.llm import decontam as DEC
 from shelfcast.llm import icws as ICWS
 from shelfcast.llm import kneser_ney as KN
@@ -95,6 +96,13 @@ def op8(spark, sf):
     return TD.extract(read_table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
 
 
+@register("op12_token_alignment")
+def op12(spark, sf):
+    import public_tokenizers
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return AL.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 @register("op13_merkle_manifest", MK.ORACLE_SQL)
 def op13(spark, sf):
     return MK.manifest(read_table(spark, sf, "documents"))
