@@ -15,6 +15,7 @@ from shelfcast.llm import merkle as MK
 from shelfcast.llm import pareto_mix as MIX
 from shelfcast.llm import pii as PII
 from shelfcast.llm import ppm_langid as PPM
+from shelfcast.llm import prefix_free as PF
 from shelfcast.llm import superkmer as SK
 from shelfcast.llm import text_density as TD
 from shelfcast.llm.common import crc_mod, read_table, written
@@ -96,6 +97,11 @@ def op8(spark, sf):
     return TD.extract(read_table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
 
 
+@register("op11_prefix_free_dedup", PF.ORACLE_SQL)
+def op11(spark, sf):
+    return PF.remove_repeats(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @register("op12_token_alignment")
 def op12(spark, sf):
     import public_tokenizers
