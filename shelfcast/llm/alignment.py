@@ -38,7 +38,7 @@ RADIX = 16          # parts of the A ids
 SLICE = 4 << 20     # bytes of text whose records make one run a radix
 BLOCK = 4096        # pairs in a block of a run
 GROUP = 32 << 20    # bytes of runs that one task merges
-WORDS = 1 << 17     # segments kept by a worker between slices
+WORDS = 3 << 16     # segments kept by a worker between slices
 
 #: Up to the next single space or newline that stands between two characters other than white space.
 SEGMENT = re.compile(r"(?:\A\s*|[ \n])?\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?")
@@ -46,12 +46,16 @@ SEGMENT = re.compile(r"(?:\A\s*|[ \n])?\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?"
 
 def segments(text: str) -> Iterator[str]:
     """Pieces of space + ``text`` that both tokenizers encode on their own; each starts with a space or newline."""
-    end = 0
-    for m in SEGMENT.finditer(text):
-        yield m[0] if end else " " + m[0]
-        end = m.end()
-    if end < len(text):  # white space only
-        yield " " + text[end:]
+    if text.isspace():
+        yield " " + text
+        return
+    if len(text) < 1 << 20:
+        found = SEGMENT.findall(text)
+        found[0] = " " + found[0]
+        yield from found
+        return
+    for m in SEGMENT.finditer(text):  # one by one
+        yield m[0] if m.start() else " " + m[0]
 
 
 def byte_symbols() -> dict[str, int]:
@@ -122,17 +126,22 @@ class Segments(dict):
 
     def encode(self, new: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
         """Token ids of both, and whether their joined bytes are those of the segment (else no ids)."""
-        a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
         b = self.b.encode([s[1:] if s[0] == " " else s for s in new], num_threads=1)
+        raw = [s.encode() for s in new]
         same = np.ones(len(new), bool)
         for i, s in enumerate(new):
-            raw = s.encode()
-            if s[0] != " ":
-                same[i] = b[i] and self.b_bytes[b[i][0]] == b" "  # the space that B adds, a token of its own before a newline
+            if s[0] != " ":  # B adds a space, a token of its own before a newline
+                same[i] = b[i] and self.b_bytes[b[i][0]] == b" "
                 b[i] = b[i][1:]
-            same[i] &= b"".join(map(self.a_bytes.__getitem__, a[i])) == raw and b"".join(map(self.b_bytes.__getitem__, b[i])) == raw
-            if not same[i]:
-                a[i], b[i] = [], []
+        size = np.array([len(x) for x in raw])
+        for ids, sizes, table in ((a, self.a_size, self.a_bytes), (b, self.b_size, self.b_bytes)):
+            flat = list(itertools.chain.from_iterable(ids))
+            ends = np.concatenate([[0], np.cumsum(sizes[np.array(flat, np.int64)])])[np.cumsum([len(x) for x in ids])]
+            if (ends != np.cumsum(size)).any() or b"".join(map(table.__getitem__, flat)) != b"".join(raw):
+                same &= [b"".join(map(table.__getitem__, x)) == y for x, y in zip(ids, raw)]
+        for i in np.flatnonzero(~same):
+            a[i], b[i] = [], []
         return a, b, same
 
     def fill(self) -> None:
@@ -180,6 +189,16 @@ class Segments(dict):
         self.keys, self.links = np.concatenate([self.keys, pair % (va * vb)]), np.concatenate([self.links, times])
 
 
+_TABLES: dict[tuple[str, str], Segments] = {}
+
+
+def _table(a_file: str, b_file: str) -> Segments:
+    """One table a worker process: its next tasks find the segments of the ones before."""
+    if (a_file, b_file) not in _TABLES:
+        _TABLES[a_file, b_file] = Segments(a_file, b_file)
+    return _TABLES[a_file, b_file]
+
+
 FACT = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
         ("groups_sha256", pa.string())]
 RUN = "slice long, radix int, first array<long>, pairs array<binary>, docs array<binary>, " \
@@ -228,10 +247,10 @@ def _run(key: np.ndarray, doc: np.ndarray, links: np.ndarray, block: int) -> tup
 def _spill(a_file: str, b_file: str, radix: int, size: int, block: int, words: int):
     """Runs and document facts of slices of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Segments(a_file, b_file)
+        table = _table(a_file, b_file)
         task = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(slices(batches, "text", size)):
-            if len(table) > words or len(table.keys) > 16 * words:
+            if len(table) > words or len(table.keys) > 8 * words:
                 table.reset()
             w, off = _numbers(table, batch.column("text").to_pylist())
             of = np.repeat(np.arange(batch.num_rows), np.diff(off))
@@ -347,7 +366,7 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
     total = runs.agg(F.sum(size)).first()[0] or 0
     spill = runs.filter("radix >= 0").withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(1 + total // (group_bytes * radix))))
 
-    n_b = len(Segments(a_file, b_file).b_bytes)
+    n_b = len(_table(a_file, b_file).b_bytes)
     partial = spill.select("radix", "salt", "slice", "first", "pairs").repartition("radix", "salt") \
         .sortWithinPartitions("radix", "salt", "slice").drop("slice").mapInArrow(_count, "radix int, salt long, pair long, n long")
     partial = written(partial, "align-partial")
