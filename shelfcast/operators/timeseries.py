@@ -226,18 +226,108 @@ def _t_value(y: np.ndarray, X: np.ndarray, k: int) -> float:
 
 
 ADF_SCHEMA = "store long, adf_stat double, p_value double, used_lag int, nobs int, is_stationary boolean"
+ADF_MAX_LAG = 40
 
 
-def adf(series: DataFrame, col: str = "y", threshold: float = 0.05) -> DataFrame:
-    """TS3 for every store: one grouped-pandas task per store on its (bounded) daily series."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        vals = pdf[col].dropna().to_numpy(dtype=float)
-        stat, p, lag, nobs = adf_test(vals)
-        return pd.DataFrame({"store": [int(pdf["store"].iloc[0])], "adf_stat": [stat], "p_value": [p],
-                             "used_lag": [lag], "nobs": [nobs],
-                             "is_stationary": [bool(p < threshold) if not math.isnan(p) else False]})
-    return series.select("store", "date", col).groupBy("store").applyInPandas(run, ADF_SCHEMA)
+def adf(series: DataFrame, col: str = "y", threshold: float = 0.05, max_lag: int = ADF_MAX_LAG) -> DataFrame:
+    """TS3 for every store (see :func:`adf_test` for the definition).
+
+    What the regressions of all lag orders need are products of the centred level and of its differences with differences
+    up to ``max_lag`` days back. Their sums over the whole series are JVM aggregates over lag columns (one sort by
+    store and date); each regression's sample differs from it by a few days at either end, which travel as two short arrays.
+    A batch of stores, some 160 numbers each, then runs one nested elimination that gives the residuals of all lag orders.
+
+    A store with too few days has null results and 0 days. ``max_lag`` 40 serves series of up to 12,345 days; a
+    longer one is an error that says so.
+    """
+    w, ends = by_date(), max_lag + 2
+    s = series.where(F.col(col).isNotNull()).select("store", "date", (F.col(col) - F.avg(col).over(whole())).alias("_y"))
+    s = s.withColumns({"_t": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(whole()), "_l": F.lag("_y").over(w)})
+    s = s.withColumn("_d", F.col("_y") - F.col("_l")).withColumns({f"_d{k}": F.lag("_d", k).over(w) for k in range(1, max_lag + 1)})
+    back = ["_d", *[f"_d{k}" for k in range(1, max_lag + 1)]]
+    point = F.struct("_t", "_y")
+    sums = s.groupBy("store").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_y").alias("sy"), F.sum(F.col("_y") * F.col("_y")).alias("syy"),
+        F.array(*[F.coalesce(F.sum(F.col("_d") * F.col(c)), F.lit(0.0)) for c in back]).alias("dd"),
+        F.array(*[F.coalesce(F.sum(F.col("_l") * F.col(c)), F.lit(0.0)) for c in back]).alias("yd"),
+        F.array_sort(F.collect_list(F.when(F.col("_t") < ends, point)))["_y"].alias("head"),
+        F.array_sort(F.collect_list(F.when(F.col("_t") >= F.col("_n") - ends, point)))["_y"].alias("tail"))
+
+    def run(batches):
+        for pdf in batches:
+            rows = [_adf_of_sums(*r, threshold, max_lag) for r in zip(*(pdf[c] for c in ("store", "n", "sy", "syy", "dd", "yd", "head", "tail")))]
+            yield pd.DataFrame(rows, columns=["store", "adf_stat", "p_value", "used_lag", "nobs", "is_stationary"])
+    return sums.mapInPandas(run, ADF_SCHEMA)
+
+
+def _adf_of_sums(store, n, sy, syy, dd, yd, head, tail, threshold: float, max_lag: int) -> tuple:
+    """ADF of one centred series y_0..y_N from its product sums and its ends."""
+    top = min(n // 2 - 2, math.ceil(12.0 * (n / 100.0) ** 0.25))
+    if top < 0 or n < 4:
+        return store, math.nan, math.nan, 0, 0, False
+    if top > max_lag:
+        raise ValueError(f"store {store} has {n} days: pass max_lag={top} or more")
+    first, last = np.asarray(head, float), np.asarray(tail, float)[::-1]  # y_0, y_1, ... and y_N, y_(N-1), ...
+    step, rear = np.diff(first), last[:-1] - last[1:]  # d_1, d_2, ... and d_N, d_(N-1), ...
+    total = n - 1
+
+    def gram(start: int, lag: int) -> np.ndarray:
+        """Products of (1, y_(t-1), d_(t-1) .. d_(t-lag), d_t) summed over t = start + 1 .. N."""
+        g = np.zeros((lag + 3, lag + 3))
+        at = [lag + 2, *range(2, lag + 2)]  # place of d_(t-i)
+        for k in range(lag + 1):
+            i = np.arange(lag + 1 - k)
+            before = np.concatenate([np.zeros(k + 1), np.cumsum(step[k:start] * step[:start - k])])  # d_s d_(s-k) up to s
+            after = np.concatenate([[0.0], np.cumsum(rear[:lag - k] * rear[k:lag])])  # the last i of them
+            for x, v in zip(i, dd[k] - before[start - i] - after[i]):
+                g[at[x], at[x + k]] = g[at[x + k], at[x]] = v
+        for x in range(lag + 1):
+            g[0, at[x]] = g[at[x], 0] = last[x] - first[start - x]
+            g[1, at[x]] = g[at[x], 1] = yd[x] - first[x:start] @ step[:start - x]
+        g[0, 0] = total - start
+        g[0, 1] = g[1, 0] = sy - first[:start].sum() - last[0]
+        g[1, 1] = syy - first[:start] @ first[:start] - last[0] ** 2
+        return g
+
+    rss, rank = _eliminate(gram(top, top))
+    m, best, lag = total - top, math.inf, 0
+    for k in range(top + 1):
+        if rss[k + 2] > 0 and m > 0:
+            aic = m * (math.log(2 * math.pi) + math.log(rss[k + 2] / m) + 1.0) + 2.0 * rank[k + 2]
+            if aic < best:
+                best, lag = aic, k
+    g = gram(lag, lag)
+    order = [0, *range(2, lag + 2), 1, lag + 2]
+    rss, rank = _eliminate(g[np.ix_(order, order)])
+    nobs, k = total - lag, lag + 2
+    stat = math.nan
+    if nobs > k and rank[k] == k and rss[k] > 0:
+        # the level stands last: what it takes off the residual is its squared t-value's numerator
+        level = _eliminate(g[np.ix_(order[:-2] + [lag + 2, 1], order[:-2] + [lag + 2, 1])], steps=lag + 1, whole=True)
+        slope = level[-2, -1] / level[-1, -1]
+        stat = slope / math.sqrt(rss[k] / (nobs - k) / level[-1, -1])
+    p = mackinnon_p(stat) if not math.isnan(stat) else math.nan
+    return store, stat, p, lag, nobs, bool(p < threshold)
+
+
+def _eliminate(g: np.ndarray, steps: int | None = None, whole: bool = False, tiny: float = 1e-11):
+    """Residual sums of squares of the last variable on the first 0, 1, 2, ... others, and their ranks.
+
+    A variable that the ones before it explain up to ``tiny`` of its square adds nothing. ``whole``: what is
+    left of the products after ``steps`` variables."""
+    size = np.sqrt(np.maximum(np.diag(g), 0.0))
+    scale = np.where(size > 0, size, 1.0)
+    a = g / np.outer(scale, scale)
+    rss, rank = [a[-1, -1]], [0]
+    for k in range(len(a) - 1 if steps is None else steps):
+        used = a[k, k] > tiny
+        if used:
+            a[k + 1:, k + 1:] -= np.outer(a[k + 1:, k], a[k, k + 1:]) / a[k, k]
+        rss.append(a[-1, -1])
+        rank.append(rank[-1] + used)
+    if whole:
+        return a * np.outer(scale, scale)
+    return np.where(np.array(rss) > 1e-13 * rss[0], rss, 0.0) * scale[-1] ** 2, rank
 
 
 def dickey_fuller_lag0(series: DataFrame, col: str = "y") -> DataFrame:
@@ -365,32 +455,118 @@ def fit_lag_regression(cut: DataFrame, look_back: int = 14, rcond: float = 1e-10
             yield pd.DataFrame({"store": pdf["store"].astype("int64"), "beta": list(beta)})
 
     coefs = sums.mapInPandas(solve, "store long, beta array<double>")
-    scored = cut.join(coefs, "store", "left")
+    return _lag_predictions(cut, coefs, look_back, "left")
+
+
+def _lag_predictions(cut: DataFrame, coefs: DataFrame, look_back: int, how: str) -> DataFrame:
+    scored = cut.join(coefs, "store", how)
     dot = F.aggregate(F.zip_with(F.slice("beta", 2, look_back), "x", lambda w, v: w * v),
                       F.element_at("beta", 1), lambda acc, v: acc + v)
     return scored.select("store", F.col("t").cast("int").alias("t"), F.col("target").cast("double").alias("target"),
                          dot.alias("prediction"), F.col("is_train").cast("int").alias("is_train"))
 
 
-def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85,
-                 threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
-    """TS10 for all stores: TS1 -> TS2 -> TS3/TS4 -> TS8 -> TS7 -> K4 -> fit -> TS9 -> RMSE/MAE.
-
-    Returns (per-window predictions in series units, per-store metrics). As in
-    the reference, scaling uses the whole series and a differenced store's
-    errors are in difference units.
-    """
-    series = written(store_series(panel), "series")
+def lag_windows(series: DataFrame, look_back: int = 14, train_frac: float = 0.85,
+                threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """TS3/TS4 -> TS8 -> TS7 -> K4 on a stored series: (windows with is_train, each store's bounds)."""
     stat = written(make_stationary(series, adf(series, threshold=threshold)), "stationary")
-    scaled = minmax_scale(stat, "y")
     bounds = stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max"))
+    scaled = minmax_scale(stat, "y")
     windows = sliding_windows(scaled.where(F.col("scaled").isNotNull()), "scaled", look_back)
-    fitted = fit_lag_regression(ordered_cut(windows, train_frac), look_back)
+    return ordered_cut(windows, train_frac), bounds
+
+
+def _series_errors(fitted: DataFrame, bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """TS9 and the test windows' RMSE and MAE: (all windows in series units, metrics per store)."""
     out = fitted.join(bounds, "store").withColumns({
         "y_true": unscale(F.col("target"), F.col("v_min"), F.col("v_max")),
         "y_pred": unscale(F.col("prediction"), F.col("v_min"), F.col("v_max"))})
-    test = out.where(F.col("is_train") == 0)
     err = F.col("y_true") - F.col("y_pred")
-    metrics = test.groupBy("store").agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
-                                        F.count(F.lit(1)).alias("test_windows"))
+    metrics = out.where(F.col("is_train") == 0).groupBy("store").agg(
+        F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"), F.count(F.lit(1)).alias("test_windows"))
     return out, metrics
+
+
+def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85,
+                 threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """TS10 for all stores: TS1 -> TS2 -> TS3/TS4 -> TS8 -> TS7 -> K4 -> fit -> TS9 -> RMSE/MAE.
+
+    Returns (per-window predictions in series units, per-store metrics). As in
+    the reference, scaling uses the whole series and a differenced store's
+    errors are in difference units.
+    """
+    return series_forecast(written(store_series(panel), "series"), look_back, train_frac, threshold)
+
+
+def series_forecast(series: DataFrame, look_back: int = 14, train_frac: float = 0.85,
+                    threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """:func:`lag_forecast` from the stored daily series."""
+    cut, bounds = lag_windows(series, look_back, train_frac, threshold)
+    return _series_errors(fit_lag_regression(cut, look_back), bounds)
+
+
+def train_lag_epochs(cut: DataFrame, look_back: int = 14, epochs: int = 50, batch_size: int = 32, patience: int = 10,
+                     step: float = 0.05, min_delta: float = 1e-7) -> tuple[DataFrame, DataFrame]:
+    """The lag model trained by gradient epochs: (weights, history).
+
+    An epoch takes a store's training windows in order, ``batch_size`` at a time, and moves the weights against each
+    batch's mean-squared-error gradient. Training stops after ``patience`` epochs without a test loss more than
+    ``min_delta`` below the best so far, and the weights of the best epoch are kept. Weights: store, beta (intercept first), epochs, best_epoch;
+    history: store, epoch, loss (training windows), val_loss (test windows), both at the epoch's end.
+
+    The gradient needs a batch's products only, which are JVM aggregates per (store, batch). The steps of an epoch are affine in
+    the weights, so Python composes them once per store (a batch of stores at a time) and an epoch is one matrix product.
+    """
+    m = look_back + 1
+    f = [F.lit(1.0)] + [F.col("x")[i] for i in range(look_back)] + [F.col("target")]
+    pairs = [(i, j) for i in range(m + 1) for j in range(i, m + 1)]
+    rank = F.row_number().over(Window.partitionBy("store").orderBy("t")) - 1
+    batch = F.when(F.col("is_train") == 1, F.floor(rank / batch_size)).otherwise(-1)
+    sums = cut.withColumn("batch", batch).groupBy("store", "batch").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f[i] * f[j]) for i, j in pairs]).alias("g"))
+    stores = sums.groupBy("store").agg(F.array_sort(F.collect_list(F.struct("batch", "n", "g"))).alias("batches"))
+    upper = tuple(np.array(x) for x in zip(*pairs))
+
+    def train(sets):
+        g, n = np.zeros((len(sets), m + 1, m + 1)), np.array([s["n"] for s in sets])
+        g[:, upper[0], upper[1]] = g[:, upper[1], upper[0]] = np.array([s["g"] for s in sets], float)
+        learn = np.array([s["batch"] >= 0 for s in sets])
+        move, shift = np.eye(m), np.zeros(m)
+        for a, k in zip(g[learn], n[learn]):
+            part = np.eye(m) - 2.0 * step / k * a[:m, :m]
+            move, shift = part @ move, part @ shift + 2.0 * step / k * a[:m, m]
+        total, test = (g[mask].sum(axis=0) / max(n[mask].sum(), 1) for mask in (learn, ~learn))
+        w, history, best = np.zeros(m), [], (math.inf, 0, np.zeros(m))
+        if not learn.any() or learn.all():
+            return w, history, 0
+        for epoch in range(1, epochs + 1):
+            w = move @ w + shift
+            v = np.append(w, -1.0)
+            history.append((epoch, float(v @ total @ v), float(v @ test @ v)))
+            if history[-1][2] < best[0] - min_delta:
+                best = (history[-1][2], epoch, w)
+            elif epoch - best[1] >= patience:
+                break
+        return best[2], history, best[1]
+
+    def run(frames):
+        for pdf in frames:
+            rows = [(store, *train(sets)) for store, sets in zip(pdf["store"], pdf["batches"])]
+            yield pd.DataFrame({"store": [r[0] for r in rows], "beta": [r[1].tolist() for r in rows], "best_epoch": [r[3] for r in rows],
+                                "history": [[{"epoch": e, "loss": x, "val_loss": y} for e, x, y in r[2]] for r in rows]})
+    trained = written(stores.mapInPandas(run, "store long, beta array<double>, best_epoch int, history array<struct<epoch:int,loss:double,val_loss:double>>"),
+                      "lag-training")
+    weights = trained.where(F.size("history") > 0).select("store", "beta", F.size("history").alias("epochs"), "best_epoch")
+    return weights, trained.select("store", F.explode("history").alias("h")).select("store", "h.*")
+
+
+def lag_training(series: DataFrame, look_back: int = 14, train_frac: float = 0.85, threshold: float = 0.05, epochs: int = 50,
+                 batch_size: int = 32, patience: int = 10, step: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """TS10 with epochs, batches and early stopping, from the stored daily series.
+
+    Returns (per-window predictions in series units, metrics with epochs and best_epoch, loss history). A store without
+    both training and test windows has no row."""
+    cut, bounds = lag_windows(series, look_back, train_frac, threshold)
+    weights, history = train_lag_epochs(cut, look_back, epochs, batch_size, patience, step)
+    out, metrics = _series_errors(_lag_predictions(cut, weights.select("store", "beta"), look_back, "inner"), bounds)
+    return out, metrics.join(weights.drop("beta"), "store"), history
