@@ -14,7 +14,6 @@ from shelfcast.functions.aggregates import exact_mean
 from shelfcast.functions.stats import norm_pdf, with_inv_norm_cdf
 from shelfcast.operators.eda import histogram
 from shelfcast.session import written
-from pyspark.ml.feature import Bucketizer
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon, the MAPE floor
 
@@ -99,23 +98,17 @@ def qq_points(df: DataFrame, y: str = "y", p: str = "p", rows_per_bucket: int =
     Ranks are never taken with one task over all rows:
     residuals are first collapsed to (value, count) pairs (a partial
     aggregate, so a value repeated a billion times is one pair); the pairs
-    are cut into value buckets at approximate quantiles (Bucketizer, binary
-    search), numbered by a running count inside each bucket plus the counts of
-    the buckets below, and each pair expands to its rank range (one cut point per
-    ``rows_per_bucket`` pairs is held by the driver). A pair whose range is longer than ``chunk`` is split into chunks that are spread over
+    are range-partitioned, numbered by a running count inside each partition plus the counts of
+    the partitions below, and each pair expands to its rank range (one count per
+    ``rows_per_bucket`` pairs is gathered). A pair whose range is longer than ``chunk`` is split into chunks that are spread over
     tasks before expanding.
     """
     r = residuals(df, y, p).select(F.col("residual").alias("v")).where(F.col("v").isNotNull())
-    # every later step reads these pairs, not the predictions
     vc = written(r.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "qq-values")
     head = vc.agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).first()
     k, n = int(head["k"] or 0), int(head["n"] or 0)
-    nb = buckets or max(64, -(-k // rows_per_bucket))
-    probs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
-    cuts = vc.agg(F.percentile_approx("v", probs, max(10_000, 10 * nb))).first()[0]
-    splits = [float("-inf")] + sorted(set(float(c) for c in (cuts or []))) + [float("inf")]
-    bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="_bd").transform(vc)
-                .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
+    # every later step reads these pairs and their partition, not the predictions
+    bucketed = written(vc.repartitionByRange(buckets or 8 + k // rows_per_bucket, "v").withColumn("_b", F.spark_partition_id()), "qq-ranges")
     inner = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = bucketed.withColumn("_cum", F.sum("c").over(inner))
     totals = bucketed.groupBy("_b").agg(F.sum("c").alias("_t"))

@@ -1,11 +1,10 @@
 """Exact quantiles and exact-size samples that never hold a large group in one task.
 
 Spark's exact ``percentile`` keeps a value -> count map per group, so its memory grows with the
-number of distinct values. Here every group, of any size, takes one path: rows are collapsed to
-(value, weight) pairs by a partial aggregate (a value repeated a billion times is one pair), pairs
-are cut into value buckets at approximate quantiles, a running weight is taken inside each
-bucket and offset by the totals of the buckets below. The wanted ranks are then read off. The buckets
-only spread the work: any cut points give the same exact answer.
+number of distinct values. Here rows are collapsed to (value, weight) pairs by a partial aggregate (a value repeated a
+billion times is one pair) and written once. While a group has more than ``ORDERED_PAIRS`` of them, its pairs are cut
+into buckets at approximate quantiles and only the bucket that holds the wanted rank stays, with the weight below it; so
+no task orders more pairs than that, and each round reads a ``BUCKETS``-th of the one before. Any cut points give the same exact answer.
 """
 
 from __future__ import annotations
@@ -15,7 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import written
+
 BUCKETS = 64  # value buckets per group
+ORDERED_PAIRS = 1_000_000  # pairs of a group that one task orders
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -57,8 +59,21 @@ def running_weight(pairs: DataFrame, keys: list[str], value: str, weight: str, b
     return out.withColumn("_before", F.col("_off") + F.col("_in")).drop("_off", "_in", "_bk")
 
 
+def _narrowed(live: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Of each group's pairs the buckets that hold ranks _k0 and _k1; _off becomes the weight below them."""
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = live.groupBy(*keys).agg(F.percentile_approx("_x", probs, 10 * buckets).alias("_cuts"))
+    cut = join_null_safe(live, cuts, keys).withColumn("_bk", value_bucket(F.col("_cuts"), F.col("_x"))).drop("_cuts")
+    sums = cut.groupBy(*keys, "_bk").agg(F.sum("_w").alias("_b"), *[F.first(c).alias(c) for c in ("_off", "_k0", "_k1")])
+    upto = Window.partitionBy(*keys).orderBy("_bk")  # one row per bucket
+    sums = sums.withColumn("_end", F.col("_off") + F.sum("_b").over(upto)).withColumn("_start", F.col("_end") - F.col("_b"))
+    kept = sums.filter((F.col("_start") <= F.col("_k1")) & (F.col("_k0") < F.col("_end")))
+    kept = kept.withColumn("_low", F.min("_start").over(Window.partitionBy(*keys))).select(*keys, "_bk", "_low")
+    return join_null_safe(cut, kept, [*keys, "_bk"]).withColumn("_off", F.col("_low")).drop("_bk", "_low")
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, by: list[str] | None = None,
-                    weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+                    weight: str | None = None, buckets: int = BUCKETS, ordered_pairs: int = ORDERED_PAIRS) -> DataFrame:
     """Exact linear-interpolated quantile of each of ``cols`` per ``by`` group, all in one pass over ``df``:
     rows (by..., column, quantile). Nulls are ignored; a group without values has no row.
 
@@ -71,22 +86,31 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, by: list[str
     long = df.select(*by, w.alias("_w"), F.explode(cells).alias("_c")).select(*by, "_w", "_c.*")
     keys = [*by, "column"]
     pairs = long.where(F.col("_x").isNotNull() & (F.col("_w") > 0)).groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
+    pairs = written(pairs, "quantile-pairs")
     pos = (F.col("_n") - 1) * q
-    wanted = pairs.groupBy(*keys).agg(F.sum("_w").alias("_n")).select(
+    wanted = pairs.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_pairs"))
+    largest = wanted.agg(F.max("_pairs")).first()[0] or 0
+    live = join_null_safe(pairs, wanted.select(
         *keys, F.floor(pos).cast("bigint").alias("_k0"), F.ceil(pos).cast("bigint").alias("_k1"),
-        (pos - F.floor(pos)).alias("_frac"))
-    ranked = join_null_safe(running_weight(pairs, keys, "_x", "_w", buckets), wanted, keys)
+        (pos - F.floor(pos)).alias("_frac"), F.lit(0).cast("bigint").alias("_off")), keys)
+    while buckets > 1 and largest > max(ordered_pairs, 2):
+        live = written(_narrowed(live, keys, buckets), "quantile-pairs")
+        before, largest = largest, live.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        if largest >= before:
+            break
+    run = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = live.withColumn("_end", F.col("_off") + F.sum("_w").over(run))
 
     def at(k: str) -> Column:
-        return F.max(F.when((F.col("_before") <= F.col(k)) & (F.col(k) < F.col("_before") + F.col("_w")), F.col("_x")))
+        return F.max(F.when((F.col("_end") - F.col("_w") <= F.col(k)) & (F.col(k) < F.col("_end")), F.col("_x")))
     found = ranked.groupBy(*keys).agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"), F.first("_frac").alias("_frac"))
     return found.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("quantile"))
 
 
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by: list[str] | None = None, name: str = "quantile",
-                   weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+                   weight: str | None = None, buckets: int = BUCKETS, ordered_pairs: int = ORDERED_PAIRS) -> DataFrame:
     """One column's quantile: rows (by..., name); without groups one row, null if there are no values."""
-    out = exact_quantiles(df, [col], q, by, weight, buckets)
+    out = exact_quantiles(df, [col], q, by, weight, buckets, ordered_pairs)
     if by:
         return out.select(*by, F.col("quantile").alias(name))
     return out.agg(F.max("quantile").alias(name))
