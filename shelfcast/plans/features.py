@@ -2,7 +2,7 @@
 
 ``FeatureEngineer.fit`` learns the three category vocabularies and the
 distance fill value from the training frame; ``FeatureEngineerModel`` is a
-pure projection of native column expressions (no UDF), so scoring stays in
+projection of native column expressions (no UDF; one join for each long vocabulary), so scoring stays in
 whole-stage codegen and the fitted model is saved with the pipeline.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -21,7 +23,8 @@ from shelfcast.functions import calendar as cal
 from shelfcast.operators.clean import ZERO_FILLED, state_holiday_label
 from shelfcast.operators.quantiles import exact_median, exact_quantiles
 
-MAX_LABELS = 10_000  # a longer vocabulary is refused: the driver and the plan hold it
+MAX_LABELS = 2_000_000  # a longer vocabulary is refused: the fitted model holds it
+LITERAL_LABELS = 256    # a longer one is joined as a table, not held in the plan
 CATEGORICAL = ["store_type", "assortment", "state_holiday"]
 DROPPED = ["date", "promo_interval", "competition_open_since_month", "competition_open_since_year",
            "promo2_since_week", "promo2_since_year"]
@@ -52,6 +55,19 @@ def label_code(c: str, labels: list[str]) -> Column:
         F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c).cast("string"))).cast("int"))
 
 
+def with_label_codes(df: DataFrame, vocab: dict[str, list[str]]) -> DataFrame:
+    """Each column of ``vocab`` replaced by its code. A short vocabulary is a literal array in the plan, a long one a
+    table joined by value (broadcast or shuffled, as its size asks for). An unseen value fails the job."""
+    out = df.withColumns({c: label_code(c, labels) for c, labels in vocab.items() if len(labels) <= LITERAL_LABELS})
+    for c, labels in vocab.items():
+        if len(labels) > LITERAL_LABELS:
+            table = pd.DataFrame({c: pd.Series(labels, dtype="string"), "_code": np.arange(len(labels), dtype=np.int32)})
+            codes = df.sparkSession.createDataFrame(table, f"`{c}` string, _code int")
+            unseen = F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c))).cast("int")
+            out = out.join(codes, c, "left").withColumn(c, F.coalesce("_code", unseen)).select(df.columns)
+    return out
+
+
 def engineer(df: DataFrame, vocab: dict[str, list[str]], distance_fill: float | Column,
              keep: tuple[str, ...] = ()) -> DataFrame:
     """fill -> date features -> encode -> promo2 flag -> competition months -> drop.
@@ -61,7 +77,7 @@ def engineer(df: DataFrame, vocab: dict[str, list[str]], distance_fill: float |
     fill = distance_fill if isinstance(distance_fill, Column) else F.lit(float(distance_fill))
     out = fill_defaults(df, fill)
     out = out.withColumns(cal.date_feature_columns("date"))
-    out = out.withColumns({c: label_code(c, vocab[c]) for c in CATEGORICAL})
+    out = with_label_codes(out, {c: vocab[c] for c in CATEGORICAL})
     out = out.withColumn("promo2_active", cal.promo2_active("promo2", "promo_interval", "month"))
     out = out.withColumn("competition_open_months",
                          cal.competition_open_months("year", "month", "competition_open_since_year",
@@ -182,7 +198,8 @@ def label_encode(train: DataFrame, df: DataFrame) -> DataFrame:
     model = FeatureEngineer().fit(train)
     vocab = model.vocab()
     filled = fill_defaults(df, F.lit(0.0))
-    return filled.select("store", "date", *[label_code(c, vocab[c]).alias(f"{c}_code") for c in CATEGORICAL])
+    coded = with_label_codes(filled.select("store", "date", *CATEGORICAL), vocab)
+    return coded.select("store", "date", *[F.col(c).alias(f"{c}_code") for c in CATEGORICAL])
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
