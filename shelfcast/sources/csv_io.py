@@ -46,18 +46,30 @@ def to_snake(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake(c) for c in df.columns])
 
 
-def _columns(spark: SparkSession, path: str) -> list[str]:
+def by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files grouped by their first line, read in one job (one line a file reaches the driver).
+
+    Only columns and their order count: each group is one CSV read, whatever its number of files. Empty files have no
+    header and are left out."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                                          F.monotonically_increasing_id().alias("line"), "value")
+    first = lines.filter("at = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header")
+    return [r["paths"] for r in groups.collect()]
+
+
+def _columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     """The header's column names."""
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.option("header", True).csv(path if isinstance(path, str) else path[0]).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Missing: {path}") from e
         raise
 
 
-def _read_by_header(spark: SparkSession, path: str, types: dict, required: list[str]) -> DataFrame:
-    """A CSV (file or folder) whose columns are bound by header name; columns without a type are strings.
+def _read_by_header(spark: SparkSession, path: str | list[str], types: dict, required: list[str]) -> DataFrame:
+    """A CSV (file, folder, or list of files with one header) whose columns are bound by header name; columns without a type are strings.
 
     Spark binds a given schema by position, so the schema is built in the header's order and every
     file's header is checked against it (``enforceSchema`` off); a value that does not parse fails."""
@@ -86,7 +98,7 @@ def read_raw(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame,
             read_csv(spark, f"{base}/test.csv", HORIZON_SCHEMA))
 
 
-def read_upload(spark: SparkSession, path: str, required: tuple[str, ...] = ("Date", "Store")) -> DataFrame:
+def read_upload(spark: SparkSession, path: str | list[str], required: tuple[str, ...] = ("Date", "Store")) -> DataFrame:
     """An uploaded CSV with any column set in any order; known columns get their types."""
     return to_snake(_read_by_header(spark, path, KNOWN_TYPES, list(required)))
 

@@ -1,8 +1,8 @@
 """Uploads scored as they land (the batch-scoring page, M17, as a stream).
 
-The stream's rows are the *paths* of new CSV files; each micro-batch reads its files by header
-name (columns may stand in any order, and differ between files), joins them to the static store
-dimension, scores them with a fitted pipeline and writes one folder ``batch=<id>``. A batch that is
+The stream's rows are the *paths* of new CSV files; each micro-batch finds its files' headers in one job and
+reads all files of one header at once by column name (columns may stand in any order, and differ between files). It joins them to
+the static store dimension, scores them with a fitted pipeline and writes one folder ``batch=<id>``. A batch that is
 repeated after a failure overwrites its own folder, and the checkpoint beside the output remembers
 which files are done, so a restarted query neither drops nor repeats uploaded rows.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.scoring import batch_score
-from shelfcast.sources.csv_io import read_upload
+from shelfcast.sources.csv_io import by_header, read_upload
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 FILES_PER_BATCH = 1000  # paths that the driver holds per micro-batch
@@ -38,7 +38,9 @@ def start_upload_scoring(spark: SparkSession, model: PipelineModel, store: DataF
     def score(files: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in files.collect()]  # at most max_files_per_trigger
         if paths:
-            parts = [batch_score(model, read_upload(spark, p), store) for p in paths]
+            parts = [batch_score(model, read_upload(spark, same), store) for same in by_header(spark, paths)]
+            if not parts:  # only empty files
+                return
             with_id = any("id" in p.columns for p in parts)
             reduce(lambda a, b: a.unionByName(b, allowMissingColumns=with_id), parts) \
                 .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
