@@ -8,6 +8,7 @@ ordered numbers, as the reference's encoder does.
 
 from __future__ import annotations
 
+import inspect
 import time
 import uuid
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.evaluation import regression_metrics
+from shelfcast.plans import ensembles as EN
 from shelfcast.plans.features import FEATURES, FeatureEngineer, MedianImputer
 from shelfcast.session import ensure_checkpoint_dir, written
 
@@ -101,9 +103,30 @@ def fit_and_record(pipeline: Pipeline, name: str, train: DataFrame, val: DataFra
     return model, pred, metrics
 
 
+def fit_ensemble_and_record(kind: str, name: str, features: PipelineModel, rows: DataFrame, train_rows: int, val: DataFrame,
+                            params: dict, run_store=None, parent_id: str | None = None, label: str = LABEL):
+    """M5 for the models of :mod:`shelfcast.plans.ensembles` (``kind`` rf or gbt, ``rows`` as of ``training_rows``).
+
+    Returns as :func:`fit_and_record`."""
+    started = time.time()
+    fit = EN.fit_forest if kind == "rf" else EN.fit_boosting
+    model = EN.EnsembleModel(features, fit(rows, **params), name)
+    pred = written(predictions(model, val, label).withColumnRenamed(label, "y"), "predictions")
+    m = regression_metrics(pred, "y", "p").first().asDict()
+    metrics = {"RMSE": m["rmse"], "MAE": m["mae"], "MAPE": m["mape"], "RMSPE": m["rmspe"], "R2": m["r2"]}
+    if run_store is not None:
+        real = {k: str(v.default) for k, v in inspect.signature(fit).parameters.items() if v.default not in (inspect.Parameter.empty, None)}
+        real.update({k: str(v) for k, v in params.items()})
+        real.update({"model_type": name, "training_rows": str(train_rows), "validation_rows": str(m["rows"])})
+        run_store.log_run(name=name, params=real, metrics=metrics, parent_id=parent_id, run_id=uuid.uuid4().hex, start_ts=started)
+    return model, pred, metrics
+
+
 def feature_importance(model: PipelineModel, spark: SparkSession | None = None, top_n: int | None = 20,
                        features: list[str] = FEATURES) -> DataFrame:
     """M7: importances of the final tree stage by feature name, highest first, top ``top_n``."""
+    if isinstance(model, EN.EnsembleModel):
+        return EN.importances(model.trees, features, top_n)
     stage = model.stages[-1]
     imps = stage.featureImportances.toArray().tolist()
     spark = spark or SparkSession.getActiveSession()

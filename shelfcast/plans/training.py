@@ -22,12 +22,17 @@ from shelfcast.operators.clean import clean, open_days, prepare, row_weighted_me
 from shelfcast.operators.joins import with_store
 from shelfcast.operators.scoring import submission, submission_summary
 from shelfcast.operators.timeseries import lag_forecast
-from shelfcast.plans.models import feature_importance, fit_and_record, gbt_pipeline, prepare_features, rf_pipeline
+from shelfcast.plans.ensembles import training_rows
+from shelfcast.plans.models import (LABEL, feature_importance, fit_and_record, fit_ensemble_and_record, gbt_pipeline,
+                                    prepare_features, rf_pipeline)
 from shelfcast.session import written
 
 
 @dataclass
 class TrainingConfig:
+    """``engine``: "ensemble" (plans/ensembles.py, any size) or "mllib" (Spark ML, all nodes on the driver)."""
+
+    engine: str = "ensemble"
     sample_fraction: float = 1.0
     validation_weeks: int = 6
     rf: dict = field(default_factory=lambda: {"num_trees": 400, "max_depth": 25, "seed": 42})
@@ -67,10 +72,16 @@ def train_and_compare(fact: DataFrame, store: DataFrame, horizon: DataFrame,
     prepared = prepare_features(train)
     parent = uuid.uuid4().hex if run_store is not None else None
 
-    rf_model, rf_pred, rf_m = fit_and_record(rf_pipeline(**cfg.rf), "RandomForest", train, val,
-                                             cfg.rf, run_store, parent, prepared=prepared)
-    gbt_model, gbt_pred, gbt_m = fit_and_record(gbt_pipeline(**cfg.gbt), "GradientBoosting", train, val,
-                                                cfg.gbt, run_store, parent, prepared=prepared)
+    if cfg.engine == "mllib":
+        rf_model, rf_pred, rf_m = fit_and_record(rf_pipeline(**cfg.rf), "RandomForest", train, val,
+                                                 cfg.rf, run_store, parent, prepared=prepared)
+        gbt_model, gbt_pred, gbt_m = fit_and_record(gbt_pipeline(**cfg.gbt), "GradientBoosting", train, val,
+                                                    cfg.gbt, run_store, parent, prepared=prepared)
+    else:
+        features, rows = prepared[0], training_rows(prepared[1], LABEL)
+        n = rows.count()
+        rf_model, rf_pred, rf_m = fit_ensemble_and_record("rf", "RandomForest", features, rows, n, val, cfg.rf, run_store, parent)
+        gbt_model, gbt_pred, gbt_m = fit_ensemble_and_record("gbt", "GradientBoosting", features, rows, n, val, cfg.gbt, run_store, parent)
     # M6: strict "<" on RMSPE, so a tie goes to gradient boosting.
     if rf_m["RMSPE"] < gbt_m["RMSPE"]:
         best_name, best, pred, best_m = "RandomForest", rf_model, rf_pred, rf_m
