@@ -21,6 +21,7 @@ from shelfcast.operators import sampling as SP
 from shelfcast.operators import scoring as SC
 from shelfcast.operators import timeseries as TS
 from shelfcast.oracle import q
+from shelfcast.plans import ensembles as EN
 from shelfcast.plans import features as FE
 from shelfcast.plans import models as MD
 from shelfcast.session import written
@@ -701,15 +702,75 @@ def pacf(spark, sf):
     return out.select("store", "lag", r6("pacf").alias("pacf"), r6("band").alias("band"))
 
 
-@register("adf")
+def eliminated(name: str, source: str, steps: str, both_ways: bool = False) -> str:
+    """Recursive CTE: after k steps, ``g`` (a k_all x k_all list) without what its first k variables explain.
+
+    ``both_ways`` clears the rows above the pivot as well (Gauss-Jordan)."""
+    other = "x // k_all <> k" if both_ways else "x // k_all > k and x % k_all > k"
+    return f"""{name} as (
+  select store, 0 as k, k_all, {steps} as steps, g from {source}
+  union all
+  select store, k + 1, k_all, steps, list_transform(range(0, k_all * k_all), lambda x: case when {other}
+    then g[x + 1] - g[x // k_all * k_all + k + 1] * g[k * k_all + x % k_all + 1] / g[k * k_all + k + 1] else g[x + 1] end)
+  from {name} where k < steps)"""
+
+
+def gram_sql(cols: str) -> str:
+    """Products of the columns (a list of lists) as one list."""
+    return f"list_transform(range(0, len({cols}) * len({cols})), lambda x: list_inner_product({cols}[x // len({cols}) + 1], {cols}[x % len({cols}) + 1]))"
+
+
+def past(lag: str, n: str, start: str) -> str:
+    """Differences 1 .. lag days back for the days start + 1 .. n - 1."""
+    return f"list_transform(range(1, {lag} + 1), lambda i: ds[{start} + 1 - i:n - 1 - i])"
+
+
+# Phi by its power series; enough terms for |q| <= 12.
+PHI_SQL = ("(0.5 + exp(-q * q / 2) / sqrt(2 * pi()) * sign(q) * list_sum(list_transform(range(0, 200), lambda i: "
+           "exp((2 * i + 1) * ln(greatest(abs(q), 1e-300)) - lgamma(2 * i + 2) + i * ln(2.0) + lgamma(i + 1)))))")
+ADF_SQL = f"""{SERIES_SQL},
+ys0 as (select store, count(*) as n, list(y - m order by t) as ys from (select *, avg(y) over (partition by store) as m from sert) group by store),
+ys1 as (select *, list_transform(range(1, n), lambda i: ys[i + 1] - ys[i]) as ds,
+          least(cast(ceil(12 * pow(n / 100.0, 0.25)) as bigint), n // 2 - 2) as p from ys0),
+wide as (select store, p + 3 as k_all, [list_transform(range(p + 1, n), lambda i: 1.0), ys[p + 1:n - 1]] || {past("p", "n", "p")} || [ds[p + 1:n - 1]] as c from ys1),
+wide_g as (select store, k_all, {gram_sql("c")} as g from wide),
+{eliminated("nested", "wide_g", "k_all - 1")},
+scored as (select store, k - 2 as lag, (n - 1 - p) * (ln(2 * pi()) + ln(g[k_all * k_all] / (n - 1 - p)) + 1) + 2 * k as aic
+           from nested join ys1 using (store) where k >= 2),
+chosen as (select store, arg_min(lag, (aic, lag)) as l from scored group by store),
+narrow as (select store, l + 3 as k_all, [list_transform(range(l + 1, n), lambda i: 1.0)] || {past("l", "n", "l")} || [ys[l + 1:n - 1], ds[l + 1:n - 1]] as c
+           from ys1 join chosen using (store)),
+narrow_g as (select store, k_all, {gram_sql("c")} as g from narrow),
+{eliminated("level", "narrow_g", "k_all - 2")},
+tail as (select store, k_all, g[k_all * k_all - k_all - 1] as a, g[k_all * k_all - k_all] as b, g[k_all * k_all] as c, n - 1 - l as nobs, l
+         from level join chosen using (store) join ys0 using (store) where k = steps),
+stat as (select store, l, nobs, b / a / sqrt((c - b * b / a) / (nobs - l - 2) / a) as tau from tail),
+tested as (select *, case when tau <= -1.61 then 2.1659 + 1.4412 * tau + 0.038269 * tau * tau
+             else 1.7339 + 0.93202 * tau - 0.12745 * tau * tau - 0.010368 * tau * tau * tau end as q from stat),
+adf as (select store, tau, case when tau > 2.74 then 1.0 when tau < -18.83 then 0.0 else greatest({PHI_SQL}, 0.0) end as pv, l, nobs from tested)"""
+STATIONARY_SQL = f"""{ADF_SQL},
+level_or_step as (select s.store, s.date, pv < 0.05 as is_stationary, case when pv < 0.05 then y else y - lag(y) over (partition by s.store order by date) end as y
+       from sert s join adf on s.store = adf.store),
+stat_series as (select *, cast(row_number() over (partition by store order by date) as int) as t from level_or_step where y is not null)"""
+
+
+def recursive(sql: str) -> str:
+    """The oracle's views in one recursive WITH."""
+    return "with recursive " + q(sql).replace("\nwith store as", "\nstore as", 1)
+
+
+@register("adf", recursive(f"""with {ADF_SQL}
+select store, round(tau, 4) as adf_stat, round(pv, 6) as p_value, cast(l as int) as used_lag, cast(nobs as int) as nobs, pv < 0.05 as is_stationary from adf"""))
 def adf(spark, sf):
-    return TS.adf(rounded_series(spark, sf))
+    """TS3; the oracle takes the regressions' products column by column and eliminates them in a recursive CTE."""
+    out = TS.adf(rounded_series(spark, sf))
+    return out.withColumns({"adf_stat": rnd("adf_stat", 4), "p_value": r6("p_value")})
 
 
-@register("make_stationary")
+@register("make_stationary", recursive(f"with {STATIONARY_SQL} select store, date, t, round(y, 6) as y, is_stationary from stat_series"))
 def make_stationary(spark, sf):
     s = rounded_series(spark, sf)
-    return TS.make_stationary(s, TS.adf(s))
+    return TS.make_stationary(s, TS.adf(s)).withColumn("y", r6("y"))
 
 
 @register("minmax_scale", q(f"""with {SERIES_SQL}
@@ -765,9 +826,93 @@ def ordered_cut(spark, sf):
     return TS.ordered_cut(w, 0.85).select("store", "t", "is_train")
 
 
-@register("lag_forecast")
+LOOK_BACK = 14
+# A store's scaled values as one list; window w's lags are sc[w .. w + 13], its target sc[w + 14].
+WINDOWS_SQL = f"""{STATIONARY_SQL},
+bounds_of as (select store, min(y) as lo, max(y) as hi, list(y order by t) as v from stat_series group by store having max(y) > min(y) and count(*) > {LOOK_BACK}),
+win as (select store, lo, hi, sc, len(sc) - {LOOK_BACK} as w, cast(floor((len(sc) - {LOOK_BACK}) * 0.85) as bigint) as tr
+        from (select *, list_transform(v, lambda x: -1.0 + 2.0 * ((x - lo) / (hi - lo))) as sc from bounds_of))"""
+
+
+def window_columns(first: str, last: str) -> str:
+    """Columns (1, lag 14 .. lag 1, target) of the windows first .. last."""
+    return (f"[list_transform(range({first}, {last} + 1), lambda i: 1.0)] || "
+            f"list_transform(range(0, {LOOK_BACK + 1}), lambda j: sc[{first} + j:{last} + j])")
+
+
+def errors_sql(beta: str, source: str) -> str:
+    """Errors of the test windows in series units, from weights ``beta`` (intercept first)."""
+    return f"""miss as (select store, (hi - lo) / 2.0 * unnest(list_transform(range(tr + 1, w + 1),
+          lambda i: sc[i + {LOOK_BACK}] - {beta}[1] - list_inner_product(sc[i:i + {LOOK_BACK - 1}], {beta}[2:]))) as e from {source})"""
+
+
+ERRORS_OUT = "round(sqrt(avg(e * e)), 4) as rmse, round(avg(abs(e)), 4) as mae, count(*) as test_windows"
+
+
+@register("lag_forecast", recursive(f"""with {WINDOWS_SQL},
+design as (select store, {LOOK_BACK + 2} as k_all, {window_columns("1", "tr")} as c from win where tr > 0),
+design_g as (select store, k_all, {gram_sql("c")} as g from design),
+{eliminated("solved", "design_g", "k_all - 1", both_ways=True)},
+beta as (select *, list_transform(range(0, {LOOK_BACK + 1}), lambda i: g[i * {LOOK_BACK + 2} + {LOOK_BACK + 2}] / g[i * {LOOK_BACK + 3} + 1]) as b
+         from solved join win using (store) where k = steps),
+{errors_sql("b", "beta")}
+select store, {ERRORS_OUT} from miss group by store"""))
 def lag_forecast(spark, sf):
-    return TS.lag_forecast(panels(spark, sf)[1])[1]
+    """TS10 by least squares; the oracle solves the normal equations by Gauss-Jordan steps in a recursive CTE."""
+    out = TS.series_forecast(written(rounded_series(spark, sf), "series"))[1]
+    return out.withColumns({"rmse": rnd("rmse", 4), "mae": rnd("mae", 4)})
+
+
+LAG_STEP, LAG_EPOCHS, LAG_BATCH, LAG_PATIENCE = 0.05, 50, 32, 10
+_M = LOOK_BACK + 1
+_QUAD = "list_sum(list_transform(range(0, {k} * {k}), lambda x: {g}[x + 1] * {v}[x // {k} + 1] * {v}[x % {k} + 1]))".format
+_NEXT = (f"list_transform(range(1, {_M + 1}), lambda i: s[{_M + 1}][i] + list_sum(list_transform(range(1, {_M + 1}), lambda j: s[j][i] * w0[j])))")
+LAG_EPOCHS_SQL = f"""{WINDOWS_SQL},
+part as (select store, b, least((b + 1) * {LAG_BATCH}, tr) - b * {LAG_BATCH} as n, {window_columns(f"(b * {LAG_BATCH} + 1)", f"least((b + 1) * {LAG_BATCH}, tr)")} as c
+         from (select *, unnest(range(0, (tr + {LAG_BATCH - 1}) // {LAG_BATCH})) as b from win where tr > 0 and w > tr)),
+moves as (select store, b, n, list_transform(range(1, {_M + 1}), lambda i: list_transform(range(1, {_M + 1}), lambda j: list_inner_product(c[i], c[j]))) as a,
+          list_transform(range(1, {_M + 1}), lambda i: list_inner_product(c[i], c[{_M + 1}])) as r from part),
+epoch_map as (
+  select distinct store, 0 as b, list_transform(range(1, {_M + 2}), lambda j: list_transform(range(1, {_M + 1}), lambda i: case when i = j then 1.0::double else 0.0::double end)) as s from part
+  union all
+  select store, b + 1, list_transform(s, lambda col, j: list_transform(range(1, {_M + 1}), lambda i:
+      col[i] - {2 * LAG_STEP} / n * (list_inner_product(a[i], col) - case when j = {_M + 1} then r[i] else 0.0 end)))
+  from epoch_map join moves using (store, b)),
+whole as (select store, arg_max(s, b) as s from epoch_map group by store),
+loss_g as (select store, {gram_sql("c")} as g, {gram_sql("d")} as h, tr, w - tr as te
+           from (select *, {window_columns("1", "tr")} as c, {window_columns("(tr + 1)", "w")} as d from win where tr > 0 and w > tr)),
+run as (
+  select store, 0 as epoch, list_transform(range(0, {_M}), lambda i: 0.0::double) as weights, 0.0::double as loss, 1e300::double as val, 1e300::double as best, 0 as best_epoch from whole
+  union all
+  select store, epoch + 1, weights, loss, val, case when val < best - 1e-7 then val else best end, case when val < best - 1e-7 then epoch + 1 else best_epoch end
+  from (select store, epoch, best, best_epoch, weights, {_QUAD(k=_M + 1, g="g", v="v")} / tr as loss, {_QUAD(k=_M + 1, g="h", v="v")} / te as val
+        from (select *, weights || [-1.0::double] as v from (select store, epoch, best, best_epoch, {_NEXT} as weights
+              from (select store, epoch, best, best_epoch, weights as w0, s from run join whole using (store)
+                    where epoch < {LAG_EPOCHS} and epoch - best_epoch < {LAG_PATIENCE})))
+        join loss_g using (store)))"""
+
+
+def lag_trained(spark, sf):
+    return TS.lag_training(written(rounded_series(spark, sf), "series"), LOOK_BACK, epochs=LAG_EPOCHS, batch_size=LAG_BATCH,
+                           patience=LAG_PATIENCE, step=LAG_STEP)
+
+
+@register("lag_history", recursive(f"""with {LAG_EPOCHS_SQL}
+select store, cast(epoch as int) as epoch, round(loss, 8) as loss, round(val, 8) as val_loss from run where epoch > 0"""))
+def lag_history(spark, sf):
+    """TS10's loss history: epochs of mini-batch gradient steps, stopped early; the oracle runs the same recursion."""
+    return lag_trained(spark, sf)[2].withColumns({"loss": rnd("loss", 8), "val_loss": rnd("val_loss", 8)})
+
+
+@register("lag_forecast_epochs", recursive(f"""with {LAG_EPOCHS_SQL},
+last as (select store, max(epoch) as epochs, max(best_epoch) as best_epoch from run group by store),
+kept as (select win.*, weights from last join run on run.store = last.store and run.epoch = last.best_epoch join win on win.store = last.store),
+{errors_sql("weights", "kept")}
+select store, {ERRORS_OUT}, cast(any_value(epochs) as int) as epochs, cast(any_value(best_epoch) as int) as best_epoch
+from miss join last using (store) group by store"""))
+def lag_forecast_epochs(spark, sf):
+    """TS10 with 50 epochs, batches of 32 and patience 10: test errors with the weights of the best epoch."""
+    return lag_trained(spark, sf)[1].withColumns({"rmse": rnd("rmse", 4), "mae": rnd("mae", 4)})
 
 
 # ---------------------------------------------------------------- models and scoring
@@ -902,6 +1047,127 @@ def batch_histogram(spark, sf):
     return SC.batch_histogram(SC.batch_score(fitted(spark, sf, "rf")[0], p.horizon, p.store), 60)
 
 
+# ---- models at the reference's size (plans/ensembles.py) and what can be certified of them in SQL:
+# the numbers of rows, and 0 rows where another way to the same value differs.
+
+FULL = {"rf": {"num_trees": 400, "max_depth": 25, "seed": 42}, "gbt": {"max_iter": 500, "step_size": 0.03, "max_depth": 8, "seed": 42}}
+CERTIFIED = 1e-6  # relative difference of two sums of the same numbers in another order
+
+
+def full_model(spark, sf, kind: str):
+    """(model, validation predictions, metrics) of the reference-sized model, fitted once per application and input."""
+    def make():
+        _, _, val, (features, prepared) = model_inputs(spark, sf)
+        rows = _once(spark, sf, "ensemble-rows", lambda: EN.training_rows(prepared, MD.LABEL))
+        return MD.fit_ensemble_and_record(kind, kind, features, rows, rows.count(), val, FULL[kind])
+    return _once(spark, sf, f"full-{kind}", make)
+
+
+def differing(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """One row: rows of ``a``, and of both those that lack a partner or differ."""
+    x, y = F.col("x"), F.col("y")
+    both = a.select(*keys, F.col(value).alias("x")).join(b.select(*keys, F.col(value).alias("y")), keys, "full")
+    bad = x.isNull() | y.isNull() | (F.abs(x - y) > CERTIFIED * F.greatest(F.abs(x), F.lit(1.0)))
+    return both.agg(F.count("x").alias("rows"), F.count_if(bad).alias("mismatches"))
+
+
+@register("forest_metrics")
+def forest_metrics(spark, sf):
+    """M1 at 400 trees of depth 25: validation metrics."""
+    return EV.regression_metrics(full_model(spark, sf, "rf")[1], "y", "p").withColumn("trees", F.lit(FULL["rf"]["num_trees"]))
+
+
+@register("boosting_metrics")
+def boosting_metrics(spark, sf):
+    """M2 at 500 steps of 0.03 and depth 8: validation metrics."""
+    return EV.regression_metrics(full_model(spark, sf, "gbt")[1], "y", "p").withColumn("steps", F.lit(FULL["gbt"]["max_iter"]))
+
+
+@register("full_model_choice")
+def full_model_choice(spark, sf):
+    """M6 over the two reference-sized models."""
+    each = [EV.regression_metrics(full_model(spark, sf, k)[1], "y", "p").select(F.lit(n).alias("model"), "rmspe")
+            for k, n in (("rf", "RandomForest"), ("gbt", "GradientBoosting"))]
+    return EV.pick_winner(each[0].unionByName(each[1]))
+
+
+@register("forest_importance")
+def forest_importance(spark, sf):
+    """M7 of the 400-tree forest."""
+    return EN.importances(full_model(spark, sf, "rf")[0].trees)
+
+
+def prediction_certificate(spark, sf, kind: str) -> DataFrame:
+    model, pred, _ = full_model(spark, sf, kind)
+    native = MD.predictions(model.native(), model_inputs(spark, sf)[2])
+    return differing(pred, native, ["store", "date"], "p")
+
+
+VALIDATION_ROWS = """with c as (select max(date) - 42 as cutoff from open_panel),
+va as (select distinct store, date from open_panel where date >= (select cutoff from c))
+select cast(count(*) as bigint) as rows, cast(0 as bigint) as mismatches from va"""
+
+
+@register("forest_certificate", q(VALIDATION_ROWS))
+def forest_certificate(spark, sf):
+    """Every validation row walks all 400 trees by native look-ups; the scorer's predictions must be the same."""
+    return prediction_certificate(spark, sf, "rf")
+
+
+@register("boosting_certificate", q(VALIDATION_ROWS))
+def boosting_certificate(spark, sf):
+    return prediction_certificate(spark, sf, "gbt")
+
+
+@register("node_certificate", q("select cast(500 as bigint) as steps, cast(0 as bigint) as broken"))
+def node_certificate(spark, sf):
+    """Boosting's node table, every inner node against its two children: rows and values must add up, the gain must be what the
+    cut takes off the squared error, and every step must have a tree."""
+    nodes = EN.node_table(full_model(spark, sf, "gbt")[0].trees.withColumn("tree", F.xxhash64("tree", "value")))
+    inner = nodes.filter("feature >= 0")
+    child = nodes.select("tree", F.col("node").alias("at"), F.col("rows").alias("n"), F.col("value").alias("v"))
+    left, right = (inner.select("tree", "node", (F.col("left") + i).alias("at")).join(child, ["tree", "at"])
+                   .select("tree", "node", F.col("n").alias(f"n{i}"), F.col("v").alias(f"v{i}")) for i in (0, 1))
+    j = inner.join(left, ["tree", "node"], "left").join(right, ["tree", "node"], "left")
+    n0, n1, v0, v1 = (F.col(c) for c in ("n0", "n1", "v0", "v1"))
+    scale = F.greatest(n0 * v0 * v0 + n1 * v1 * v1, F.lit(1.0))
+    ok = (n0 + n1 == F.col("rows")) & (F.abs(n0 * v0 + n1 * v1 - F.col("rows") * F.col("value")) <= 1e-6 * F.sqrt(scale * F.col("rows"))) \
+        & (F.abs(n0 * n1 / (n0 + n1) * (v0 - v1) * (v0 - v1) - F.col("gain")) <= 1e-6 * scale)
+    broken = j.agg(F.count_if(~F.coalesce(ok, F.lit(False))).alias("broken"))
+    steps = full_model(spark, sf, "gbt")[0].trees.filter("tree >= 0").agg(F.count_distinct("tree").alias("steps"))
+    return steps.select("steps", broken.scalar().alias("broken"))
+
+
+@register("submission_certificate", q("select cast(count(*) as bigint) as rows, cast(0 as bigint) as mismatches from horizon"))
+def submission_certificate(spark, sf):
+    """M13 with the boosted model, by the scorer and by native look-ups."""
+    model, panel = full_model(spark, sf, "gbt")[0], clean_horizon(model_inputs(spark, sf)[0])
+    return differing(SC.submission(model, panel), SC.submission(model.native(), panel), ["id"], "sales")
+
+
+@register("scenario_certificate", q("select cast(2 * count(distinct store) as bigint) as rows, cast(0 as bigint) as mismatches from horizon"))
+def scenario_certificate(spark, sf):
+    """M16 with the boosted model: every request's total, by the scorer and by native look-ups."""
+    p, model = model_inputs(spark, sf)[0], full_model(spark, sf, "gbt")[0]
+    a, b = (SC.scenario_forecast(m, p.horizon, p.store, scenario_requests(p))[1] for m in (model, model.native()))
+    return differing(a, b, ["store", "promo"], "total")
+
+
+@register("batch_certificate", q("select cast(count(*) as bigint) as rows, cast(0 as bigint) as mismatches from horizon"))
+def batch_certificate(spark, sf):
+    """M17 with the boosted model, by the scorer and by native look-ups."""
+    p, model = model_inputs(spark, sf)[0], full_model(spark, sf, "gbt")[0]
+    a, b = (SC.batch_score(m, p.horizon, p.store) for m in (model, model.native()))
+    return differing(a, b, ["id", "store", "date"], "predicted_sales")
+
+
+@register("importance_certificate", q("select cast(26 as bigint) as features, cast(1.0 as double) as total, cast(0 as bigint) as negative"))
+def importance_certificate(spark, sf):
+    """M7 of the forest over all features: shares that add up to 1."""
+    i = EN.importances(full_model(spark, sf, "rf")[0].trees, top_n=None)
+    return i.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 9).alias("total"), F.count_if(F.col("importance") < 0).alias("negative"))
+
+
 # ---- the scoring arithmetic (F4, F12, F15, X22, M13, M16, M17, G16-G19) with the fixed predictor, against SQL
 
 CENTS = "round_even(greatest({p}, 0.0) * 100, 0) / 100"

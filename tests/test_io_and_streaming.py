@@ -194,9 +194,9 @@ def test_stream_restart_neither_drops_nor_repeats(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 3
 
 
-def test_model_store_without_models_and_with_broken_index(spark, tmp_dir):
+def test_model_store_without_models_and_with_broken_entry(spark, tmp_dir):
     from shelfcast.sources.runs import ModelStore
     assert ModelStore(spark, f"{tmp_dir}/none").load_latest() == (None, None)
-    _csv(f"{tmp_dir}/broken/index", "part-0.parquet", "not parquet")
+    _csv(f"{tmp_dir}/broken/models/m/entry", "part-0.parquet", "not parquet")
     with pytest.raises(Exception):
         ModelStore(spark, f"{tmp_dir}/broken").load_latest()
