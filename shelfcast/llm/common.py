@@ -105,12 +105,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+LONG_SPAN = 64
+
+
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span [start, end) of a byte or integer sequence (polynomial, then mixed)."""
+    """64-bit hash of each span [start, end) of a byte or integer sequence.
+
+    Short spans: a polynomial, then mixed. Modulo 2^64 a polynomial cannot tell some long alternating
+    sequences apart (from 1,024 elements on whatever its base), so spans of more than ``LONG_SPAN`` bytes are hashed by BLAKE2b."""
     p, q = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * p[:len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    out = mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    if values.dtype == np.uint8:
+        for i in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(values[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -5,12 +5,13 @@ document with a smaller id. A window's minimiser is the smallest hash among its
 words; consecutive windows with one minimiser form a super-k-mer, which travels as one packed string
 (50 words for its first window, one more for each further one) to the minimiser's bucket. There
 the strings are sorted by document, and a table of the bucket's windows gives each window's first
-document. Windows are compared as words, not as hashes.
+document. There windows are compared as words, not as hashes.
 
 What travels is cut down first: equal texts are folded into the one with the smallest id, and
 minimisers alone (no text) show which buckets hold windows of two documents at all - a window
 without such a minimiser cannot repeat. Minimisers shared by more than ``HOT`` texts would make a bucket
-that one task cannot hold: their windows travel one by one as 128-bit digests, pre-aggregated by Spark.
+that one task cannot hold: their windows travel one by one as 128-bit BLAKE2b digests of their words, pre-aggregated by
+Spark, so there equal digests stand for equal words.
 """
 
 from __future__ import annotations
@@ -132,28 +133,22 @@ def _runs(out: list) -> pa.RecordBatch:
 
 
 def _single(window: int):
-    """Two 64-bit digests of each window of the super-k-mers of frequent minimisers."""
+    """128-bit BLAKE2b digests of the windows, as words joined by one space, of the super-k-mers of frequent minimisers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            buf, off = flat(batch.column("text"))
-            starts, ends, words = word_spans(buf, off)
-            ids = span_hash(buf, starts, ends)
-            other = span_hash(buf[::-1].copy(), len(buf) - ends, len(buf) - starts)  # of the reversed bytes
-            rows, at = [], []
-            for row, spans in enumerate(batch.column("spans").to_pylist()):
+            marks, rows, at = [], [], []
+            for row, (text, spans) in enumerate(zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())):
+                words = text.encode().split()
                 for s in spans:
                     if s["hot"]:
-                        at.append(np.arange(s["first"], s["first"] + s["many"]))
-                        rows.append(np.full(s["many"], row))
-            if not rows:
-                continue
-            rows, at = np.concatenate(rows), np.concatenate(at)
-            begin = words[:-1][rows] + at
-            take = pa.array(rows)
+                        for i in range(s["first"], s["first"] + s["many"]):
+                            marks.append(hashlib.blake2b(b" ".join(words[i:i + window]), digest_size=16).digest())
+                            at.append(i)
+                        rows += [row] * s["many"]
+            take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(span_hash(ids, begin, begin + window))), pa.array(signed(span_hash(other, begin, begin + window))),
-                 batch.column("digest").take(take), batch.column("first_id").take(take), pa.array(at.astype(np.int32))],
-                names=["d1", "d2", "digest", "first_id", "a"])
+                [pa.array(marks, pa.binary()), batch.column("digest").take(take), batch.column("first_id").take(take), pa.array(at, pa.int32())],
+                names=["mark", "digest", "first_id", "a"])
     return run
 
 
@@ -209,10 +204,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .repartition("low").sortWithinPartitions("low", "first_id") \
         .mapInArrow(_sweep(window), "digest binary, a int, b int")
     single = some.filter(F.exists("spans", lambda s: s["hot"])).mapInArrow(
-        _single(window), "d1 long, d2 long, digest binary, first_id long, a int")
+        _single(window), "mark binary, digest binary, first_id long, a int")
     single = written(single, "superkmer-single")
-    firsts = single.groupBy("d1", "d2").agg(F.min("first_id").alias("lo"), F.max("first_id").alias("hi")).filter("lo < hi")
-    more = single.join(firsts, ["d1", "d2"]).filter("first_id > lo").select("digest", "a", (F.col("a") + 1).alias("b"))
+    firsts = single.groupBy("mark").agg(F.min("first_id").alias("lo"), F.max("first_id").alias("hi")).filter("lo < hi")
+    more = single.join(firsts, "mark").filter("first_id > lo").select("digest", "a", (F.col("a") + 1).alias("b"))
     runs = runs.unionByName(more).groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     part = some.select("digest", "text").join(runs, "digest").mapInArrow(
         _remove(window, texts), "digest binary, n_removed long, kept_sha256 string, kept_text string")
