@@ -26,23 +26,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import append_columns, flat, kept_fields, slices, written
+from shelfcast.operators.quantiles import _narrowed
 
 ORDER = 3
 SAMPLE_BYTES = 8 << 20
+PIECE = 1 << 20  # bytes scored at once
 UNDETERMINED = "und"
 
 
-def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_bytes: int) -> DataFrame:
-    """(lang, text) of whole rows, about ``sample_bytes`` in all, the same at each run."""
+def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_bytes: int, ordered: int = 100_000) -> DataFrame:
+    """(lang, text) of whole rows, the same at each run: per language the first rows by digest until their running size
+    reaches its equal share of ``sample_bytes``, and so always at least one with text.
+
+    The running size is taken over (digest, bytes) alone; while a language has more than ``ordered`` of them, only the range
+    that holds the last row is cut again."""
     d = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.octet_length(text_col).cast("long").alias("n"),
         (F.xxhash64(F.col(id_col), F.lit("ppm")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("u"))
-    sizes = d.groupBy("lang").agg(F.sum("n").alias("all_n"))
-    sizes = written(sizes.withColumn("share", F.lit(sample_bytes) / F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))), "ppm-sizes")
-    # twice the share by digest, then the exact cut by running size over those few rows
-    near = d.join(sizes, "lang").filter(F.col("u") * F.col("all_n") <= 2 * F.col("share"))
-    run = F.sum("n").over(W.partitionBy("lang").orderBy("u", "text").rowsBetween(W.unboundedPreceding, -1))
-    return near.withColumn("run", F.coalesce(run, F.lit(0))).filter(F.col("run") < F.col("share")).select("lang", "text")
+    slim = written(d.groupBy("lang", F.col("u").alias("_x")).agg(F.sum("n").alias("_w")), "ppm-sizes")
+    sizes = slim.groupBy("lang").agg(F.sum("_w").alias("_all"))
+    share = F.greatest(F.lit(1), (F.lit(sample_bytes) / F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))).cast("long"))  # one row a language
+    wanted = sizes.select("lang", (F.least(share, "_all") - 1).alias("_k0")).withColumn("_k1", F.col("_k0")).withColumn("_off", F.lit(0).cast("long"))
+    live = slim.filter("_w > 0").join(wanted, "lang")
+    while (live.groupBy("lang").count().agg(F.max("count")).first()[0] or 0) > ordered:
+        live = written(_narrowed(live, ["lang"], 64), "ppm-sizes")  # the part of the digests where the running size passes the share
+    before = F.col("_off") + F.sum("_w").over(W.partitionBy("lang").orderBy("_x")) - F.col("_w")
+    last = live.withColumn("before", before).filter("before <= _k0").groupBy("lang").agg(F.max("_x").alias("last"))
+    return d.join(last, "lang").filter(F.col("u") <= F.col("last")).select("lang", "text")
 
 
 def _grams(buf: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,11 +195,26 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def code_lengths(t: Trees, buf: np.ndarray, off: np.ndarray, piece: int = PIECE) -> np.ndarray:
+    """Bits of each row in each language, ``piece`` bytes at a time with the bytes before them that a context may reach."""
+    total = np.zeros((len(off) - 1, len(t.langs)))
+    top = len(t.grams)
+    for a in range(0, len(buf) if t.langs else 0, piece):
+        b, lead = min(a + piece, len(buf)), min(a, top - 1)
+        code, _ = _grams(buf[a - lead:b], np.array([0, b - a + lead]), top)
+        row = np.searchsorted(off, np.arange(a, b), "right") - 1
+        bits = t.bits(code[lead:], np.minimum(np.arange(a, b) - off[row] + 1, top))
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        total[row[first]] += np.add.reduceat(bits, first, axis=0)
+    return total
+
+
 def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score (its posterior among the languages, equal priors) and bits (its code length).
 
     ``und`` with score 0 where the text is null or has no letter, or no language was learned. Equal code
-    lengths go to the first language by code point. The prediction of a row depends on its text only.
+    lengths go to the first language by code point. The prediction of a row depends on its text only. A very long text
+    is scored whole, a piece of ``PIECE`` bytes at a time.
     Input columns named like a result are replaced; an empty table gives an empty result.
     """
     more = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("bits", T.DoubleType())]
@@ -203,17 +228,7 @@ def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
             col = batch.column(text_col)
             buf, off = flat(col)
             rows = batch.num_rows
-            total = np.zeros((rows, len(t.langs)))
-            if t.langs and len(buf):
-                top = len(t.grams)
-                code, _ = _grams(buf, off, top)
-                place = np.arange(len(buf)) - np.repeat(off[:-1], np.diff(off))
-                full = np.flatnonzero(np.diff(off) > 0)
-                for lo in range(0, len(full), 4096):
-                    part = full[lo:lo + 4096]
-                    a, b = off[part[0]], off[part[-1] + 1]
-                    bits = t.bits(code[a:b], np.minimum(place[a:b] + 1, top))
-                    total[part] = np.add.reduceat(bits, off[part] - a, axis=0)
+            total = code_lengths(t, buf, off)
             best = total.argmin(axis=1) if t.langs else np.zeros(rows, int)
             low = total[np.arange(rows), best] if t.langs else np.zeros(rows)
             post = 1 / np.exp2(np.maximum(low[:, None] - total, -1000.0)).sum(axis=1) if t.langs else np.zeros(rows)
