@@ -6,9 +6,8 @@ links) and T tags (LT of them links) below it, and the page body's share of link
     density = C / T * log_b(C / LC * T / LT),   b = ln(C / (C - LC) * LC + LC_body / C_body * C + e)
 
 where zero denominators count as 1, and C / T on pages without links. The element with the largest sum
-of its children's densities leads; the smallest density on its path to the body is the threshold. If
-the path holds an article or main element, that element is the text. Otherwise, from the body down, each element at or
-above the threshold gives the subtree of its own largest sum.
+of its children's densities leads; the smallest density on its path to the body is the threshold. From the body down, each element at or
+above the threshold gives the subtree of its own largest sum, or the block around it if that is part of a line.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments and invisible parts are left out
 first, by element, role and whole class or id names, so they add nothing to any density. Except for invisible parts
@@ -98,7 +97,8 @@ class _Page:
         self.chars, self.link_chars = [0], [0]
         self.blocks: list[tuple[int, str]] = []  # (innermost element, text)
         self.stack = [(0, "#page")]
-        self.open: dict[str, int] = {}
+        self.live = [0]      # the elements of the stack that are not skipped
+        self.open: dict[str, list[int]] = {}  # places in the stack by tag
         self.out_at = 0      # depth of the furniture that is being skipped, 0: none
         self.links = 0       # open links
         self.inside = 0      # open article and main elements
@@ -116,7 +116,7 @@ class _Page:
             if text:
                 self.blocks.append((self.owner, text))
             self.pieces = []
-        self.owner = next((i for i, _ in reversed(self.stack) if i is not None), 0)
+        self.owner = self.live[-1]
 
     def _text(self, raw: str) -> None:
         if self.out_at or not raw:
@@ -149,21 +149,23 @@ class _Page:
             self.chars.append(0)
             self.link_chars.append(0)
             self.stack.append((len(self.tag) - 1, tag))
+            self.live.append(len(self.tag) - 1)
             if stays:
                 self.furniture.append((len(self.tag) - 1, self.turn))
-        self.open[tag] = self.open.get(tag, 0) + 1
+        self.open.setdefault(tag, []).append(len(self.stack) - 1)
         self.links += tag == "a"
         self.inside += tag in ("article", "main")
 
     def _pop(self) -> None:
         node, tag = self.stack.pop()
-        if tag in BLOCK:
-            self._flush()
         if node is not None:
+            self.live.pop()
             self.last[node] = len(self.tag) - 1
+        if tag in BLOCK:
+            self._flush()
         if self.out_at and len(self.stack) <= self.out_at:
             self.out_at = 0
-        self.open[tag] -= 1
+        self.open[tag].pop()
         self.links -= tag == "a"
         self.inside -= tag in ("article", "main")
 
@@ -178,15 +180,12 @@ class _Page:
 
     def _pop_to(self, tags: tuple, scope: frozenset) -> bool:
         """Close the innermost of ``tags`` and all in it, unless an element of the scope stands between."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[i][1]
-            if t in tags:
-                while len(self.stack) > i:
-                    self._pop()
-                return True
-            if t in scope:
-                return False
-        return False
+        last = max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+        if not last or any(self.open[t][-1] > last for t in scope if self.open.get(t)):
+            return False
+        while len(self.stack) > last:
+            self._pop()
+        return True
 
     def _read(self, source: str) -> None:
         at = 0
@@ -272,6 +271,13 @@ def _densities(p: _Page) -> tuple[list[float], list[float]]:
     return density, sums
 
 
+def _block(p: _Page, i: int) -> int:
+    """The block that an element stands in (a block is text as a whole)."""
+    while i and p.tag[i] not in BLOCK:
+        i = p.parent[i]
+    return i
+
+
 def _chosen(p: _Page) -> list[int]:
     """Roots of the text's subtrees, in page order, none inside another."""
     density, sums = _densities(p)
@@ -285,15 +291,9 @@ def _chosen(p: _Page) -> list[int]:
     path = [best]
     while path[-1]:
         path.append(p.parent[path[-1]])
-    for name in ("article", "main"):
-        for i in reversed(path):
-            if p.tag[i] == name:
-                # several articles (a list of teasers, or parts of one text) are all text
-                same = [j for j in range(n) if p.tag[j] == name and p.parent[j] == p.parent[i]]
-                return same
     threshold = min(density[i] for i in path)
     out, taken = [], -1
-    marked = sorted({best_in[i] for i in range(n) if density[i] and density[i] >= threshold})
+    marked = sorted({_block(p, best_in[i]) for i in range(n) if density[i] and density[i] >= threshold})
     for i in marked:
         if i > taken:
             out.append(i)
