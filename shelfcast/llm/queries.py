@@ -49,7 +49,8 @@ def op6(spark, sf):
 @register("op10_pareto_mix", MIX.ORACLE_SQL)
 def op10(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "source", MIX.n_words(F.col("text")).alias("words"))
-    mixed = MIX.pareto_mix(written(docs, "mix-sizes"), size_col="words")
+    docs = docs.withColumn("weight", MIX.length_weight(F.col("words")))
+    mixed = MIX.pareto_mix(written(docs, "mix-sizes"), size_col="words", weight_col="weight")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
