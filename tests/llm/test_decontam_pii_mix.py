@@ -83,6 +83,19 @@ def test_mask_replaces_all_spans(spark):
         assert not [s for s in personal(t) if s.startswith("email")] or "@" in re.sub(r"\[EMAIL\]", "", t)
 
 
+def test_context_decides_over_added_spans(spark):
+    """The same run of characters stays beside a context word and goes without one; scores are given out; mod-97 needs none."""
+    run, iban = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "GE29NB0000000101904917"
+    texts = [f'token = "{run}"', f"the commit {run} of", f"{run} is your password", "a" * 40 + " token", "1" * 40 + " key", iban, f"bank {iban}",
+             "BR1800360305000010009795493C1", f"token {' x' * 30} {run}"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in PII.digest(PII.find_pii(d)).collect()}
+    assert [got[i]["n_secret"] for i in range(9)] == [1, 0, 1, 0, 0, 0, 0, 0, 0]
+    assert [got[i]["n_iban"] for i in range(9)] == [0, 0, 0, 0, 0, 1, 1, 1, 0]
+    assert got[0]["scores"] == "0.6" and got[5]["scores"] == "0.6" and got[6]["scores"] == "0.9"
+    assert run not in PII.mask(PII.find_pii(d)).filter("doc_id = 0").first()["text"]
+
+
 def test_pii_awkward(spark):
     d = awkward(spark)
     assert PII.find_pii(d).count() == d.count() and PII.find_pii(empty(spark)).count() == 0
@@ -135,6 +148,26 @@ def test_mix_with_document_weights(spark):
     assert share[4.0] > 3 * share[1.0]  # inclusion follows the weight
 
 
+@pytest.mark.parametrize("share", [0.3, 1.5, 1.9])
+def test_heavy_documents_reach_the_cap_and_the_target_holds(spark, share):
+    """Where the heavier documents are full, the lighter ones take the rest of the target."""
+    rows = [(i, 10 + i % 7, "ab"[i % 5 == 0], (1.0, 2.0, 9.0)[i % 3]) for i in range(1500)]
+    d = spark.createDataFrame(rows, "doc_id long, words long, source string, quality double")
+    out = MIX.pareto_mix(d, size_col="words", weight_col="quality", share=share).collect()
+    for s in "ab":
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 8 and all(r.taken <= 2 * r.size for r in mine)
+        by = [sum(r.copies for r in mine if r.quality == q) / sum(r.quality == q for r in mine) for q in (1.0, 2.0, 9.0)]
+        assert by == sorted(by)
+        # expected copies: the weight times one rate, at most 2, that adds up to the target
+        low, high = 0.0, 1e6
+        for _ in range(200):
+            rate = (low + high) / 2
+            full = sum(r.size * min(2, rate * r.quality) for r in mine) > mine[0].target
+            low, high = (low, rate) if full else (rate, high)
+        assert by == pytest.approx([min(2, low * q) for q in (1.0, 2.0, 9.0)], abs=0.12)
+
+
 def test_mix_awkward(spark):
     d = awkward(spark)
     out = MIX.pareto_mix(d)

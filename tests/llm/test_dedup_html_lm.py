@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -332,3 +333,58 @@ def test_model_of_nothing(spark):
     assert len(out) == d.count() and all(r.score == 0 and r.base_score == 0 and r.n_known == 0 for r in out)
     m = KN.train(d)
     assert KN.score(d, m).count() == d.count() and KN.score(empty(spark), m).count() == 0
+
+
+# ---- the choice by density
+
+def _naive(p):
+    """Chosen roots by definition: densities from whole subtrees, the largest sum, the path's threshold, each subtree's best."""
+    n = len(p.tag)
+    below = [[j for j in range(n) if i <= j <= p.last[i]] for i in range(n)]
+    c = [sum(p.chars[j] for j in b) for b in below]
+    lc = [sum(p.link_chars[j] for j in b) for b in below]
+    t = [max(1, len(b) - 1) for b in below]
+    lt = [sum(p.tag[j] == "a" for j in b[1:]) for b in below]
+    share = lc[0] / (c[0] or 1)
+
+    def density(i):
+        if not c[i]:
+            return 0.0
+        d = c[i] / t[i]
+        if share:
+            base = math.log(c[i] / ((c[i] - lc[i]) or 1) * lc[i] + share * c[i] + math.e)
+            d *= math.log(max(c[i] / (lc[i] or 1) * t[i] / (lt[i] or 1), 1.0)) / math.log(base)
+        return d
+    dens = [density(i) for i in range(n)]
+    sums = [sum(dens[j] for j in range(1, n) if p.parent[j] == i) for i in range(n)]
+    best = max(range(n), key=lambda i: (sums[i], -i))
+    path, i = [], best
+    while i >= 0:
+        path.append(dens[i])
+        i = p.parent[i]
+    roots = {max(below[i], key=lambda j: (sums[j], -j)) for i in range(n) if dens[i] and dens[i] >= min(path)}
+    roots = {TD._block(p, r) for r in roots}
+    return sorted(r for r in roots if not any(o < r <= p.last[o] for o in roots))
+
+
+def test_density_choice_matches_definition():
+    rnd = random.Random(4)
+
+    def html(depth):
+        out = []
+        for _ in range(rnd.randint(1, 4)):
+            tag = rnd.choice(["div", "p", "a", "span", "article", "ul", "section", "b"])
+            inner = html(depth - 1) if depth and tag not in ("p", "a") and rnd.random() < 0.6 else "word " * rnd.randint(0, 30)
+            out.append(f"<{tag}>{inner}</{tag}>")
+        return "".join(out)
+    for _ in range(120):
+        page = TD._Page(f"<html><body>{html(3)}</body></html>")
+        assert TD._chosen(page) == _naive(page)
+
+
+@pytest.mark.parametrize("page", ["<body><nav>" + "<div>" * 100_000 + "x", "<body><p><button>" + "<i>" * 100_000 + "<hr>" * 100_000,
+                                  "<table>" + "<tr><td>" * 100_000, "<ul>" + "<li><a>" * 100_000, "<div>" * 100_000 + "<a>x" * 100_000])
+def test_nested_pages_take_linear_time(page):
+    start = time.process_time()
+    TD.main_text(page)
+    assert time.process_time() - start < 4

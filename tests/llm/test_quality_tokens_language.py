@@ -32,7 +32,41 @@ def test_bands_reject_repetition_and_noise(spark):
     rows = [(1, sample_text(400, 7)), (2, " ".join(w for i in range(60) for w in [sample_text(1, i)] * 7)), (3, noise),
             (4, sample_text(700, 8) + " " + "".join(chr(rnd.randint(33, 126)) + ("" if rnd.random() < .9 else " ") for _ in range(40000)))]
     got = {r.doc_id: r.kept for r in compression_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1] and not got[2] and not got[4]
+    assert got[1] and not got[2] and not got[3] and not got[4]
+
+
+def test_random_text_is_rejected_by_length(spark):
+    """Random letters from 1 KB on, random hex from 6 KB on, a quarter of base64 in a long text; ordinary tables stay."""
+    import base64
+    rnd = random.Random(9)
+    kept = compression_quality(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")).filter("kept").collect()
+    prose = max((r["text"] for r in kept), key=len)
+    assert len(prose) > 12_000
+
+    def spaced(alphabet, n):
+        return " ".join("".join(rnd.choice(alphabet) for _ in range(60)) for _ in range(n // 61 + 1))
+    rows = [spaced("abcdefghijklmnopqrstuvwxyz", n) for n in (1300, 2000, 8000, 40_000)] + [spaced("0123456789abcdef", n) for n in (6500, 9000, 40_000)]
+    part = base64.b64encode(rnd.randbytes(len(prose) // 4)).decode()
+    rows += [prose[:len(prose) // 2] + " " + part + " " + prose[len(prose) // 2:], prose]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in compression_quality(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == [(False, False)] * (len(rows) - 1) + [(False, True)]
+
+
+def test_verdict_is_the_bands(spark):
+    """kept by definition: the whole text's ratio within its length's limits, and few chunks outside theirs."""
+    import zstandard
+    from shelfcast.llm.compression_quality import Bands
+    bands, zip_ = Bands(), zstandard.ZstdCompressor(level=3)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    for r in compression_quality(docs).collect():
+        raw = (r["text"] or "").encode()
+        low, high = [x[1:] for x in bands.limits if x[0] <= len(raw)][-1]
+        ratio = len(zip_.compress(raw)) / len(raw) if raw else 0.0
+        k = len(raw) // 2048
+        chunks = [raw[i * 2048:(i + 1) * 2048 if i < k - 1 else len(raw)] for i in range(k)] if k > 1 else []
+        out = [c for c in chunks if not bands.chunk_low <= len(zip_.compress(c)) / len(c) <= bands.chunk_high]
+        good = low <= ratio <= high and len(out) <= bands.chunk_share * max(len(chunks), 1)
+        assert r["kept"] == (good and not r["base_failed"])
 
 
 def test_quality_awkward(spark):
