@@ -23,8 +23,9 @@ from shelfcast.llm.common import written
 WINDOW = 10
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Above so many windows the benchmark is not broadcast (a window's row has about 200 bytes).
+#: Above so many windows, or so many bytes of them, the benchmark is not broadcast.
 BROADCAST_WINDOWS = 200_000
+BROADCAST_BYTES = 32 << 20
 _END = -1  # token of the row that each document sends once
 
 
@@ -68,13 +69,13 @@ def _positions(docs: DataFrame, single: bool) -> DataFrame:
 
 
 def hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-         item_text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+         item_text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per distinct (doc_id, text): id, text_hash, copies, n_words, spans (start, end), items.
 
     Words are code points other than ASCII non-alphanumerics. Null or wordless texts have no words and
     no hits; wordless items have no windows; items with equal ids count as one, a null id as the
     empty id. Repeated rows are one row here, with their number in ``copies``. Empty tables on either
-    side are fine. No pairs of documents are formed, and a passage that many documents hold costs
+    side are fine, as are texts and words of any length. No pairs of documents are formed, and a passage that many documents hold costs
     one row per occurrence. Other columns of either table are not read.
     """
     end = F.array(F.lit("\x01"))
@@ -82,8 +83,9 @@ def hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: st
                        F.concat(words(F.col(text_col)), end).alias("w"))
     wins = written(_windows(bench, item_id, item_text, window), "decontam-windows")
     tokens = wins.select(F.explode("tokens").alias("token")).distinct()
-    n = wins.count()  # bounds the broadcast
-    small = n <= broadcast_windows
+    size = F.aggregate("window", F.lit(0).cast("long"), lambda a, w: a + F.octet_length(w))
+    n, n_bytes = wins.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()  # bound the broadcast
+    small = n <= broadcast_windows and n_bytes <= broadcast_bytes
     single = not wins.filter(F.size("window") == 1).isEmpty()
     hint = F.broadcast if small else (lambda d: d)
 
