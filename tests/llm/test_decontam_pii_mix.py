@@ -17,20 +17,20 @@ def _bench(spark, rows=ITEMS):
     return spark.createDataFrame([(i, t, "z") for i, t in rows], "item_id long, text string, w string")
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [{}, {"broadcast_windows": 0}, {"broadcast_bytes": 100}])
 def test_hits_match_brute_force(spark, limit):
     """Both joins: with the benchmark broadcast, and by shuffled positions."""
     rows = [(1, "x " + LONG + " y"), (1, "x " + LONG + " y"), (2, LONG.upper()), (3, "a SOLO, b"), (4, None), (5, ""), (6, "two words two words"),
             (7, " ".join(LONG.split()[3:14])), (8, " ".join(LONG.split()[:9])), (None, LONG), (9, sample_text(500, 12)), (9, LONG[:200])]
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, item string, n int")
-    got = DEC.digest(DEC.hits(docs, _bench(spark), broadcast_windows=limit)).collect()
+    got = DEC.digest(DEC.hits(docs, _bench(spark), **limit)).collect()
     want = []
     for i, t in rows:
         n, hit, items = bench_hits(t, ITEMS)
         want.append((i, n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0))
     order = lambda x: tuple(str(v) for v in x)
     assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
-    clean = DEC.clean_documents(docs, _bench(spark), broadcast_windows=limit)
+    clean = DEC.clean_documents(docs, _bench(spark), **limit)
     assert clean.columns == docs.columns
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, t in rows if not bench_hits(t, ITEMS)[1])
 
