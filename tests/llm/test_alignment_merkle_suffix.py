@@ -13,6 +13,7 @@ from shelfcast.llm import alignment as AL
 from shelfcast.llm import merkle as MK
 from shelfcast.llm import prefix_free as PF
 from shelfcast.llm.queries import QUERIES
+from shelfcast.session import written
 
 A_FILE, B_FILE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -193,6 +194,30 @@ def test_repeated_bytes_match_brute_force(spark, options):
     assert _cut_rows(PF.remove_repeats(_frame(spark, rows).repartition(5), **options)) == _want(rows)
 
 
+@pytest.mark.parametrize("options", [{"hot": 2, "hot_bytes": 900}, {"hot": 5, "hot_bytes": 20000, "gram": 8}, {"hot": 1, "hot_bytes": 1}])
+def test_frequent_triggers_over_chunks_and_shares(spark, options):
+    """Many chunks and many shares of a trigger, null ids, one id twice, text that repeats in itself."""
+    rnd = random.Random(5)
+    base = sample_text(45, 77)
+    rows = [(rnd.choice([None, 4, rnd.randint(0, 90)]), "".join(c if rnd.random() > .01 else rnd.choice("xyz") for c in base) * rnd.choice([1, 1, 2])) for _ in range(40)]
+    assert _cut_rows(PF.remove_repeats(_frame(spark, rows).repartition(3), **options)) == _want(rows)
+
+
+def test_windows_of_frequent_triggers_do_not_travel_one_by_one(spark, monkeypatch):
+    """Near copies of one text: no step writes a row for every window of their strings."""
+    rnd, made = random.Random(6), {}
+    base = sample_text(60, 78)
+    rows = [(i, "".join(c if rnd.random() > .004 else rnd.choice("xyz") for c in base)) for i in range(120)]
+
+    def counted(df, name):
+        out = written(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(PF, "written", counted)
+    assert _cut_rows(PF.remove_repeats(_frame(spark, rows).repartition(3), hot=40)) == _want(rows)
+    assert max(made.values()) < sum(len(t) - 99 for _, t in rows) / 8
+
+
 def test_repeated_bytes_of_awkward_and_empty_tables(spark):
     docs = awkward(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
