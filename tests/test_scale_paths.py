@@ -220,3 +220,19 @@ def test_run_log_compaction(spark, tmp_dir, monkeypatch):
     # a compaction that died before it removed the old files: every run still counts once
     store.runs().coalesce(1).write.parquet(f"{tmp_dir}/runs/compact-by-hand")
     assert store.runs().count() == 7
+
+
+def test_spend_rows_are_spread_once(spark, monkeypatch):
+    """Spend per customer: one spreading of the rows without per-row lambdas, nulls and the cut as before."""
+    from shelfcast.operators import eda, quantiles
+    plans, keep = [], quantiles.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, name)
+    monkeypatch.setattr(quantiles, "written", seen)
+    rows = [(1, 10.0, 2), (1, 90.0, 3), (0, 8.0, 2), (0, 8.0, 0), (None, 60.0, 1), (None, 20.0, 1), (1, None, 3), (0, 1.0, None)]
+    df = spark.createDataFrame(rows, "promo int, sales double, customers long")
+    got = {(r["subset"], r["promo"]): r["median"] for r in eda.spend_medians(df, 30.0).collect()}
+    assert got == {("all_below_cut", None): 5.0, ("by_promo", 1): 17.5, ("by_promo", 0): 4.0, ("by_promo", None): 40.0}
+    assert plans[0].count("Generate ") == 1 and "lambdafunction" not in plans[0]
