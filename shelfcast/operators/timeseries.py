@@ -477,9 +477,13 @@ def _lag_predictions(cut: DataFrame, coefs: DataFrame, look_back: int, how: str)
 
 def lag_windows(series: DataFrame, look_back: int = 14, train_frac: float = 0.85,
                 threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
-    """TS3/TS4 -> TS8 -> TS7 -> K4 on a stored series: (windows with is_train, each store's bounds)."""
-    stat = written(make_stationary(series, adf(series, threshold=threshold)), "stationary")
-    bounds = stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max"))
+    """TS3/TS4 -> TS8 -> TS7 -> K4: (windows with is_train, each store's bounds).
+
+    Only TS3's row a store and the bounds are written. The days themselves, several times the known ones, are neither written nor
+    dealt again: each step makes them from the known days where its store's lie (see :func:`store_series`)."""
+    flags = written(adf(series, threshold=threshold), "adf")
+    stat = make_stationary(series, flags)
+    bounds = written(stat.groupBy("store").agg(F.min("y").alias("v_min"), F.max("y").alias("v_max")), "bounds")
     scaled = minmax_scale(stat, "y")
     windows = sliding_windows(scaled.where(F.col("scaled").isNotNull()), "scaled", look_back)
     return ordered_cut(windows, train_frac), bounds
@@ -504,12 +508,12 @@ def lag_forecast(panel: DataFrame, look_back: int = 14, train_frac: float = 0.85
     the reference, scaling uses the whole series and a differenced store's
     errors are in difference units.
     """
-    return series_forecast(written(store_series(panel), "series"), look_back, train_frac, threshold)
+    return series_forecast(store_series(panel), look_back, train_frac, threshold)
 
 
 def series_forecast(series: DataFrame, look_back: int = 14, train_frac: float = 0.85,
                     threshold: float = 0.05) -> tuple[DataFrame, DataFrame]:
-    """:func:`lag_forecast` from the stored daily series."""
+    """:func:`lag_forecast` from the daily series (of :func:`store_series`, or stored)."""
     cut, bounds = lag_windows(series, look_back, train_frac, threshold)
     return _series_errors(fit_lag_regression(cut, look_back), bounds)
 
@@ -570,7 +574,7 @@ def train_lag_epochs(cut: DataFrame, look_back: int = 14, epochs: int = 50, batc
 
 def lag_training(series: DataFrame, look_back: int = 14, train_frac: float = 0.85, threshold: float = 0.05, epochs: int = 50,
                  batch_size: int = 32, patience: int = 10, step: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """TS10 with epochs, batches and early stopping, from the stored daily series.
+    """TS10 with epochs, batches and early stopping, from the daily series (of :func:`store_series`, or stored).
 
     Returns (per-window predictions in series units, metrics with epochs and best_epoch, loss history). A store without
     both training and test windows has no row."""

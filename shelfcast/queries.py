@@ -859,7 +859,7 @@ beta as (select *, list_transform(range(0, {LOOK_BACK + 1}), lambda i: g[i * {LO
 select store, {ERRORS_OUT} from miss group by store"""))
 def lag_forecast(spark, sf):
     """TS10 by least squares; the oracle solves the normal equations by Gauss-Jordan steps in a recursive CTE."""
-    out = TS.series_forecast(written(rounded_series(spark, sf), "series"))[1]
+    out = TS.series_forecast(rounded_series(spark, sf))[1]
     return out.withColumns({"rmse": rnd("rmse", 4), "mae": rnd("mae", 4)})
 
 
@@ -893,7 +893,7 @@ run as (
 
 
 def lag_trained(spark, sf):
-    return TS.lag_training(written(rounded_series(spark, sf), "series"), LOOK_BACK, epochs=LAG_EPOCHS, batch_size=LAG_BATCH,
+    return TS.lag_training(rounded_series(spark, sf), LOOK_BACK, epochs=LAG_EPOCHS, batch_size=LAG_BATCH,
                            patience=LAG_PATIENCE, step=LAG_STEP)
 
 
